@@ -12,13 +12,11 @@ import io
 import zipfile
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA
-from millrace.sources.archives import LINE_SCHEMA
 from millrace.sources.intervals import NAME_PATTERN, NAME_SUFFIX, STEP_MINUTES
 
 
@@ -35,154 +33,117 @@ def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.join(home, events.user_id == home.c_custkey)
 
 
-def _shaped(df: DataFrame, schema: T.StructType, values: dict[str, Column]) -> DataFrame:
-    """``df`` projected to ``schema``; fields without a value are typed NULLs."""
-    out = []
-    for f in schema:
-        value = values.get(f.name, F.lit(None))
-        out.append(value.cast(f.dataType).alias(f.name))
-    return df.select(*out)
-
-
-def _divisible(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _day_number() -> Column:
-    ts = F.col("ts")
-    return F.year(ts) * 10000 + F.month(ts) * 100 + F.day(ts)
-
-
-def _text(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _event_values() -> dict[str, Column]:
-    """Values that need the events table only."""
-    i, ts, value = F.col("event_id"), F.col("ts"), F.col("value")
-    kind = F.col("event_type")
-    return {
-        "Global_Event_ID": i,
-        "SQL_Date": _day_number(),
-        "Month_Year": F.year(ts) * 100 + F.month(ts),
-        "Year": F.year(ts),
-        "Fraction_Date": F.year(ts).cast("double") + F.dayofyear(ts).cast("double") / 365,
-        "Is_Root_Event": i % 2,
-        "Event_Code": kind,
-        "Event_Base_Code": F.substring(kind, 1, 3),
-        "Event_Root_Code": F.substring(kind, 1, 2),
-        "Quad_Class": 1 + i % 4,
-        "Goldstein_Scale": F.least(value, F.lit(500.0)) / 50,
-        "Num_Mentions": i % 10,
-        "Num_Sources": i % 3,
-        "Num_Articles": i % 7,
-        "Avg_Tone": value / 100 - 2,
-        "Action_Geo_Type": i % 6,
-        "Action_Geo_Lat": i % 181 - 90,
-        "Action_Geo_Long": i % 361 - 180,
-        "Action_Geo_Feature_ID": i - 5000,
-        "Date_Added": _day_number().cast("bigint") * 1000000
-        + F.hour(ts) * 10000
-        + F.minute(ts) * 100
-        + F.second(ts),
-        "Source_URL": F.when(~_divisible(20), F.concat(F.lit("http://news.example/"), _text(i))),
-    }
+def _shaped(df: DataFrame, schema: T.StructType, values: dict[str, str]) -> DataFrame:
+    """``df`` projected to ``schema``; fields without an expression are typed NULLs."""
+    return df.selectExpr(
+        *[
+            f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in schema
+        ]
+    )
+
+
+_DAY = "(year(ts) * 10000 + month(ts) * 100 + day(ts))"
+
+# Values that need the events table only.
+_EVENT_VALUES = {
+    "Global_Event_ID": "event_id",
+    "SQL_Date": _DAY,
+    "Month_Year": "year(ts) * 100 + month(ts)",
+    "Year": "year(ts)",
+    "Fraction_Date": "double(year(ts)) + double(dayofyear(ts)) / 365",
+    "Is_Root_Event": "event_id % 2",
+    "Event_Code": "event_type",
+    "Event_Base_Code": "left(event_type, 3)",
+    "Event_Root_Code": "left(event_type, 2)",
+    "Quad_Class": "1 + event_id % 4",
+    "Goldstein_Scale": "least(value, 500D) / 50",
+    "Num_Mentions": "event_id % 10",
+    "Num_Sources": "event_id % 3",
+    "Num_Articles": "event_id % 7",
+    "Avg_Tone": "value / 100 - 2",
+    "Action_Geo_Type": "event_id % 6",
+    "Action_Geo_Lat": "event_id % 181 - 90",
+    "Action_Geo_Long": "event_id % 361 - 180",
+    "Action_Geo_Feature_ID": "event_id - 5000",
+    "Date_Added": f"{_DAY} * 1000000L + hour(ts) * 10000 + minute(ts) * 100 + second(ts)",
+    "Source_URL": "if(event_id % 20 = 0, NULL, 'http://news.example/' || event_id)",
+}
+_EVENT_VALUES_JOINED = {
+    "Actor1_Code": "c_mktsegment",
+    "Actor1_Name": "c_name",
+    "Actor1_Country_Code": "if(event_id % 5 = 0, NULL, n_name)",
+    "Action_Geo_FullName": "if(event_id % 50 = 0, NULL, n_name)",
+    "Action_Geo_Country_Code": "if(event_id % 40 = 0, NULL, 'C' || n_nationkey)",
+}
 
 
 def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-formed event export rows."""
-    values = _event_values() | {
-        "Actor1_Code": F.col("c_mktsegment"),
-        "Actor1_Name": F.col("c_name"),
-        "Actor1_Country_Code": F.when(~_divisible(5), F.col("n_name")),
-        "Action_Geo_FullName": F.when(~_divisible(50), F.col("n_name")),
-        "Action_Geo_Country_Code": F.when(
-            ~_divisible(40), F.concat(F.lit("C"), _text(F.col("n_nationkey")))
-        ),
-    }
-    return _shaped(_activity(spark, sf_dir), EVENT_SCHEMA, values)
+    return _shaped(_activity(spark, sf_dir), EVENT_SCHEMA, _EVENT_VALUES | _EVENT_VALUES_JOINED)
 
 
-def _spoiled(cases: list[tuple[int, object]], otherwise: Column) -> Column:
+def _spoiled(cases: list[tuple[int, object]], otherwise: str) -> str:
     """The value of the first case whose divisor divides the event id."""
-    out = F
-    for divisor, value in cases:
-        out = out.when(_divisible(divisor), F.lit(value))
-    return out.otherwise(otherwise)
+    branches = " ".join(
+        f"WHEN event_id % {n} = 0 THEN {'NULL' if v is None else v}" for n, v in cases
+    )
+    return f"CASE {branches} ELSE {otherwise} END"
 
 
 def dirty_events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows with values out of bounds at known ids."""
-    i = F.col("event_id")
-    clean = _event_values()
-    values = clean | {
-        "Global_Event_ID": _spoiled([(101, None)], i),
-        "SQL_Date": _spoiled([(103, 18991231), (107, None), (109, 20241399)], clean["SQL_Date"]),
-        "Event_Code": _spoiled([(139, None)], clean["Event_Code"]),
-        "Quad_Class": _spoiled([(113, 0), (127, 5), (17, None)], clean["Quad_Class"]),
-        "Goldstein_Scale": _spoiled(
-            [(131, 10.5), (137, -10.5), (19, None)], clean["Goldstein_Scale"]
-        ),
-        "Is_Root_Event": _spoiled([(149, 2), (151, None)], clean["Is_Root_Event"]),
-        "Num_Mentions": _spoiled([(191, -1), (31, None)], clean["Num_Mentions"]),
-        "Num_Sources": _spoiled([(193, -1), (31, None)], clean["Num_Sources"]),
-        "Num_Articles": _spoiled([(197, -1), (31, None)], clean["Num_Articles"]),
+    bad = {
+        "Global_Event_ID": [(101, None)],
+        "SQL_Date": [(103, 18991231), (107, None), (109, 20241399)],
+        "Event_Code": [(139, None)],
+        "Quad_Class": [(113, 0), (127, 5), (17, None)],
+        "Goldstein_Scale": [(131, "10.5D"), (137, "-10.5D"), (19, None)],
+        "Is_Root_Event": [(149, 2), (151, None)],
+        "Num_Mentions": [(191, -1), (31, None)],
+        "Num_Sources": [(193, -1), (31, None)],
+        "Num_Articles": [(197, -1), (31, None)],
     }
+    values = _EVENT_VALUES | {c: _spoiled(cases, _EVENT_VALUES[c]) for c, cases in bad.items()}
     places = {
         "Actor1": (157, 167, 177, 178),
         "Actor2": (163, 173, 183, 184),
         "Action": (167, 177, 187, 188),
     }
     for place, (lat, long, high, low) in places.items():
-        values[f"{place}_Geo_Lat"] = _spoiled([(lat, 90.5), (23, None)], i % 181 - 90)
-        values[f"{place}_Geo_Long"] = _spoiled([(long, -180.5), (29, None)], i % 361 - 180)
-        values[f"{place}_Geo_Type"] = _spoiled([(high, 6), (low, -1)], i % 6)
+        values |= {
+            f"{place}_Geo_Lat": _spoiled([(lat, "90.5D"), (23, None)], "event_id % 181 - 90"),
+            f"{place}_Geo_Long": _spoiled([(long, "-180.5D"), (29, None)], "event_id % 361 - 180"),
+            f"{place}_Geo_Type": _spoiled([(high, 6), (low, -1)], "event_id % 6"),
+        }
     return _shaped(table(spark, sf_dir, "events"), EVENT_SCHEMA, values)
 
 
-def _edit_values(title_from: Column) -> dict[str, Column]:
-    i = F.col("event_id")
-    pair, meta = EDIT_SCHEMA["length"].dataType, EDIT_SCHEMA["meta"].dataType
-    return {
-        "id": i,
-        "wiki": F.when(_divisible(4), F.lit("dewiki")).otherwise(F.lit("enwiki")),
-        "title": F.when(_divisible(90), F.lit(None))
-        .when(_divisible(91), F.lit(""))
-        .otherwise(F.concat(title_from, F.lit(" page "), _text(i))),
-        "user": F.concat(F.lit("u"), _text(F.col("user_id"))),
-        "type": F.col("event_type"),
-        "bot": _divisible(3),
-        "timestamp": F.unix_timestamp(F.col("ts").cast("timestamp")),
-        "length": F.struct(
-            F.when(~_divisible(6), F.floor("value")).alias("new"), F.lit(None).alias("old")
-        ).cast(pair),
-        "revision": F.struct(i.alias("new"), (i - 1).alias("old")).cast(pair),
-        "meta": F.struct(
-            F.lit("en.example").alias("domain"),
-            _text(_day_number()).alias("dt"),
-            F.lit(None).alias("id"),
-            i.alias("offset"),
-            (i % 3).alias("partition"),
-            F.lit(None).alias("request_id"),
-            F.lit(None).alias("stream"),
-            F.lit(None).alias("topic"),
-            F.lit(None).alias("uri"),
-        ).cast(meta),
-    }
+_EDIT_VALUES = {
+    "id": "event_id",
+    "wiki": "if(event_id % 4 = 0, 'dewiki', 'enwiki')",
+    "title": "CASE WHEN event_id % 90 = 0 THEN NULL WHEN event_id % 91 = 0 THEN ''"
+    " ELSE n_name || ' page ' || event_id END",
+    "user": "'u' || user_id",
+    "type": "event_type",
+    "bot": "event_id % 3 = 0",
+    "timestamp": "unix_timestamp(CAST(ts AS TIMESTAMP))",
+    "length": "struct(if(event_id % 6 = 0, NULL, floor(value)), NULL)",
+    "revision": "struct(event_id, event_id - 1)",
+    "meta": f"struct('en.example', string({_DAY}), NULL, event_id, event_id % 3,"
+    " NULL, NULL, NULL, NULL)",
+}
 
 
 def edits_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-formed change-feed records."""
-    return _shaped(_activity(spark, sf_dir), EDIT_SCHEMA, _edit_values(F.col("n_name")))
+    return _shaped(_activity(spark, sf_dir), EDIT_SCHEMA, _EDIT_VALUES)
 
 
 def dirty_edits_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change-feed records with missing ids and times at known ids."""
-    values = _edit_values(F.col("n_name"))
-    values |= {
-        "id": _spoiled([(101, None)], F.col("event_id")),
-        "timestamp": _spoiled([(103, 0), (107, None)], values["timestamp"]),
-    }
+    bad = {"id": [(101, None)], "timestamp": [(103, 0), (107, None)]}
+    values = _EDIT_VALUES | {c: _spoiled(cases, _EDIT_VALUES[c]) for c, cases in bad.items()}
     return _shaped(_activity(spark, sf_dir), EDIT_SCHEMA, values)
 
 
@@ -215,11 +176,11 @@ def sse_lines(edits: DataFrame) -> DataFrame:
     payload = F.to_json(F.struct(*edits.columns))
     prefix = F.when(F.col("id") % 2 == 0, F.lit("data:")).otherwise(F.lit("data: "))
     broken = F.when(
-        F.col("id") % BAD_PAYLOAD_EVERY == 0, F.concat(F.lit("data: not json "), _text(F.col("id")))
+        F.col("id") % BAD_PAYLOAD_EVERY == 0, F.concat(F.lit("data: not json "), F.col("id").cast("string"))
     )
     lines = F.array(
         F.lit("event: message"),
-        F.concat(F.lit('id: [{"offset":'), _text(F.col("id")), F.lit("}]")),
+        F.concat(F.lit('id: [{"offset":'), F.col("id").cast("string"), F.lit("}]")),
         F.concat(prefix, payload),
         broken,
         F.lit(""),
@@ -240,40 +201,37 @@ BROKEN_EVERY = 2
 def archive_stem(k: Column) -> Column:
     """The delivery time that archive ``k`` is named after, counted from a fixed day."""
     first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return F.date_format(first + F.make_dt_interval(mins=(k * STEP_MINUTES).cast("int")), NAME_PATTERN)
+    step = F.make_dt_interval(mins=(k * STEP_MINUTES).cast("int"))
+    return F.date_format(first + step, NAME_PATTERN)
+
+
+def _zip(members: dict[str, str]) -> bytes:
+    """A ZIP whose last byte is a line end: the text writer puts that byte back."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for name, body in members.items():
+            z.writestr(zipfile.ZipInfo(name), body, compress_type=zipfile.ZIP_DEFLATED)
+        z.comment = b"\n"
+    return buffer.getvalue()[:-1]
 
 
-def _store(folder: str, name: str, content: bytes) -> None:
-    """Write under a temporary name, then rename: a repeated task leaves the same file."""
-    store, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
-    store.create_dir(base, recursive=True)
-    hidden = f"{base}/.{name}.part"
-    with store.open_output_stream(hidden) as out:
-        out.write(content)
-    store.move(hidden, f"{base}/{name}")
+def _pack(rows: pd.DataFrame) -> pd.DataFrame:
+    stem, k = rows["stem"].iloc[0], int(rows["k"].iloc[0])
+    text = "\n".join(rows.sort_values("id")["value"]) + "\n"
+    files = {stem + NAME_SUFFIX: _zip({f"{stem}.export.CSV": text, "readme.txt": "no data\n"})}
+    if k % BROKEN_EVERY == 0:
+        files[f"{stem}.broken.zip"] = b"no archive"
+    return pd.DataFrame({"content": files.values(), "name": files.keys()})
 
 
-def land_archives(events: DataFrame, folder: str) -> str:
+def land_archives(events: DataFrame, path: str) -> str:
     """ZIP archives of the export, ``EVENTS_PER_ARCHIVE`` consecutive ids each.
 
     Ids are unique, so no archive and no task holds more than that many rows. Each archive
-    also has a member to be ignored; beside some archives lies a file that is no ZIP.
+    also has a member to be ignored; beside some archives lies a file that is no ZIP. The
+    files are written by Spark, one per ``name=`` folder, so a lost task leaves nothing
+    half-written.
     """
-
-    def pack(lines: pd.DataFrame) -> pd.DataFrame:
-        stem, k = lines["stem"].iloc[0], int(lines["k"].iloc[0])
-        text = "\n".join(lines.sort_values("id")["value"]) + "\n"
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w") as z:
-            for name, body in ((f"{stem}.export.CSV", text), ("readme.txt", "nothing to load\n")):
-                z.writestr(zipfile.ZipInfo(name), body, compress_type=zipfile.ZIP_DEFLATED)
-        _store(folder, stem + NAME_SUFFIX, buffer.getvalue())
-        names = [stem + NAME_SUFFIX]
-        if k % BROKEN_EVERY == 0:
-            names.append(f"{stem}.broken.zip")
-            _store(folder, names[-1], b"no archive")
-        return pd.DataFrame({"name": names})
-
     k = F.floor(F.col("Global_Event_ID") / EVENTS_PER_ARCHIVE)
     (
         events.select(
@@ -283,13 +241,14 @@ def land_archives(events: DataFrame, folder: str) -> str:
             tsv_line(events).alias("value"),
         )
         .groupBy("k")
-        .applyInPandas(pack, "name string")
-        .write.format("noop")
-        .mode("overwrite")
-        .save()
+        .applyInPandas(_pack, "content binary, name string")
+        .select(F.col("content").cast("string"), "name")
+        .write.partitionBy("name")
+        .text(path)
     )
-    return folder
+    return path
 
 
-def member_table_rows(lines: DataFrame) -> DataFrame:
-    return lines.select(*LINE_SCHEMA.names)
+def archive_name(path: Column) -> Column:
+    """The ``name=`` folder an archive was landed in."""
+    return F.regexp_extract(path, "/name=([^/]+)/", 1)

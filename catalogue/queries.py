@@ -190,8 +190,7 @@ def q06_member_store(spark, sf_dir):
 @query
 def q06_unreadable_archives(spark, sf_dir):
     bad = archives.unreadable_archives(_unpacked(spark, sf_dir, "q06u-raw"))
-    name = F.element_at(F.split("archive", "/"), -1)
-    return bad.select(name.alias("archive"))
+    return bad.select(A.archive_name(F.col("archive")).alias("archive"))
 
 
 @query
