@@ -223,7 +223,7 @@ def q09_medallion_events(spark, sf_dir):
         tables = medallion.run_feeds(spark, [(medallion.EVENTS, f"{raw}/*")], out)
     # A run without new files must add nothing.
     tables = medallion.run_feeds(spark, [(medallion.EVENTS, f"{raw}/*")], out)
-    return readers.read_table(spark, tables["events"].silver).select(
+    return tables["events"].read_silver(spark).select(
         *EVENT_VALUE_COLUMNS, "Actor2_Name", "event_timestamp"
     )
 
@@ -232,7 +232,7 @@ def q09_medallion_events(spark, sf_dir):
 def q09_medallion_edits(spark, sf_dir):
     raw = A.land_json(A.edits_feed(spark, sf_dir), new_dir(spark, "q09e-raw"))
     tables = medallion.run_feeds(spark, [(medallion.EDITS, raw)], new_dir(spark, "q09e"))
-    return readers.read_table(spark, tables["edits"].silver).select(
+    return tables["edits"].read_silver(spark).select(
         "id", "title", "user", "meta_dt", "meta_request", "length_new",
         _no_zone(F.col("event_timestamp")).alias("event_timestamp"),
     )
@@ -292,8 +292,9 @@ def q14_rule_metrics_edits(spark, sf_dir):
 def q14_quarantine_metrics(spark, sf_dir):
     """Failure counts of a streamed run, from the rows it set aside."""
     raw = A.land_tsv(A.dirty_events_feed(spark, sf_dir), new_dir(spark, "q14-raw"))
-    tables = medallion.run_feeds(spark, [(medallion.EVENTS, raw)], new_dir(spark, "q14"))
-    return quality.quarantine_metrics(readers.read_table(spark, tables["events"].quarantine))
+    options = medallion.RunOptions(quarantine=True)
+    tables = medallion.run_feeds(spark, [(medallion.EVENTS, raw)], new_dir(spark, "q14"), options)
+    return quality.quarantine_metrics(tables["events"].read_quarantine(spark))
 
 
 @query

@@ -9,7 +9,7 @@ from millrace.sources.intervals import gaps, manifest, manifest_between, slot_of
 from millrace.sources.readers import parse_json, read_edits, read_events, read_table, rescued_fields
 from millrace.sources.replay import first_events
 from millrace.sources.sinks import publish_table, write_json_batches, write_members
-from millrace.sources.sse import parse_sse, read_lines, readable, sse_payloads, unreadable
+from millrace.sources.sse import parse_sse, read_lines, read_sse, readable, sse_payloads, unreadable
 
 __all__ = [
     "first_events",
@@ -19,11 +19,13 @@ __all__ = [
     "member_events",
     "members",
     "parse_json",
+    "parse_sse",
     "publish_table",
     "read_archives",
     "read_edits",
     "read_events",
     "read_lines",
+    "read_sse",
     "read_table",
     "readable",
     "rescued_fields",
@@ -32,7 +34,6 @@ __all__ = [
     "unreadable",
     "unreadable_archives",
     "unzip",
-    "parse_sse",
     "write_json_batches",
     "write_members",
 ]

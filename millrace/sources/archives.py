@@ -11,7 +11,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,9 +36,15 @@ LINE_SCHEMA = T.StructType(
 _ARROW_SCHEMA = pa.schema([(f.name, pa.string()) for f in LINE_SCHEMA])
 
 
-def read_archives(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
-    """Archives of a folder as (archive, content); oversized files have NULL content."""
-    files = spark.read.format("binaryFile").options(**(options or {})).load(path)
+def read_archives(
+    spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
+) -> DataFrame:
+    """Archives of a folder as (archive, content); oversized files have NULL content.
+
+    The size test is pushed to the source, which then never opens an oversized file.
+    """
+    reader = spark.readStream if stream else spark.read
+    files = reader.format("binaryFile").options(**(options or {})).load(path)
     small = files.filter(F.col("length") <= MAX_ARCHIVE_BYTES).select(
         F.col("path").alias("archive"), "content"
     )
@@ -109,13 +115,9 @@ def unreadable_archives(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("error").isNotNull()).select("archive", "member", "error")
 
 
-def _row_of(line: Column) -> Column:
-    return F.from_csv(line, EVENT_SCHEMA.simpleString()[7:-1].replace(":", " "), {"sep": "\t"})
-
-
 def member_events(lines: DataFrame) -> DataFrame:
     """Event rows of unpacked member lines, with the archive and member they came from."""
+    layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA)
+    row = F.from_csv("value", layout, {"sep": "\t"})
     data = members(lines).filter(F.trim("value") != "")
-    return data.select("archive", "member", _row_of(F.col("value")).alias("e")).select(
-        "archive", "member", "e.*"
-    )
+    return data.select("archive", "member", row.alias("e")).select("archive", "member", "e.*")

@@ -40,6 +40,18 @@ def parse_sse(
     return parse_json(sse_payloads(lines, column), "data", corrupt=True, schema=schema)
 
 
+def read_sse(
+    spark: SparkSession,
+    path: str,
+    *,
+    stream: bool = False,
+    schema: T.StructType = EDIT_SCHEMA,
+    options: dict | None = None,
+) -> DataFrame:
+    """The readable change records of landed transcripts."""
+    return readable(parse_sse(read_lines(spark, path, stream=stream, options=options), schema=schema))
+
+
 def readable(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 

@@ -4,6 +4,9 @@ from millrace.streaming.medallion import (
     Feed,
     FeedTables,
     RunOptions,
+    judged,
+    publish,
+    rule_counts,
     run_feeds,
     start_append,
 )
@@ -15,7 +18,10 @@ __all__ = [
     "Feed",
     "FeedTables",
     "RunOptions",
+    "judged",
+    "publish",
     "read_minute_counts",
+    "rule_counts",
     "run_feeds",
     "start_append",
     "start_minute_counts",

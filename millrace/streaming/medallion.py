@@ -16,9 +16,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from millrace.operators.cleaning import clean_edits, clean_events
-from millrace.operators.quality import EDIT_RULES, EVENT_RULES, Rules, gate, observed, reject
+from millrace.operators.quality import (
+    EDIT_RULES,
+    EVENT_RULES,
+    Rules,
+    gate,
+    observed,
+    reject,
+    rule_metrics,
+)
 from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA
 from millrace.sources.readers import read_edits, read_events, read_table
+from millrace.sources.sinks import publish_table
 
 
 @dataclass(frozen=True)
@@ -33,6 +42,9 @@ class Feed:
     bronze_comment: str = "raw records"
     silver_comment: str = "cleaned records that pass every rule"
 
+    def silver_schema(self, spark: SparkSession) -> T.StructType:
+        return self.clean(spark.createDataFrame([], self.schema)).schema
+
 
 EVENTS = Feed("events", EVENT_SCHEMA, read_events, clean_events, EVENT_RULES)
 EDITS = Feed("edits", EDIT_SCHEMA, read_edits, clean_edits, EDIT_RULES)
@@ -40,38 +52,63 @@ EDITS = Feed("edits", EDIT_SCHEMA, read_edits, clean_edits, EDIT_RULES)
 
 @dataclass(frozen=True)
 class FeedTables:
-    """Where the tables of one feed live below an output folder."""
+    """Where the tables of one feed live below an output folder, and how to read them.
+
+    Schemas are known beforehand, so a table can be read even before its first row.
+    """
 
     root: str
-    name: str
+    feed: Feed
+    table_format: str = "parquet"
 
     @property
     def bronze(self) -> str:
-        return f"{self.root}/bronze/{self.name}"
+        return f"{self.root}/bronze/{self.feed.name}"
 
     @property
     def silver(self) -> str:
-        return f"{self.root}/silver/{self.name}"
+        return f"{self.root}/silver/{self.feed.name}"
 
     @property
     def quarantine(self) -> str:
-        return f"{self.root}/quarantine/{self.name}"
+        return f"{self.root}/quarantine/{self.feed.name}"
 
     def checkpoint(self, step: str) -> str:
-        return f"{self.root}/_checkpoints/{self.name}/{step}"
+        return f"{self.root}/_checkpoints/{self.feed.name}/{step}"
+
+    def _read(self, spark: SparkSession, path: str, schema: T.StructType, **kw) -> DataFrame:
+        return read_table(spark, path, schema=schema, table_format=self.table_format, **kw)
+
+    def read_bronze(self, spark: SparkSession, **kw) -> DataFrame:
+        return self._read(spark, self.bronze, self.feed.schema, **kw)
+
+    def read_silver(self, spark: SparkSession, **kw) -> DataFrame:
+        return self._read(spark, self.silver, self.feed.silver_schema(spark), **kw)
+
+    def read_quarantine(self, spark: SparkSession, **kw) -> DataFrame:
+        """Rejected rows with ``failed_rules``; raw columns if the gate came first."""
+        return read_table(spark, self.quarantine, table_format=self.table_format, **kw)
 
 
 @dataclass(frozen=True)
 class RunOptions:
-    """``source`` limits a micro-batch (``maxFilesPerTrigger``, ``maxBytesPerTrigger``);
-    ``partition_silver_by`` lays silver out for pruning, for example by the event date;
-    ``gate_before_cleaning`` judges raw values, so that a missing text is not yet
-    ``Unknown``."""
+    """Settings of a run.
+
+    ``source`` limits a micro-batch (``maxBytesPerTrigger`` or ``maxFilesPerTrigger``, not
+    both), so that a backlog is worked off in pieces and a failure repeats one piece only.
+    ``partition_silver_by`` lays silver out for pruning, for example by the event date.
+    ``quarantine`` stores rejected rows, at the price of a second scan of bronze.
+    ``observe`` reports failure counts in the query progress; it separates cleaning and
+    gate, so the gate no longer reaches the scan. The counts can also be had afterwards
+    from bronze, which reads the judged columns only (``rule_counts``).
+    ``gate_before_cleaning`` judges raw values, when missing text is not yet ``Unknown``.
+    """
 
     table_format: str = "parquet"
-    source: Mapping[str, str] = field(default_factory=dict)
+    source: Mapping[str, str] = field(default_factory=lambda: {"maxBytesPerTrigger": str(1 << 40)})
     partition_silver_by: Sequence[str] = ()
-    quarantine: bool = True
+    quarantine: bool = False
+    observe: bool = False
     gate_before_cleaning: bool = False
 
 
@@ -97,39 +134,40 @@ def start_append(
     return writer.start(path)
 
 
-def _bronze(spark: SparkSession, feed: Feed, raw_dir: str, tables: FeedTables, o: RunOptions):
-    raw = feed.read(spark, raw_dir, stream=True, options=dict(o.source))
+def _bronze(spark: SparkSession, raw_dir: str, tables: FeedTables, o: RunOptions):
+    raw = tables.feed.read(spark, raw_dir, stream=True, options=dict(o.source))
     return start_append(raw, tables.bronze, tables.checkpoint("bronze"), o.table_format)
 
 
-def _silver(spark: SparkSession, feed: Feed, tables: FeedTables, o: RunOptions):
-    bronze = read_table(
-        spark,
-        tables.bronze,
-        stream=True,
-        schema=feed.schema,
-        table_format=o.table_format,
-        options=dict(o.source),
-    )
-    if o.gate_before_cleaning:
-        kept = feed.clean(gate(observed(bronze, feed.rules, feed.name), feed.rules))
-        dropped = reject(bronze, feed.rules)
-    else:
-        cleaned = feed.clean(bronze)
-        kept = gate(observed(cleaned, feed.rules, feed.name), feed.rules)
-        dropped = reject(cleaned, feed.rules)
-    yield start_append(
-        kept, tables.silver, tables.checkpoint("silver"), o.table_format, o.partition_silver_by
-    )
+def judged(raw: DataFrame, feed: Feed, before_cleaning: bool, observe: bool = False):
+    """The rows of ``raw`` that reach silver, and those set aside."""
+    shown = raw if before_cleaning else feed.clean(raw)
+    watched = observed(shown, feed.rules, feed.name) if observe else shown
+    kept = gate(watched, feed.rules)
+    return (feed.clean(kept) if before_cleaning else kept), reject(shown, feed.rules)
+
+
+def _silver(spark: SparkSession, tables: FeedTables, o: RunOptions):
+    bronze = tables.read_bronze(spark, stream=True, options=dict(o.source))
+    kept, dropped = judged(bronze, tables.feed, o.gate_before_cleaning, o.observe)
+    running = [
+        start_append(
+            kept, tables.silver, tables.checkpoint("silver"), o.table_format, o.partition_silver_by
+        )
+    ]
     if o.quarantine:
-        yield start_append(
-            dropped, tables.quarantine, tables.checkpoint("quarantine"), o.table_format
+        running.append(
+            start_append(
+                dropped, tables.quarantine, tables.checkpoint("quarantine"), o.table_format
+            )
         )
+    return running
 
 
-def _finish(running: list[StreamingQuery]) -> None:
+def _finish(running: list[StreamingQuery]) -> list[StreamingQuery]:
     for query in running:
         query.awaitTermination()
+    return running
 
 
 def run_feeds(
@@ -139,7 +177,27 @@ def run_feeds(
     options: RunOptions = RunOptions(),
 ) -> dict[str, FeedTables]:
     """One triggered run over (feed, raw folder) pairs; the feeds run side by side."""
-    tables = {feed.name: FeedTables(out_dir, feed.name) for feed, _ in inputs}
-    _finish([_bronze(spark, feed, raw, tables[feed.name], options) for feed, raw in inputs])
-    _finish([q for feed, _ in inputs for q in _silver(spark, feed, tables[feed.name], options)])
+    tables = {feed.name: FeedTables(out_dir, feed, options.table_format) for feed, _ in inputs}
+    _finish([_bronze(spark, raw, tables[feed.name], options) for feed, raw in inputs])
+    _finish([q for feed, _ in inputs for q in _silver(spark, tables[feed.name], options)])
     return tables
+
+
+def rule_counts(spark: SparkSession, tables: FeedTables) -> DataFrame:
+    """Failures per rule over everything that ever reached bronze: rule, failed."""
+    feed = tables.feed
+    return rule_metrics(feed.clean(tables.read_bronze(spark)), feed.rules)
+
+
+def publish(spark: SparkSession, tables: FeedTables, database: str = "default") -> dict[str, str]:
+    """Register bronze and silver as named, commented tables; returns their names."""
+    feed, names = tables.feed, {}
+    for layer, path, schema, comment in (
+        ("bronze", tables.bronze, feed.schema, feed.bronze_comment),
+        ("silver", tables.silver, feed.silver_schema(spark), feed.silver_comment),
+    ):
+        name = f"{database}.{feed.name}_{layer}"
+        if not spark.catalog.tableExists(name):
+            publish_table(spark, name, path, schema, comment, tables.table_format)
+        names[layer] = name
+    return names

@@ -1,0 +1,42 @@
+from collections import Counter
+
+from helpers import edits, events
+
+from millrace.operators import clean_edits, clean_events
+from millrace.schemas import (
+    EDIT_FILLED,
+    EDIT_FLATTENED,
+    EDIT_SCHEMA,
+    EDIT_STRUCTS,
+    EVENT_FILLED,
+    EVENT_SCHEMA,
+)
+
+
+def kinds(schema):
+    return Counter(f.dataType.typeName() for f in schema)
+
+
+def test_event_layout():
+    assert kinds(EVENT_SCHEMA) == {"long": 5, "integer": 11, "double": 9, "string": 36}
+    assert EVENT_SCHEMA.names.index("Event_Code") == 26
+    assert EVENT_SCHEMA.names[35] == "Actor1_Geo_Type"
+    assert EVENT_SCHEMA.names[58:] == ["Action_Geo_Feature_ID", "Date_Added", "Source_URL"]
+    assert len(EVENT_FILLED) == 34
+
+
+def test_edit_layout():
+    assert kinds(EDIT_SCHEMA) == {"long": 4, "boolean": 3, "struct": 3, "string": 16}
+    assert EDIT_STRUCTS == ("length", "meta", "revision")
+    assert len(EDIT_FILLED) == 21 and "$schema" not in EDIT_FILLED
+    assert len(EDIT_FLATTENED) == 12
+
+
+def test_silver_columns(spark):
+    silver = clean_events(events(spark, [{}]))
+    assert len(silver.columns) == 60
+    assert silver.schema["event_timestamp"].dataType.typeName() == "date"
+    silver = clean_edits(edits(spark, [{}]))
+    assert len(silver.columns) == 36
+    assert silver.schema["event_timestamp"].dataType.typeName() == "timestamp"
+    assert "meta_id" not in silver.columns
