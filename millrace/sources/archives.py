@@ -25,6 +25,8 @@ _PROBE_BYTES = 1 << 20
 # A binary cell of Spark holds less than 2 GiB; larger files are reported, not opened.
 MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024
 
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 LINE_SCHEMA = T.StructType(
     [
         T.StructField("archive", T.StringType(), True),
@@ -44,7 +46,7 @@ def read_archives(
     The size test is pushed to the source, which then never opens an oversized file.
     """
     reader = spark.readStream if stream else spark.read
-    files = reader.format("binaryFile").options(**(options or {})).load(path)
+    files = reader.format("binaryFile").schema(_FILE_SCHEMA).options(**(options or {})).load(path)
     small = files.filter(F.col("length") <= MAX_ARCHIVE_BYTES).select(
         F.col("path").alias("archive"), "content"
     )
