@@ -88,25 +88,6 @@ def read_table(
     return reader.load(path)
 
 
-def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column:
-    """JSON text of the fields of ``text`` that ``parsed`` could not take up.
-
-    These are the fields whose name the schema lacks and those whose value does not fit
-    the declared type. NULL when everything fitted.
-    """
-    fields = F.from_json(text, "map<string,string>")
-    taken = F.array_compact(
-        F.array(*[F.when(parsed.getField(n).isNotNull(), F.lit(n)) for n in schema.names])
-    )
-    known = F.array(*[F.lit(n) for n in schema.names])
-    left = F.map_filter(
-        fields,
-        lambda key, value: ~F.array_contains(known, key)
-        | (value.isNotNull() & ~F.array_contains(taken, key)),
-    )
-    return F.when(F.size(left) > 0, F.to_json(left))
-
-
 def parse_json(
     df: DataFrame,
     column: str,
@@ -119,29 +100,50 @@ def parse_json(
 
     With ``corrupt``, text that is no JSON object is kept in ``_corrupt_record``. An object
     with a single ill-typed value is not corrupt: that value is NULL, the rest is kept.
+    Whether text is an object is told from its keys alone, so that a filter on it does not
+    parse the fields a second time.
     """
-    others = [c for c in df.columns if c != column]
-    marked = F.from_json(
-        F.col(_RAW), with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT}
-    )
-    df = df.withColumnRenamed(column, _RAW).withColumn(_PARSED, marked)
-    out = [F.col(c) for c in others]
-    out += [F.col(f"{_PARSED}.`{n}`").alias(n) for n in schema.names]
+    text = F.col(_RAW)
+    others = [F.col(c) for c in df.columns if c != column]
+    if rescue:
+        parsed = F.from_json(text, with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    else:
+        parsed = F.from_json(text, schema)
+    out = others + [F.col(f"{_PARSED}.`{n}`").alias(n) for n in schema.names]
     if corrupt:
-        out.append(F.when(is_no_object(F.col(_RAW), F.col(_PARSED)), F.col(_RAW)).alias(CORRUPT))
+        out.append(F.when(~is_json_object(text), text).alias(CORRUPT))
     if rescue:
-        out.append(rescued_fields(F.col(_RAW), F.col(_PARSED), schema).alias(RESCUED))
-    return df.select(*out)
+        out.append(rescued_fields(text, F.col(_PARSED), schema).alias(RESCUED))
+    return df.withColumnRenamed(column, _RAW).withColumn(_PARSED, parsed).select(*out)
+
 
+def is_json_object(text: Column) -> Column:
+    """TRUE if the text is one JSON object, else FALSE; never NULL."""
+    opened = F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
+    return opened & F.json_object_keys(text).isNotNull()
 
-def is_no_object(text: Column, parsed: Column) -> Column:
-    """Whether the text is not one JSON object.
 
-    The second look at the text is taken only where the parser already complained.
+def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column:
+    """JSON text of the fields of ``text`` that ``parsed`` could not take up.
+
+    These are the fields whose name the schema lacks and those whose value does not fit
+    the declared type. NULL when everything fitted, which is told from the keys and from
+    the parser's own complaint without looking at the values again.
     """
-    complained = parsed[CORRUPT].isNotNull()
-    return (
-        text.isNull()
-        | ~F.startswith(F.ltrim(text), F.lit("{"))
-        | (complained & F.json_object_keys(text).isNull())
+    names = schema.names
+    fields = F.from_json(text, "map<string,string>")
+    lost = F.array_compact(
+        F.array(*[F.when(parsed.getField(n).isNull(), F.lit(n)) for n in names])
+    )
+    misfits = F.to_json(
+        F.map_filter(
+            fields,
+            lambda key, value: ~key.isin(names)
+            | (value.isNotNull() & F.array_contains(lost, key)),
+        )
+    )
+    unknown = F.to_json(F.map_filter(fields, lambda key, value: ~key.isin(names)))
+    new_keys = F.filter(F.json_object_keys(text), lambda key: ~key.isin(names))
+    return F.when(parsed.getField(CORRUPT).isNotNull(), F.nullif(misfits, F.lit("{}"))).when(
+        F.size(new_keys) > 0, unknown
     )

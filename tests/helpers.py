@@ -26,4 +26,6 @@ def edits(spark, rows):
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan with full scan details."""
+    utils = df.sparkSession._jvm.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")
