@@ -475,7 +475,7 @@ def q31_sse_table_function(spark, sf_dir):
     return spark.sql(
         """
         SELECT e.id, e.title, e.user, e.timestamp, e.revision.new AS revision_new
-        FROM q31_lines, LATERAL parse_sse(value) e
+        FROM (SELECT value FROM q31_lines WHERE startswith(value, 'data:')), LATERAL parse_sse(value) e
         """
     )
 
