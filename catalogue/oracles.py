@@ -271,6 +271,9 @@ ORACLES: dict[str, str] = {
     "q09_medallion_edits": _WITH_SILVER_EDITS
     + """SELECT id, title, "user", meta_dt, 'Unknown' AS meta_request, length_new, event_timestamp
         FROM silver_edits""",
+    "q09_medallion_archives": _WITH_SILVER + f"SELECT {_VALUES}, event_timestamp FROM silver",
+    "q09_medallion_transcripts": _WITH_SILVER_EDITS
+    + 'SELECT id, title, "user", timestamp FROM silver_edits',
     "q10_drop_columns": _WITH_FEED + f"SELECT * EXCLUDE ({', '.join(EVENT_DROPPED)}) FROM feed",
     "q11_fill_unknown": _WITH_FEED + f"SELECT Global_Event_ID, {_filled(EVENT_FILLED)} FROM feed",
     "q11_fill_unknown_edits": _WITH_EDITS

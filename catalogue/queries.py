@@ -238,6 +238,24 @@ def q09_medallion_edits(spark, sf_dir):
     )
 
 
+@query
+def q09_medallion_archives(spark, sf_dir):
+    """From landed archives to silver."""
+    raw = A.land_archives(A.events_feed(spark, sf_dir), new_dir(spark, "q09a-raw"))
+    tables = medallion.run_feeds(spark, [(medallion.ARCHIVED_EVENTS, raw)], new_dir(spark, "q09a"))
+    return tables["events"].read_silver(spark).select(*EVENT_VALUE_COLUMNS, "event_timestamp")
+
+
+@query
+def q09_medallion_transcripts(spark, sf_dir):
+    """From landed feed transcripts to silver."""
+    lines = A.sse_lines(A.edits_feed(spark, sf_dir))
+    raw = A.land_text(lines, new_dir(spark, "q09t-raw"))
+    feed = medallion.TRANSCRIBED_EDITS
+    tables = medallion.run_feeds(spark, [(feed, raw)], new_dir(spark, "q09t"))
+    return tables["edits"].read_silver(spark).select("id", "title", "user", "timestamp")
+
+
 # --- cleaning -------------------------------------------------------------------------
 
 

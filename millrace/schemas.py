@@ -201,3 +201,8 @@ EDIT_FILLED = _edit_filled()
 def with_corrupt(schema: T.StructType) -> T.StructType:
     """``schema`` plus the text column that receives rows which do not fit it."""
     return T.StructType(list(schema) + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def with_rescued(schema: T.StructType) -> T.StructType:
+    """``schema`` plus the text column for fields that found no place in it."""
+    return T.StructType(list(schema) + [T.StructField(RESCUED, T.StringType(), True)])

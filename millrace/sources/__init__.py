@@ -1,6 +1,7 @@
 from millrace.sources.archives import (
     member_events,
     members,
+    read_archived_events,
     read_archives,
     unreadable_archives,
     unzip,
@@ -21,6 +22,7 @@ __all__ = [
     "parse_json",
     "parse_sse",
     "publish_table",
+    "read_archived_events",
     "read_archives",
     "read_edits",
     "read_events",

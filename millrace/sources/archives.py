@@ -117,6 +117,14 @@ def unreadable_archives(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("error").isNotNull()).select("archive", "member", "error")
 
 
+def read_archived_events(
+    spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
+) -> DataFrame:
+    """Event rows straight from landed archives, unreadable archives left out."""
+    lines = unzip(read_archives(spark, path, stream=stream, options=options))
+    return member_events(lines).select(*EVENT_SCHEMA.names)
+
+
 def member_events(lines: DataFrame) -> DataFrame:
     """Event rows of unpacked member lines, with the archive and member they came from."""
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def first_events(df: DataFrame, key: str, batch_size: int, max_batches: int = 1) -> DataFrame:
-    """The first ``batch_size * max_batches`` rows by key.
+    """The first ``batch_size * max_batches`` rows by a unique key.
 
-    Ordered, so that a repeated or retried run gives the same rows; Spark keeps a top-n
-    per task and never sorts the whole input.
+    Ordered, so that a repeated or retried run gives the same rows. Only keys, at most n
+    per input task, are merged in one place to find the greatest key that still belongs;
+    the rows are then taken by a filter the scan can use to skip what lies above it.
     """
-    return df.orderBy(key).limit(batch_size * max_batches)
+    n = batch_size * max_batches
+    bound = df.select(key).orderBy(key).limit(n).agg(F.max(key)).scalar()
+    return df.filter(F.col(key) <= bound).orderBy(key).limit(n)

@@ -1,6 +1,10 @@
 from millrace.streaming.medallion import (
+    ARCHIVED_EVENTS,
     EDITS,
+    EDITS_WITH_RESCUED,
     EVENTS,
+    EVENTS_WITH_CORRUPT,
+    TRANSCRIBED_EDITS,
     Feed,
     FeedTables,
     RunOptions,
@@ -13,8 +17,12 @@ from millrace.streaming.medallion import (
 from millrace.streaming.minutes import read_minute_counts, start_minute_counts
 
 __all__ = [
+    "ARCHIVED_EVENTS",
     "EDITS",
+    "EDITS_WITH_RESCUED",
     "EVENTS",
+    "EVENTS_WITH_CORRUPT",
+    "TRANSCRIBED_EDITS",
     "Feed",
     "FeedTables",
     "RunOptions",

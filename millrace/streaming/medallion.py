@@ -9,7 +9,8 @@ shuffles; each output task writes what its input task read.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -25,9 +26,11 @@ from millrace.operators.quality import (
     reject,
     rule_metrics,
 )
-from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA
+from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA, with_corrupt, with_rescued
+from millrace.sources.archives import read_archived_events
 from millrace.sources.readers import read_edits, read_events, read_table
 from millrace.sources.sinks import publish_table
+from millrace.sources.sse import read_sse
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,16 @@ class Feed:
 EVENTS = Feed("events", EVENT_SCHEMA, read_events, clean_events, EVENT_RULES)
 EDITS = Feed("edits", EDIT_SCHEMA, read_edits, clean_edits, EDIT_RULES)
 
+# The same feeds from other landing formats, and with the leftovers kept in bronze.
+ARCHIVED_EVENTS = replace(EVENTS, read=read_archived_events)
+EVENTS_WITH_CORRUPT = replace(
+    EVENTS, schema=with_corrupt(EVENT_SCHEMA), read=partial(read_events, corrupt=True)
+)
+TRANSCRIBED_EDITS = replace(EDITS, read=read_sse)
+EDITS_WITH_RESCUED = replace(
+    EDITS, schema=with_rescued(EDIT_SCHEMA), read=partial(read_edits, rescue=True)
+)
+
 
 @dataclass(frozen=True)
 class FeedTables:

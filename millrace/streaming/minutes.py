@@ -35,6 +35,8 @@ def start_minute_counts(
     def store(batch: DataFrame, batch_id: int) -> None:
         partial_counts(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
+    # An empty partition, so that the table can be read before the first edit.
+    store(edits.sparkSession.createDataFrame([], "timestamp bigint"), -1)
     return (
         keep_value(edits, "wiki", wiki)
         .select("timestamp")

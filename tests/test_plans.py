@@ -10,10 +10,18 @@ from catalogue import adapters as A
 from catalogue.oracles import ORACLES
 from catalogue.queries import QUERIES
 from check import compare, connect
-from millrace.operators import EVENT_RULES, clean_edits, clean_events, gate, reject, rule_metrics
+from millrace.operators import (
+    EVENT_RULES,
+    clean_edits,
+    clean_events,
+    gate,
+    mask_events,
+    reject,
+    rule_metrics,
+)
 from millrace.plans import daily_events, daily_mentions, edits_per_minute, top_places
 from millrace.schemas import EVENT_SCHEMA
-from millrace.sources import gaps, manifest
+from millrace.sources import first_events, gaps, manifest
 
 SF = "/root/testdata/sf0.001"
 JIT_LIMIT = 8000  # bytes of code above which the JVM does not compile a method
@@ -75,6 +83,18 @@ def test_edits_per_minute_counts_before_the_shuffle(stored):
     assert sorted(c.split(":")[0] for c in read_schema(df)[0].split(",")) == ["timestamp", "wiki"]
 
 
+def test_bounded_replay_funnels_keys_only(spark, stored):
+    df = first_events(stored("events"), "Global_Event_ID", 100)
+    merged = [s for s in read_schema(df) if s == "Global_Event_ID:bigint"]
+    assert merged and plan(df).count("TakeOrderedAndProject") >= 2
+
+
+def test_membership_is_one_subquery(spark, stored):
+    members = spark.createDataFrame([("a", "g")], "user string, grp string")
+    p = plan(mask_events(stored("events"), members, "g"))
+    assert "Join" not in p and "Subquery" in p
+
+
 def test_gaps_reduce_landed_rows_before_the_join(spark):
     landed = spark.range(1000).select(
         F.expr("TIMESTAMP_NTZ'2025-07-01 03:00:00' + make_dt_interval(0, id % 2)").alias("slot"), "id"

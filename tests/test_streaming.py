@@ -1,15 +1,16 @@
-from dataclasses import replace
-
 import pytest
 from helpers import edits, events
 from pyspark.sql import functions as F
 
 from millrace.operators import EVENT_RULES, clean_edits, clean_events, gate, quarantine_metrics, reject
 from millrace.plans import edits_per_minute
-from millrace.sources import read_edits, read_sse
+from millrace.sources import read_edits
 from millrace.streaming import (
     EDITS,
+    EDITS_WITH_RESCUED,
     EVENTS,
+    EVENTS_WITH_CORRUPT,
+    TRANSCRIBED_EDITS,
     RunOptions,
     publish,
     read_minute_counts,
@@ -107,10 +108,35 @@ def test_transcripts_as_a_feed(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     (raw / "a.txt").write_text('event: message\ndata: {"id":1,"title":"A","wiki":"enwiki","timestamp":9}\n')
-    tables = run_feeds(spark, [(replace(EDITS, read=read_sse), str(raw))], str(tmp_path / "out"))
+    tables = run_feeds(spark, [(TRANSCRIBED_EDITS, str(raw))], str(tmp_path / "out"))
     assert tables["edits"].read_silver(spark).select("id", "meta_dt").first() == (1, "Unknown")
 
 
+def test_bronze_can_keep_leftovers(spark, tmp_path):
+    for name, line in (
+        ("events", "1\t20240705\n"),
+        ("edits", '{"id":1,"title":"A","wiki":"enwiki","timestamp":9,"extra":true}\n'),
+    ):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a").write_text(line)
+    inputs = [
+        (EVENTS_WITH_CORRUPT, str(tmp_path / "events")),
+        (EDITS_WITH_RESCUED, str(tmp_path / "edits")),
+    ]
+    tables = run_feeds(spark, inputs, str(tmp_path / "out"))
+    assert tables["events"].read_bronze(spark).first()["_corrupt_record"] == "1\t20240705"
+    edit = tables["edits"]
+    assert edit.read_bronze(spark).first()["_rescued_data"] == '{"extra":"true"}'
+    assert len(edit.read_silver(spark).columns) == 36 and edit.read_silver(spark).count() == 1
+
+
+def test_minute_counts_before_the_first_edit(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    stream = read_edits(spark, str(tmp_path / "raw"), stream=True)
+    start_minute_counts(stream, str(tmp_path / "o"), str(tmp_path / "cp")).awaitTermination()
+    assert read_minute_counts(spark, str(tmp_path / "o")).count() == 0
+
+
 def test_published_tables(spark, tmp_path):
     raw = str(tmp_path / "raw")
     drop(dirty(spark, 0, 10), raw, "d=1")
