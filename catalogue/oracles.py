@@ -264,6 +264,9 @@ ORACLES: dict[str, str] = {
         FROM events WHERE (event_id // {EVENTS_PER_ARCHIVE}) % {BROKEN_EVERY} = 0""",
     "q07_batched_json_sink": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type,
         value, props FROM events""",
+    "q07_transcript_to_json_batches": _WITH_EDITS
+    + f"""SELECT id, title, wiki FROM edits
+        UNION ALL SELECT NULL, NULL, NULL FROM edits WHERE id % {BAD_PAYLOAD_EVERY} = 0""",
     "q08_bounded_replay": """SELECT event_id, user_id, event_type FROM events
         ORDER BY event_id LIMIT 1000""",
     "q09_medallion_events": _WITH_SILVER

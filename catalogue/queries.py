@@ -202,6 +202,15 @@ def q07_batched_json_sink(spark, sf_dir):
     return back.select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
+@query
+def q07_transcript_to_json_batches(spark, sf_dir):
+    """A transcript landed as JSON-lines files, then read as such."""
+    path = new_dir(spark, "q07t")
+    payloads = sse.sse_payloads(_transcript(spark, sf_dir, "q07t-raw"))
+    sinks.write_payload_batches(payloads, path, batch_size=1000)
+    return readers.read_edits(spark, path).select("id", "title", "wiki")
+
+
 @query
 def q08_bounded_replay(spark, sf_dir):
     events = A.table(spark, sf_dir, "events")

@@ -9,7 +9,13 @@ from millrace.sources.archives import (
 from millrace.sources.intervals import gaps, manifest, manifest_between, slot_of
 from millrace.sources.readers import parse_json, read_edits, read_events, read_table, rescued_fields
 from millrace.sources.replay import first_events
-from millrace.sources.sinks import publish_table, write_json_batches, write_members
+from millrace.sources.sinks import (
+    publish_table,
+    start_payload_batches,
+    write_json_batches,
+    write_members,
+    write_payload_batches,
+)
 from millrace.sources.sse import parse_sse, read_lines, read_sse, readable, sse_payloads, unreadable
 
 __all__ = [
@@ -33,9 +39,11 @@ __all__ = [
     "rescued_fields",
     "slot_of",
     "sse_payloads",
+    "start_payload_batches",
     "unreadable",
     "unreadable_archives",
     "unzip",
     "write_json_batches",
     "write_members",
+    "write_payload_batches",
 ]

@@ -4,11 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
 
-def write_json_batches(df: DataFrame, path: str, batch_size: int = 100) -> None:
+def write_json_batches(
+    df: DataFrame, path: str, batch_size: int = 100, mode: str = "append"
+) -> None:
     """JSON-lines files of at most ``batch_size`` rows each; every row is written."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", batch_size).json(path)
+    df.write.mode(mode).option("maxRecordsPerFile", batch_size).json(path)
+
+
+def write_payload_batches(
+    payloads: DataFrame, path: str, batch_size: int = 100, mode: str = "append"
+) -> None:
+    """The same for one column of JSON text, which is stored as it came."""
+    payloads.write.mode(mode).option("maxRecordsPerFile", batch_size).text(path)
+
+
+def start_payload_batches(
+    payloads: DataFrame, path: str, checkpoint: str, batch_size: int = 100
+) -> StreamingQuery:
+    """Land what is available of a stream of JSON text in files of ``batch_size``, then stop."""
+    return (
+        payloads.writeStream.format("text")
+        .option("maxRecordsPerFile", batch_size)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(path)
+    )
 
 
 def write_members(lines: DataFrame, path: str) -> None:

@@ -143,6 +143,23 @@ def test_hot_key_counts(spark):
     assert rows(top_places(df)) == want
 
 
+def test_stored_view_over_stored_tables(spark, silver_events):
+    """Three-part names and a view kept in the catalog."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS marts")
+    silver_events.write.mode("overwrite").saveAsTable("marts.silver")
+    spark.sql("SELECT current_user() AS user, 'readers' AS grp").write.mode("overwrite").saveAsTable(
+        "marts.members"
+    )
+    name = "spark_catalog.marts.silver"
+    assert rows(sql_top_places(spark, name, 1)) == [("Aland", 5)]
+    for group, seen in (("readers", "Unknown"), ("others", "Restricted")):
+        view = create_masked_view(
+            spark, "marts.secure", name, "spark_catalog.marts.members", group, temporary=False
+        )
+        assert {r["SOURCEURL"] for r in view.collect()} == {seen}
+    assert spark.catalog.getTable("marts.secure").tableType == "VIEW"
+
+
 def test_masked_view(spark, silver_events):
     silver_events.withColumn("Source_URL", F.lit("http://x")).createOrReplaceTempView("mask_events")
     user = spark.sql("SELECT current_user()").first()[0]

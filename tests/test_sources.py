@@ -22,11 +22,14 @@ from millrace.sources import (
     read_lines,
     readable,
     slot_of,
+    sse_payloads,
+    start_payload_batches,
     unreadable,
     unreadable_archives,
     unzip,
     write_json_batches,
     write_members,
+    write_payload_batches,
 )
 
 
@@ -249,6 +252,38 @@ def test_json_batches_hold_every_row(spark, tmp_path):
     assert sorted(r[0] for r in sizes.collect()) == [50] + [100] * 10
 
 
+def test_transcript_lands_in_batches_batch_and_stream(spark, tmp_path):
+    raw = put(tmp_path / "raw", "a.txt", *(f'data: {{"id":{i}}}' for i in range(250)), ":heartbeat")
+    write_payload_batches(sse_payloads(read_lines(spark, raw)), str(tmp_path / "batch"), 100)
+    stream = sse_payloads(read_lines(spark, raw, stream=True))
+    for _ in range(2):
+        start_payload_batches(stream, str(tmp_path / "stream"), str(tmp_path / "cp"), 100).awaitTermination()
+    for name in ("batch", "stream"):
+        sizes = spark.read.text(str(tmp_path / name)).groupBy(F.input_file_name()).count()
+        assert sorted(r[1] for r in sizes.collect()) == [50, 100, 100]
+        ids = read_edits(spark, str(tmp_path / name)).select("id").collect()
+        assert sorted(r[0] for r in ids) == list(range(250))
+
+
+def test_archived_lines_parse_like_the_export_reader(spark, tmp_path):
+    lines = [
+        tsv(Source_URL="u"),
+        "2\t20240705",
+        tsv(Global_Event_ID="3") + "\textra",
+        tsv(Global_Event_ID="4", Quad_Class="x"),
+        tsv(Global_Event_ID="5", Actor1_Name='"un', Actor1_Country_Code="bal"),
+        tsv(Global_Event_ID="6", Actor1_Name='""'),
+        tsv(Global_Event_ID="7", Actor1_Name=" sp "),
+        "   ",
+        "x",
+    ]
+    want = read_events(spark, put(tmp_path / "raw", "a.CSV", *lines)).collect()
+    rows = [("a", "m", line, None) for line in lines]
+    frame = spark.createDataFrame(rows, "archive string, member string, value string, error string")
+    got = member_events(frame).select(*EVENT_SCHEMA.names).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 8
+
+
 def test_published_table_has_a_comment(spark, tmp_path):
     df = events(spark, [{}])
     df.write.parquet(str(tmp_path / "t"))
