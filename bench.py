@@ -27,7 +27,7 @@ from millrace.streaming import EDITS, EVENTS, FeedTables  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "4")
-RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 # End-to-end queries; each run writes, streams and reads back.
 INGEST = [
@@ -44,7 +44,7 @@ INGEST = [
     "q33_rescued_fields",
     "q34_malformed_rows",
 ]
-INGEST_RUNS = 3
+INGEST_RUNS = 2
 
 
 def session() -> SparkSession:
