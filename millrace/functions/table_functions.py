@@ -17,7 +17,6 @@ from pyspark.sql.functions import udtf
 from millrace.schemas import EDIT_SCHEMA
 
 _PREFIX = "data:"
-_ACCEPTED = {T.StringType: str, T.LongType: int, T.BooleanType: bool}
 
 
 def _payload(line: str | None) -> str | None:
@@ -36,10 +35,11 @@ def _fit(value, kind: T.DataType):
         return {f.name: _fit(value.get(f.name), f.dataType) for f in kind}
     if isinstance(kind, T.StringType) and not isinstance(value, str):
         return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
-    wanted = _ACCEPTED[type(kind)]
-    if isinstance(value, bool) and wanted is not bool:
+    if isinstance(value, bool) != isinstance(kind, T.BooleanType):
         return None
-    return value if isinstance(value, wanted) else None
+    if isinstance(kind, T.LongType) and not (isinstance(value, int) and -(2**63) <= value < 2**63):
+        return None
+    return value
 
 
 class ParseSse:

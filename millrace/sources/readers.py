@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from millrace.schemas import CORRUPT, EDIT_SCHEMA, EVENT_SCHEMA, RESCUED, with_corrupt
 
+FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
+
 _RAW = "_raw"
 _PARSED = "_parsed"
 
@@ -81,9 +83,10 @@ def read_table(
     table_format: str = "parquet",
     options: dict | None = None,
 ) -> DataFrame:
-    """A written table by path. A stream over plain files needs the schema."""
+    """A written table by path. A stream over plain files needs the schema; a table format
+    that keeps its own schema does not take one."""
     reader = _reader(spark, stream, options).format(table_format)
-    if schema is not None:
+    if schema is not None and table_format in FILE_FORMATS:
         reader = reader.schema(schema)
     return reader.load(path)
 

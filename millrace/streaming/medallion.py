@@ -177,10 +177,14 @@ def _silver(spark: SparkSession, tables: FeedTables, o: RunOptions):
     return running
 
 
-def _finish(running: list[StreamingQuery]) -> list[StreamingQuery]:
-    for query in running:
-        query.awaitTermination()
-    return running
+def _finish(running: list[StreamingQuery]) -> None:
+    """Wait for all; if one fails, stop the rest. What they committed stays committed."""
+    try:
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:
+            query.stop()
 
 
 def run_feeds(

@@ -1,5 +1,8 @@
+from dataclasses import replace
+
 import pytest
 from helpers import edits, events
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from millrace.operators import EVENT_RULES, clean_edits, clean_events, gate, quarantine_metrics, reject
@@ -83,6 +86,30 @@ def test_small_micro_batches_give_the_same(spark, tmp_path):
     )._jdf.queryExecution().executedPlan().toString()
 
 
+def test_other_file_format(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    drop(dirty(spark, 0, 10), raw, "d=1")
+    options = RunOptions(table_format="orc", quarantine=True)
+    tables = run_feeds(spark, [(EVENTS, f"{raw}/*")], str(tmp_path / "out"), options)["events"]
+    assert tables.read_silver(spark).count() + tables.read_quarantine(spark).count() == 10
+
+
+def test_failed_run_is_finished_by_the_next(spark, tmp_path):
+    """A rule that fails at run time stops the run; nothing is lost or doubled."""
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    drop(dirty(spark, 0, 60).repartition(6), raw, "d=1")
+    broken = replace(EVENTS, rules={"bad": "if(Global_Event_ID = 41, raise_error('x'), true)"})
+    options = RunOptions(source={"maxFilesPerTrigger": "1"})
+    with pytest.raises(StreamingQueryException):
+        run_feeds(spark, [(broken, f"{raw}/*")], out, options)
+    assert not spark.streams.active
+    tables = run_feeds(spark, [(EVENTS, f"{raw}/*")], out, options)["events"]
+    seen = [r[0] for r in tables.read_silver(spark).select("Global_Event_ID").collect()]
+    good = {i for i in range(60) if i % 3 and i % 5}
+    assert good <= set(seen) and len(seen) == len(set(seen))
+    assert tables.read_bronze(spark).count() == 60
+
+
 def test_gate_before_cleaning(spark):
     raw = events(spark, [{"Event_Code": None}, {}])
     kept, dropped = judged(raw, EVENTS, before_cleaning=True)

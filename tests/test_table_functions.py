@@ -8,6 +8,7 @@ def test_table_function_agrees_with_parser(spark):
     extra = [
         'data: {"id":3,"bot":true,"log_params":{"a":1},"length":{"new":5},"timestamp":7}',
         'data: {"id":"x","title":5,"bot":"no","length":3}',
+        'data: {"id":9223372036854775808,"timestamp":-9223372036854775808,"namespace":1.5}',
         "data: [1]",
         "data: {",
     ]
