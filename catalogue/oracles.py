@@ -256,6 +256,9 @@ ORACLES: dict[str, str] = {
     "q05_landing_gaps": _with(_CALENDAR)
     + f"""SELECT {_STAMP} AS stamp FROM calendar
         WHERE slot NOT IN (SELECT {_SLOT} FROM events)""",
+    "q05_landing_gaps_files": _with(_CALENDAR)
+    + f"""SELECT {_STAMP} AS stamp FROM calendar
+        WHERE {_STAMP} NOT IN (SELECT {_ARCHIVE} FROM events)""",
     "q06_zip_extract": _WITH_FEED.replace("FROM activity)", ", event_id FROM activity)")
     + f"SELECT concat({_ARCHIVE}, '.export.CSV') AS member, {_VALUES} FROM feed",
     "q06_member_store": _WITH_FEED

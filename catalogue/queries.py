@@ -165,6 +165,14 @@ def q05_landing_gaps(spark, sf_dir):
     return intervals.gaps(_calendar(spark, sf_dir), landed).select("stamp")
 
 
+@query
+def q05_landing_gaps_files(spark, sf_dir):
+    """Missing deliveries told from the files of a landing folder."""
+    folder = A.land_archives(A.events_feed(spark, sf_dir), new_dir(spark, "q05-raw"))
+    landed = intervals.landed_deliveries(spark, folder)
+    return intervals.gaps(_calendar(spark, sf_dir), landed).select("stamp")
+
+
 def _unpacked(spark, sf_dir, label) -> DataFrame:
     folder = A.land_archives(A.events_feed(spark, sf_dir), new_dir(spark, label))
     return archives.unzip(archives.read_archives(spark, folder))

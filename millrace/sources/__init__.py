@@ -6,7 +6,7 @@ from millrace.sources.archives import (
     unreadable_archives,
     unzip,
 )
-from millrace.sources.intervals import gaps, manifest, manifest_between, slot_of
+from millrace.sources.intervals import gaps, landed_deliveries, manifest, manifest_between, slot_of
 from millrace.sources.readers import parse_json, read_edits, read_events, read_table, rescued_fields
 from millrace.sources.replay import first_events
 from millrace.sources.sinks import (
@@ -21,6 +21,7 @@ from millrace.sources.sse import parse_sse, read_lines, read_sse, readable, sse_
 __all__ = [
     "first_events",
     "gaps",
+    "landed_deliveries",
     "manifest",
     "manifest_between",
     "member_events",

@@ -3,13 +3,14 @@ import json
 import zipfile
 
 import pytest
-from helpers import edits, events
+from helpers import edits, events, plan
 from pyspark.sql import functions as F
 
 from millrace.schemas import CORRUPT, EDIT_SCHEMA, EVENT_SCHEMA, RESCUED
 from millrace.sources import (
     first_events,
     gaps,
+    landed_deliveries,
     manifest,
     manifest_between,
     member_events,
@@ -172,6 +173,17 @@ def test_manifest_from_data_and_gaps_with_a_hot_slot(spark):
     assert sorted(r["stamp"] for r in missing.collect()) == ["20240101001500", "20240101004500"]
 
 
+def test_landed_deliveries(spark, tmp_path):
+    names = ["20240101000000.export.CSV.zip", "20240101003000.export.CSV.zip", "20241399000000.export.CSV.zip", "x.zip"]
+    for name in names:
+        (tmp_path / name).write_bytes(b"?")
+    landed = landed_deliveries(spark, str(tmp_path))
+    missing = gaps(manifest(spark, "20240101000000", "20240101004500"), landed)
+    assert sorted(r["stamp"] for r in missing.collect()) == ["20240101001500", "20240101004500"]
+    (columns,) = [c for c in plan(landed).splitlines() if "ReadSchema" in c] or [plan(landed)]
+    assert "content" not in columns
+
+
 # --- archives -------------------------------------------------------------------------
 
 
