@@ -11,6 +11,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ MEMBER_SUFFIX = ".CSV"
 
 _LINES_PER_BATCH = 20_000
 _PROBE_BYTES = 1 << 20
-# A binary cell of Spark holds less than 2 GiB; larger files are reported, not opened.
+# A binary cell of Spark holds less than 2 GiB; the task opens larger files itself.
 MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -41,9 +42,10 @@ _ARROW_SCHEMA = pa.schema([(f.name, pa.string()) for f in LINE_SCHEMA])
 def read_archives(
     spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
 ) -> DataFrame:
-    """Archives of a folder as (archive, content); oversized files have NULL content.
+    """Archives of a folder as (archive, content).
 
-    The size test is pushed to the source, which then never opens an oversized file.
+    A file too large for a binary cell has NULL content: the size test is pushed to the
+    source, which then does not read it, and ``unzip`` opens it by its path.
     """
     reader = spark.readStream if stream else spark.read
     files = reader.format("binaryFile").schema(_FILE_SCHEMA).options(**(options or {})).load(path)
@@ -56,6 +58,14 @@ def read_archives(
     return small.unionByName(large)
 
 
+def _opened(archive: str, content: bytes | None):
+    if content is not None:
+        return io.BytesIO(content)
+    # The source names local files file:/path, where pyarrow wants a plain path.
+    store, name = fs.FileSystem.from_uri(archive.removeprefix("file:"))
+    return store.open_input_file(name)
+
+
 def _lines_of(archive: str, content: bytes | None, suffix: str) -> Iterator[pa.RecordBatch]:
     def batch(member, values, error=None):
         n = len(values)
@@ -71,9 +81,7 @@ def _lines_of(archive: str, content: bytes | None, suffix: str) -> Iterator[pa.R
 
     member = None
     try:
-        if content is None:
-            raise ValueError("archive exceeds the size of a binary cell")
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
+        with _opened(archive, content) as file, zipfile.ZipFile(file) as z:
             for member in z.namelist():
                 if not member.endswith(suffix):
                     continue

@@ -230,13 +230,18 @@ def test_unzip_as_stream(spark, archive_dir, tmp_path):
     assert spark.read.parquet(out).count() == 45003
 
 
-def test_oversized_archive_is_reported(spark, archive_dir, monkeypatch):
+def test_oversized_archive_is_read_by_path(spark, archive_dir, monkeypatch):
     from millrace.sources import archives
 
-    monkeypatch.setattr(archives, "MAX_ARCHIVE_BYTES", 50_000)
-    lines = unzip(read_archives(spark, archive_dir))
+    monkeypatch.setattr(archives, "MAX_ARCHIVE_BYTES", 300)
+    found = read_archives(spark, archive_dir)
+    large = {r[0].split("/")[-1] for r in found.filter("content IS NULL").select("archive").collect()}
+    assert "b.zip" in large
+    lines = unzip(found)
+    ids = [r[0] for r in member_events(lines).select("Global_Event_ID").collect()]
+    assert sorted(ids) == [1, 2, 3, *range(10, 45010)]
     bad = {r["archive"].split("/")[-1] for r in unreadable_archives(lines).collect()}
-    assert bad == {"b.zip", "bad.zip", "damaged.zip"}
+    assert bad == {"bad.zip", "damaged.zip"}
 
 
 def test_member_store_replaces_only_its_members(spark, archive_dir, tmp_path):
