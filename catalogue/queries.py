@@ -16,11 +16,9 @@ from millrace.schemas import (
     CORRUPT,
     EDIT_FILLED,
     EDIT_FLATTENED,
-    EDIT_SCHEMA,
     EDIT_STRUCTS,
     EVENT_DROPPED,
     EVENT_FILLED,
-    EVENT_SCHEMA,
     RESCUED,
 )
 from millrace.sources import archives, intervals, readers, replay, sinks, sse
@@ -189,7 +187,6 @@ def q06_member_store(spark, sf_dir):
     lines = archives.members(_unpacked(spark, sf_dir, "q06s-raw"))
     store = new_dir(spark, "q06-members")
     sinks.write_members(lines, store)
-    sinks.write_members(lines, store)
     return readers.read_events(spark, store).select(
         "Global_Event_ID", "Event_Code", "Action_Geo_FullName"
     )
