@@ -35,15 +35,16 @@ SEGMENT_CHARS = 50_000
 _BOUNDARY = regex.compile(r"(?r)(?<=[A-Za-z0-9])[ \n]")
 
 
+# As a pattern: the whole input is one match.
+_WHOLE = r"(?s:.+)"
+
+
 @functools.lru_cache(maxsize=4)
-def encodings(rank_file: str, pattern: str) -> tuple[tiktoken.Encoding, tiktoken.Encoding]:
-    """The encoding, and one with the same ranks that takes its whole input as one match."""
+def encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
+    """The encoding of a rank file; a worker builds it once."""
     with open(rank_file, "rb") as lines:
         ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines) if t}
-    return tuple(
-        tiktoken.Encoding(name, pat_str=p, mergeable_ranks=ranks, special_tokens={})
-        for name, p in (("split", pattern), ("whole", r"(?s:.+)"))
-    )
+    return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def segments(text: str, most: int = SEGMENT_CHARS) -> Iterator[tuple[str, bool]]:
@@ -63,7 +64,7 @@ def segments(text: str, most: int = SEGMENT_CHARS) -> Iterator[tuple[str, bool]]
 
 def encode_text(text: str, rank_file: str, pattern: str, most: int = SEGMENT_CHARS) -> np.ndarray:
     """Ids of one text as unsigned 32-bit integers."""
-    split, whole = encodings(rank_file, pattern)
+    split = encoding(rank_file, pattern)
     if len(text) <= most:
         return split.encode_to_numpy(text, disallowed_special=())
     parts = []
@@ -71,6 +72,7 @@ def encode_text(text: str, rank_file: str, pattern: str, most: int = SEGMENT_CHA
         if safe:
             parts.append(split.encode_to_numpy(part, disallowed_special=()))
         else:
+            whole = encoding(rank_file, _WHOLE)
             for match in regex.finditer(pattern, part):
                 parts.append(whole.encode_to_numpy(match[0], disallowed_special=()))
     return np.concatenate(parts)
@@ -112,7 +114,7 @@ def decode(
     """Add the raw bytes that the ids stand for; NULL ids stand for none."""
 
     def run(batches):
-        split, _ = encodings(rank_file, pattern)
+        split = encoding(rank_file, pattern)
         for batch in batches:
             column = batch.column(ids)
             held, start = [], 0

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import byte_bpe, token_counts
+from pyspark.sql import functions as F
+
+from millrace.llm import byte_bpe, language_id, mixing, quality_rules, token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -26,9 +28,54 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, WORDS)
 
 
+# Domains of the given sources, and what each node of the tree weighs.
+DOMAINS = {
+    "web": [f"src{i}" for i in range(0, 8)],
+    "books": [f"src{i}" for i in range(8, 14)],
+}
+OTHER_DOMAIN = "code"
+MIX = mixing.Mix(
+    levels=("domain", "lang", "source"),
+    weights={("web",): 50, ("books",): 30, ("code",): 20}
+    | {(d, lang): w for d in ("web", "books", "code") for lang, w in (("en", 5), ("de", 2), ("fr", 2))},
+    budget_percent=60,
+    max_epochs=2,
+    seed=11,
+)
+WORD_COUNT = r"regexp_count(COALESCE(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    domain = F.lit(OTHER_DOMAIN)
+    for name, sources in DOMAINS.items():
+        domain = F.when(F.col("source").isin(sources), F.lit(name)).otherwise(domain)
+    return docs.withColumn("domain", domain)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents")).withColumn("n_tokens", F.expr(WORD_COUNT).cast("long"))
+    return mixing.mix(docs.select("doc_id", *MIX.levels, "n_tokens"), MIX)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    train = docs.filter(~language_id.held_out(F.col("doc_id"))).withColumnRenamed("doc_id", "id")
+    found = language_id.identify(docs, language_id.learn(train))
+    return docs.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), found.alias("f")).select(
+        "doc_id", "held_out", "f.lang_pred", "f.score", "f.rejected"
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_mixing": op3_mixing,
+    "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
