@@ -5,7 +5,9 @@ lower case, everything else a single space between words. Each order has its own
 buckets; counts enter by their logarithm, and vectors have length one. The sampled texts of
 each language are clustered on the sphere (spherical k-means), and a text gets the language
 of the centroid with the highest cosine. It is rejected if that cosine is below the
-centroid's floor, a fraction of the lowest cosines seen among the centroid's own texts.
+language's floor, a fraction of the lowest cosines seen among the language's own texts; for
+texts shorter than ``FULL_CHARS`` the floor falls with the square root of the length, as
+cosines of short texts do.
 
 The model is fit on a bounded sample (``Settings.fit_rows`` per language, about, drawn by a
 hash of the id at a rate that follows from counting all rows); every text is then judged
@@ -38,6 +40,9 @@ BLOCK_BITS = 11
 BLOCK = 1 << BLOCK_BITS
 DIMENSIONS = BLOCK * len(ORDERS)
 
+# Letters and spaces from which on the whole floor applies.
+FULL_CHARS = 400
+
 # Characters turned into n-grams at a time.
 PIECE_CHARS = 1 << 20
 
@@ -174,12 +179,9 @@ def learn(train: DataFrame, settings: Settings = Settings()) -> Model:
         rows = rows[np.lexsort((rows @ np.arange(1, DIMENSIONS + 1), rows.max(1)))]
         centres, own = _cluster(rows, settings.centroids, settings)
         best = (rows * centres[own]).sum(1)
-        floors = [
-            settings.floor_fraction * float(np.quantile(best[own == c], settings.floor_quantile)) if (own == c).any() else 0.0
-            for c in range(len(centres))
-        ]
+        floor = settings.floor_fraction * float(np.quantile(best, settings.floor_quantile))
         return pd.DataFrame(
-            {"lang": group["lang"].iloc[0], "centre": [c.astype(np.float32).tobytes() for c in centres], "floor": floors}
+            {"lang": group["lang"].iloc[0], "centre": [c.astype(np.float32).tobytes() for c in centres], "floor": floor}
         )
 
     found = vectors.groupBy("lang").applyInPandas(fit, "lang string, centre binary, floor double").collect()
@@ -202,7 +204,8 @@ def judge(texts: list[str | None], model: Model) -> tuple[list[str], list[float]
         best = int(cosines.argmax())
         langs[i] = model.languages[best]
         scores[i] = min(1.0, max(0.0, float(cosines[best])))
-        rejected[i] = scores[i] < model.floors[best]
+        length = counts[:BLOCK].sum()
+        rejected[i] = bool(scores[i] < model.floors[best] * min(1.0, math.sqrt(length / FULL_CHARS)))
     return langs, scores, rejected
 
 

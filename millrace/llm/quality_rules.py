@@ -35,6 +35,7 @@ FEATURES = (
     "exclaim_share",
     "repeat_share",
     "dup_line_share",
+    "distinct_share",
     "word_length",
     "n_words",
 )
@@ -97,6 +98,7 @@ def statistics(text: Column) -> Column:
             (s["n_exclaim"] / words).alias("exclaim_share"),
             (s["n_repeat_words"] / words).alias("repeat_share"),
             (s["n_dup_lines"] / lines).alias("dup_line_share"),
+            (s["n_distinct"] / words).alias("distinct_share"),
             (s["word_chars"] / words).alias("word_length"),
         )
 
@@ -114,6 +116,7 @@ def statistics(text: Column) -> Column:
                     F.size(ls).alias("n_lines"),
                     (F.size(ls) - F.size(F.array_distinct(ls))).alias("n_dup_lines"),
                     _repeated_words(ws).alias("n_repeat_words"),
+                    F.size(F.array_distinct(ws)).alias("n_distinct"),
                     (F.length(t) - _without(t, CAPITALS)).alias("n_capitals"),
                     (F.length(t) - _without(t, "!")).alias("n_exclaim"),
                 ),
@@ -146,7 +149,8 @@ class Settings:
 
     ``fit_rows`` bounds the labelled rows used (about, by a hash of the id); all other
     numbers bound the list itself. A rule is accepted if, on the rows it was pruned on, at
-    least ``min_precision`` of what it covers is bad.
+    least ``min_precision`` of what it covers is bad. A threshold whose gain is ``nearly`` the
+    best may stand in for it.
     """
 
     fit_rows: int = 20_000
@@ -155,6 +159,7 @@ class Settings:
     max_conditions: int = 3
     min_covered: int = 5
     min_precision: float = 0.97
+    nearly: float = 0.97
 
 
 def labelled(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -187,18 +192,19 @@ def _covered(rules: list[Rule]) -> Column:
 
 
 def _cuts(rows: DataFrame, settings: Settings) -> dict[str, list[float]]:
-    """Candidate thresholds: quantiles of each feature in both classes."""
+    """Candidate thresholds: quantiles of each feature in both classes, and their midpoints."""
     steps = [i / settings.thresholds for i in range(settings.thresholds + 1)]
     found = rows.groupBy("bad").agg(*[F.percentile_approx(f, steps, 1000).alias(f) for f in FEATURES])
     cuts: dict[str, set[float]] = {f: set() for f in FEATURES}
     for row in found.collect():  # two rows
         for f in FEATURES:
             cuts[f].update(row[f] or ())
-    return {f: sorted(c) for f, c in cuts.items()}
+    ordered = {f: sorted(c) for f, c in cuts.items()}
+    return {f: sorted(c + [(a + b) / 2 for a, b in zip(c, c[1:])]) for f, c in ordered.items()}
 
 
-def _best(rows: DataFrame, cuts: dict[str, list[float]], rule: Rule) -> tuple[Condition, float] | None:
-    """The condition with the highest FOIL gain over ``rows``, which satisfy ``rule``."""
+def _best(rows: DataFrame, cuts: dict[str, list[float]], settings: Settings) -> Condition | None:
+    """The condition with the highest FOIL gain over ``rows``."""
     def bin_of(feature: str) -> Column:
         """How many cuts lie below the value."""
         below = F.filter(F.array(*map(F.lit, cuts[feature])), lambda cut: cut < F.col(feature))
@@ -211,7 +217,7 @@ def _best(rows: DataFrame, cuts: dict[str, list[float]], rule: Rule) -> tuple[Co
     counts: dict[str, dict[int, tuple[int, int]]] = {}
     for r in split.agg(F.count_if("bad").alias("p"), F.count_if(~F.col("bad")).alias("n")).collect():
         counts.setdefault(r.feature, {})[r.bin] = (r.p, r.n)
-    best = None
+    gains: list[tuple[float, Condition]] = []
     for feature in sorted(counts):
         total_p = sum(p for p, _ in counts[feature].values())
         total_n = sum(n for _, n in counts[feature].values())
@@ -223,10 +229,18 @@ def _best(rows: DataFrame, cuts: dict[str, list[float]], rule: Rule) -> tuple[Co
             p, n = counts[feature].get(i, (0, 0))
             below_p, below_n = below_p + p, below_n + n
             for above, (p, n) in ((False, (below_p, below_n)), (True, (total_p - below_p, total_n - below_n))):
-                gain = p * (math.log2(p / (p + n)) - before) if p else 0.0
-                if gain > 1e-9 and (best is None or gain > best[1]):
-                    best = Condition(feature, above, cut), gain
-    return best
+                if p:
+                    gains.append((p * (math.log2(p / (p + n)) - before), Condition(feature, above, cut)))
+    best = max(gains, key=lambda g: g[0], default=(0.0, None))
+    if best[0] <= 1e-9:
+        return None
+    # Of nearly equal thresholds the one that covers least, to spare unseen good documents.
+    like = [
+        c
+        for gain, c in gains
+        if gain >= settings.nearly * best[0] and (c.feature, c.above) == (best[1].feature, best[1].above)
+    ]
+    return (max if best[1].above else min)(like, key=lambda c: c.threshold)
 
 
 def learn(rows: DataFrame, settings: Settings = Settings()) -> list[Rule]:
@@ -242,10 +256,10 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> list[Rule]:
         left = grow.filter(~_covered(rules))
         rule: Rule = ()
         while len(rule) < settings.max_conditions:
-            found = _best(left.filter(_all(rule)), cuts, rule)
-            if found is None or found[0] in rule:
+            found = _best(left.filter(_all(rule)), cuts, settings)
+            if found is None or found in rule:
                 break
-            rule += (found[0],)
+            rule += (found,)
         if not rule:
             break
         # Prune: the shortest beginning of the rule with the best worth on unseen rows.

@@ -7,7 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_bpe, language_id, mixing, quality_rules, token_counts
+from millrace.llm import (
+    byte_bpe,
+    language_id,
+    minhash,
+    mixing,
+    multi_index,
+    quality_rules,
+    sharding,
+    token_counts,
+)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +66,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", *MIX.levels, "n_tokens"), MIX)
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=3, percent=85))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     train = docs.filter(~language_id.held_out(F.col("doc_id"))).withColumnRenamed("doc_id", "id")
@@ -70,12 +83,31 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"), n_shards=24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
+    "op5_minhash": op5_minhash,
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_sharding": op9_sharding,
+    "op10_multi_index": op10_multi_index,
 }
 
 ORACLES: dict[str, str] = {}
