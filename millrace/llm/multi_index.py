@@ -40,14 +40,16 @@ BLOCK_VISITORS = 2048
 @dataclass(frozen=True)
 class Settings:
     """``fit_rows`` classes (about) train the codebooks; ``queries`` classes (about) measure
-    how many visits reach ``recall`` of all links from one side."""
+    how many visits reach ``recall`` of all links from one side. The grid has a cell for about
+    ``cell_rows`` classes, up to ``most_codewords`` in each half."""
 
     threshold: float = 0.93
     fit_rows: int = 10_000
-    queries: int = 400
-    recall: float = 0.995
+    queries: int = 1000
+    recall: float = 0.999
     least_visits: int = 2
-    most_codewords: int = 32
+    cell_rows: int = 256
+    most_codewords: int = 256
     iterations: int = 10
     seed: int = 3
 
@@ -114,9 +116,13 @@ def _draw(classes: DataFrame, rows: int, n: int, name: str) -> DataFrame:
     return classes.filter(F.pmod(F.xxhash64(F.lit(name), "node"), F.lit(1_000_000_000)) < rate)
 
 
+def _in_one(sample: DataFrame):
+    return sample.select("node", "vector", F.lit(0).alias("all")).groupBy("all")
+
+
 def build(classes: DataFrame, n: int, width: int, settings: Settings) -> Index:
     """Codebooks from a bounded sample of ``classes``, which are ``n``."""
-    k = max(2, min(settings.most_codewords, 2 ** round(math.log2(max(4, math.sqrt(min(n, settings.fit_rows)) / 2)))))
+    k = max(4, min(settings.most_codewords, 2 ** round(math.log2(math.sqrt(max(1.0, n / settings.cell_rows))))))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         rows = _unit(group.sort_values("node")["vector"].tolist(), width)
@@ -124,10 +130,10 @@ def build(classes: DataFrame, n: int, width: int, settings: Settings) -> Index:
         books = [_kmeans(part, k, settings) for part in (rows[:, :half], rows[:, half:])]
         return pd.DataFrame({"half": [0, 1], "size": [len(b) for b in books], "book": [b.tobytes() for b in books]})
 
-    sample = _draw(classes, settings.fit_rows, n, "fit").select("node", "vector")
-    found = sample.groupBy(F.lit(0)).applyInPandas(fit, "half int, size int, book binary").collect()
-    if not found:  # a draw of nothing from a few rows
-        found = classes.limit(100).select("node", "vector").groupBy(F.lit(0)).applyInPandas(fit, "half int, size int, book binary").collect()
+    sample = _draw(classes, settings.fit_rows, n, "fit")
+    found = _in_one(sample).applyInPandas(fit, "half int, size int, book binary").collect()
+    if not found:  # the draw came out empty
+        found = _in_one(classes.limit(100)).applyInPandas(fit, "half int, size int, book binary").collect()
     return Index(*[np.frombuffer(r.book).reshape(r.size, -1) for r in sorted(found, key=lambda r: r.half)])
 
 
@@ -181,11 +187,11 @@ def _placed(classes: DataFrame, index: Index, visits: int, width: int) -> DataFr
             one, two = index.distances(rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(c) for c in ("node", "label", "size", "n", "vector")),
+                    *batch.columns,
                     pa.array(index.cells(rows)),
                     pa.array([traversal(a, b, visits) for a, b in zip(one, two)], pa.list_(pa.int32())),
                 ],
-                names=["node", "label", "size", "n", "vector", "cell", "visits"],
+                names=[*batch.schema.names, "cell", "visits"],
             )
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in classes.schema)

@@ -204,7 +204,7 @@ def _last(parcels: DataFrame, n_shards: int | None, capacity: int) -> DataFrame:
         rows["base"] = _offsets(rows)
         return rows.rename(columns={"item": "parcel", "bin": "shard"})[["parcel", "shard", "base"]]
 
-    return parcels.groupBy(F.lit(0)).applyInPandas(pack, "parcel string, shard int, base long")
+    return parcels.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(pack, "parcel string, shard int, base long")
 
 
 def shards(docs: DataFrame, *, n_shards: int | None = None, capacity: int | None = None) -> DataFrame:
