@@ -47,7 +47,7 @@ class Settings:
     fit_rows: int = 10_000
     queries: int = 1000
     recall: float = 0.999
-    least_visits: int = 2
+    least_visits: int = 4
     cell_rows: int = 256
     most_codewords: int = 256
     iterations: int = 10
@@ -138,7 +138,8 @@ def build(classes: DataFrame, n: int, width: int, settings: Settings) -> Index:
 
 
 def visits_needed(classes: DataFrame, n: int, width: int, index: Index, settings: Settings) -> int:
-    """Visits after which the wanted share of the links of a bounded query set is reached."""
+    """Twice the visits that reach the wanted share of the links of a bounded query set; the
+    second half is for links that the set does not show."""
     queries = _draw(classes, settings.queries, n, "query").select("node", "label", "vector").collect()
     if not queries:
         return settings.least_visits
@@ -172,7 +173,7 @@ def visits_needed(classes: DataFrame, n: int, width: int, index: Index, settings
     for rank in sorted(counts):
         reached += counts[rank]
         if reached >= settings.recall * total:
-            return max(settings.least_visits, rank)
+            return max(settings.least_visits, 2 * rank)
     return settings.least_visits
 
 
