@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from millrace.llm import (
     byte_bpe,
+    chat_format,
     language_id,
     minhash,
     mixing,
     multi_index,
+    oracles,
     quality_rules,
     sharding,
     token_counts,
+    url_filters,
 )
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,6 +29,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# How the transcripts derived from the conversations write their speakers, by style.
+STYLES = (
+    {"system": "System: ", "user": "User: ", "assistant": "Assistant: "},
+    {"system": "Instructions: ", "user": "Human: ", "assistant": "AI: "},
+    {"system": "<|system|> ", "user": "<|user|> ", "assistant": "<|assistant|> "},
+    {"system": "### Context:", "user": "### Question:", "assistant": "### Response:"},
+)
+
+
+def transcripts(turns: DataFrame) -> DataFrame:
+    """Turns as raw transcripts have them: a marker in the style of the conversation at the
+    head of five turns in six, none at the sixth."""
+    head = F.lit("")
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(STYLES)))
+    for i, names in enumerate(STYLES):
+        for role, marker in names.items():
+            head = F.when((style == i) & (F.col("role") == role), F.lit(marker)).otherwise(head)
+    bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)) == 0
+    text = F.concat(F.when(bare, F.lit("")).otherwise(head), F.coalesce("text", F.lit("")))
+    return turns.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = transcripts(table(spark, sf_dir, "conversations"))
+    model = chat_format.learn(raw)
+    lines = chat_format.split_lines(raw.withColumnRenamed("role", "truth"))
+    return chat_format.render(chat_format.recover(lines, model)).drop("text")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
@@ -66,6 +98,35 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs.select("doc_id", *MIX.levels, "n_tokens"), MIX)
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with the day of the year they count as fetched on."""
+    return pages.select("page_id", "url", F.expr("date_add(DATE'2024-01-01', CAST(page_id * 37 % 365 AS INT))").alias("fetched_on"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list over the hosts, domains and folders of all pages.
+
+    The kind of entry, its day and whether it lists or releases follow from id and URL.
+    """
+    host = url_filters.host_of(F.col("url"))
+    parent = F.regexp_replace(host, r"^[^.]*\.", "")
+    folder = F.regexp_extract(url_filters.path_of(F.col("url")), "^(/[^/]*/)", 1)
+    kind = F.col("page_id") % 3
+    key = (
+        F.when(kind == 0, F.concat(F.lit("host:"), host))
+        .when(kind == 1, F.concat(F.lit("domain:"), parent))
+        .when(folder != "", F.concat(F.lit("path:"), host, folder))
+    )
+    action = F.when(F.length("url") % 3 == 0, F.lit(url_filters.BLOCK)).otherwise(F.lit(url_filters.RELEASE))
+    day = F.expr("date_add(DATE'2024-01-01', CAST(page_id * 53 % 365 AS INT))")
+    return pages.select(key.alias("key"), action.alias("action"), day.alias("day"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.evaluate(captures(pages), list_entries(pages))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=3, percent=85))
 
@@ -100,8 +161,10 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
+    "op4_url_filters": op4_url_filters,
     "op5_minhash": op5_minhash,
     "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
@@ -110,4 +173,7 @@ QUERIES = {
     "op10_multi_index": op10_multi_index,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mixing": oracles.mixing(MIX, DOMAINS, OTHER_DOMAIN),
+    "op4_url_filters": oracles.URL_FILTERS,
+}
