@@ -100,12 +100,11 @@ def encode(
             rest = batch.drop_columns(["_text"])
             yield with_columns(rest, **{ids: column})
 
-    new = T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))])
     source = df.withColumnRenamed(text, "_text")
-    kept, schema = _fields(source, new)
-    kept = [c for c in kept if c != "_text"]
+    kept, schema = _fields(source, T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))]))
     schema = T.StructType([f for f in schema if f.name != "_text"])
-    return source.select(*[F.col(f"`{c}`") for c in kept], "_text").mapInArrow(run, schema)
+    kept = [F.col(f"`{c}`") for c in kept if c != "_text"]
+    return source.select(*kept, "_text").mapInArrow(run, schema)
 
 
 def decode(
@@ -132,11 +131,11 @@ def decode(
     return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
 
 
-def digests(df: DataFrame, *, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Replace ids and bytes by their number and their SHA-256 in lower-case hex."""
+def digests(df: DataFrame, *, ids: str = "ids", decoded: str = "decoded", keep_ids: bool = False) -> DataFrame:
+    """Replace ids (unless kept) and bytes by their number and their SHA-256 in lower-case hex."""
     words = F.array_join(F.col(ids).cast("array<string>"), " ")
     return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c not in (ids, decoded)],
+        *[F.col(f"`{c}`") for c in df.columns if c != decoded and (keep_ids or c != ids)],
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(words.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded), 256).alias("decoded_sha256"),
