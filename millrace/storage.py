@@ -2,29 +2,23 @@
 
 Executors and driver must see the same files and any of them may be lost, so written
 tables and streaming checkpoints live below the shared folder that the cluster names in
-``spark.checkpoint.dir``. Only a local session without that setting falls back to a
-temporary folder of this machine.
+``spark.checkpoint.dir``, or below the session's warehouse where that is unset.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 SHARED_DIR_KEY = "spark.checkpoint.dir"
+WAREHOUSE_KEY = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder of the session, or a fresh local one in local mode."""
+    """The shared folder of the session."""
     root = spark.conf.get(SHARED_DIR_KEY, None)
-    if root:
-        return root.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise ValueError(f"set {SHARED_DIR_KEY} to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="millrace-")
+    return root.rstrip("/") if root else f"{spark.conf.get(WAREHOUSE_KEY).rstrip('/')}/_shared"
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
