@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.rows import durable
+
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2 * role: first line; 2 * role + 1: further line
 
@@ -99,7 +101,7 @@ def learn(turns: DataFrame, settings: Settings = Settings()) -> Model:
     known = turns.filter(F.col("role").isin(*ROLES) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     rate = min(1.0, settings.fit_rows / max(1, known.count()))
     draw = F.pmod(F.xxhash64(F.lit("fit"), "conv_id", "turn"), F.lit(1_000_000_000)) < math.ceil(1e9 * rate)
-    sample = known.filter(draw).select("conv_id", "turn", "role", "text").checkpoint()  # bounded
+    sample = known.filter(draw).select("conv_id", "turn", "role", "text").transform(durable)  # bounded
     lines = with_features(split_lines(sample))
     role = sum((F.when(F.col("role") == r, F.lit(2 * i)).otherwise(0) for i, r in enumerate(ROLES)), F.lit(0))
     state = role + (F.col("line") > 0).cast("int")
@@ -271,7 +273,7 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
     firsts = rows.groupBy("conv_id").agg(F.min("chunk").alias("first_chunk"))
     firsts = firsts.withColumnRenamed("conv_id", "of")
     rows = rows.join(firsts, F.col("conv_id").eqNullSafe(F.col("of"))).withColumn("first", F.col("chunk") == F.col("first_chunk"))
-    rows = rows.select(*_ORDER, "first", *features, stripped(F.coalesce("text", F.lit("")), F.col("marker")).alias("text"), "truth").checkpoint()
+    rows = rows.select(*_ORDER, "first", *features, stripped(F.coalesce("text", F.lit("")), F.col("marker")).alias("text"), "truth").transform(durable)
     narrow = rows.select(*_ORDER, "first", *features).repartition("conv_id", "chunk").sortWithinPartitions(*_ORDER, *features)
     ends = _ends(narrow.mapInArrow(matrices, f"conv_id {kind}, chunk long, best array<double>"), model)
     ends = ends.select(F.col("conv_id").alias("e_conv"), F.col("chunk").alias("e_chunk"), "entry", "leave")

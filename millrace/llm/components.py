@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.rows import durable
+
 _MAX_ROUNDS = 60
 _BATCH_EDGES = 200_000
 
@@ -66,7 +68,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     low, high = F.least(a, b).cast("long"), F.greatest(a, b).cast("long")
     own = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     stars = own.select(high.alias("u"), low.alias("v")).mapInArrow(_forest, "u long, v long")
-    stars = stars.distinct().checkpoint()
+    stars = stars.distinct().transform(durable)
     mark = None
     for _ in range(_MAX_ROUNDS):
         state = stars.agg(
@@ -75,7 +77,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if (state.n, state.h) == mark or not state.n:
             break
         mark = (state.n, state.h)
-        stars = _small_star(_large_star(stars)).checkpoint()
+        stars = _small_star(_large_star(stars)).transform(durable)
     else:
         raise RuntimeError("components did not settle")
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.rows import durable
+
 UNKNOWN = "und"
 
 ORDERS = (1, 2, 3)
@@ -164,7 +166,7 @@ def learn(train: DataFrame, settings: Settings = Settings()) -> Model:
     """``train`` has id, text and lang; rows with a NULL text or lang teach nothing."""
     train = train.select("id", "text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     vectors = _sample(train, settings).mapInArrow(_vectorise, "lang string, bucket array<int>, n array<int>")
-    vectors = vectors.checkpoint()  # bounded: the sample
+    vectors = vectors.transform(durable)  # bounded: the sample
     seen = np.zeros(DIMENSIONS)
     for r in vectors.select(F.explode("bucket").alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect():
         seen[r.b] = r.n

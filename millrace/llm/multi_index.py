@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
+from millrace.llm.rows import durable
 
 # Members and visitors in a block.
 BLOCK_MEMBERS = 512
@@ -273,7 +274,7 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
         .groupBy("node", "label", F.col("embedding").alias("vector"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("rep"))
         .withColumn("size", F.size("vector"))
-        .checkpoint()
+        .transform(durable)
     )
     whole = classes.agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("width")).first()
     if not whole.n:
@@ -282,7 +283,7 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
         )
     index = build(classes, whole.n, whole.width, settings)
     visits = visits_needed(classes, whole.n, whole.width, index, settings)
-    placed = _placed(classes.drop("rep"), index, visits, whole.width).checkpoint()
+    placed = _placed(classes.drop("rep"), index, visits, whole.width).transform(durable)
     width, threshold = whole.width, settings.threshold
 
     def verify(block: pd.DataFrame) -> pd.DataFrame:
@@ -292,7 +293,7 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
         _blocks(placed)
         .groupBy("label", "size", "cell", "i", "j")
         .applyInPandas(verify, "node long, n_links long, root long")
-        .checkpoint()
+        .transform(durable)
     )
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("n_links").alias("n_links"))

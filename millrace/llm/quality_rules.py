@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.rows import durable
+
 # Word characters, symbols and window of the contract of these statistics.
 WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
@@ -248,7 +250,7 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> list[Rule]:
 
     The sample is checkpointed, since every step reads it again.
     """
-    rows = rows.checkpoint()
+    rows = rows.transform(durable)
     grow, prune = rows.filter(~F.col("prune")), rows.filter("prune")
     cuts = _cuts(grow, settings)
     rules: list[Rule] = []

@@ -1,10 +1,13 @@
-"""Small helpers around Arrow batches."""
+"""Small helpers around Arrow batches and written intermediate results."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from millrace.storage import shared_root
 
 # Text a worker turns into results at a time; bounds its memory whatever the batch size.
 SLICE_BYTES = 8 << 20
@@ -32,3 +35,14 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         batch.columns + list(columns.values()), names=batch.schema.names + list(columns)
     )
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder at once, so that lost executors cost no history.
+
+    The folder is that of ``spark.checkpoint.dir``; only a session without it gets one.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{shared_root(df.sparkSession)}/checkpoints")
+    return df.checkpoint()

@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.rows import durable
+
 # Groups packed in one task, and parcels packed in the last one.
 CELL_ITEMS = 20_000
 LAST_ITEMS = 40_000
@@ -181,10 +183,10 @@ def _level(items: DataFrame, capacity: int, level: int) -> DataFrame:
 
 def _parcels(items: DataFrame, capacity: int, level: int = 1) -> tuple[DataFrame, DataFrame]:
     """(item, parcel, offset) of all items, and the parcels as items of the last level."""
-    placed = _level(items, capacity, level).checkpoint()
+    placed = _level(items, capacity, level).transform(durable)
     parcels = placed.groupBy(F.col("parcel").alias("item")).agg(
         F.sum("n").cast("long").alias("n"), F.sum("bytes").cast("long").alias("bytes")
-    ).checkpoint()
+    ).transform(durable)
     if parcels.count() <= LAST_ITEMS:
         return placed.select("item", "parcel", "offset"), parcels
     # Cells leave a part-filled parcel each; these are packed again.
@@ -221,7 +223,7 @@ def shards(docs: DataFrame, *, n_shards: int | None = None, capacity: int | None
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64("text").alias("h1"),
         F.xxhash64(F.lit("second"), "text").alias("h2"),
-    ).checkpoint()
+    ).transform(durable)
     whole = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
     shard_bytes = capacity or max(1, -(-whole.bytes // n_shards))
     parcel_bytes = max(1, shard_bytes // PARCELS)
@@ -239,7 +241,7 @@ def shards(docs: DataFrame, *, n_shards: int | None = None, capacity: int | None
     units = (
         units.withColumn("before", F.sum("n").over(inside) - F.col("n"))
         .withColumn("item", F.concat_ws(".", F.hex("h1"), F.hex("h2"), "piece"))
-        .checkpoint()
+        .transform(durable)
     )
     items = units.groupBy("item").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
     placed, parcels = _parcels(items, parcel_bytes)
