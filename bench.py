@@ -131,8 +131,7 @@ def landed_queries(spark: SparkSession) -> dict:
         "json_read_with_rescue": lambda: S.read_edits(spark, json_lines, rescue=True),
         "sse_parse": lambda: S.read_sse(spark, transcript),
         "sse_table_function": lambda: spark.sql(
-            "SELECT e.id, e.title FROM (SELECT value FROM bench_lines"
-            " WHERE startswith(value, 'data:')), LATERAL parse_sse(value) e"
+            "SELECT e.id, e.title FROM parse_sse(TABLE(SELECT value FROM bench_lines)) e"
         ),
         "archives_to_events": lambda: S.read_archived_events(spark, archives),
         "payload_batches": batches,

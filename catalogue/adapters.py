@@ -164,25 +164,30 @@ def tsv_line(df: DataFrame) -> Column:
     return F.to_csv(F.struct(*df.columns), {"sep": "\t"})
 
 
-BAD_PAYLOAD_EVERY = 97
+# Which records get a second payload that is no JSON object, by kind, and which have a byte
+# behind their payload that is no UTF-8.
+NO_JSON_EVERY = 97
+SINGLE_QUOTES_EVERY = 89
+TRAILING_TEXT_EVERY = 83
+BAD_BYTE_EVERY = 79
 
 
 def sse_lines(edits: DataFrame) -> DataFrame:
     """Transcript lines of the records, with the other kinds of line a feed has.
 
-    Some payloads follow the prefix without a space, and some records get a second payload
-    that is no JSON.
+    White space of several kinds, or none, stands between prefix and payload.
     """
-    payload = F.to_json(F.struct(*edits.columns))
-    prefix = F.when(F.col("id") % 2 == 0, F.lit("data:")).otherwise(F.lit("data: "))
-    broken = F.when(
-        F.col("id") % BAD_PAYLOAD_EVERY == 0, F.concat(F.lit("data: not json "), F.col("id").cast("string"))
-    )
+    payload, i = F.to_json(F.struct(*edits.columns)), F.col("id")
+    text = i.cast("string")
+    bad_byte = F.when(i % BAD_BYTE_EVERY == 0, F.unhex(F.lit("FF")).cast("string")).otherwise(F.lit(""))
+    prefix = F.when(i % 3 == 0, F.lit("data:")).when(i % 3 == 1, F.lit("data: ")).otherwise(F.lit("data:\t"))
     lines = F.array(
         F.lit("event: message"),
-        F.concat(F.lit('id: [{"offset":'), F.col("id").cast("string"), F.lit("}]")),
-        F.concat(prefix, payload),
-        broken,
+        F.concat(F.lit('id: [{"offset":'), text, F.lit("}]")),
+        F.concat(prefix, payload, bad_byte),
+        F.when(i % NO_JSON_EVERY == 0, F.concat(F.lit("data: not json "), text)),
+        F.when(i % SINGLE_QUOTES_EVERY == 0, F.concat(F.lit("data: {'id':"), text, F.lit("}"))),
+        F.when(i % TRAILING_TEXT_EVERY == 0, F.concat(F.lit('data: {"id":'), text, F.lit("} trailing"))),
         F.lit(""),
         F.lit(":heartbeat"),
     )

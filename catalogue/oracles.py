@@ -5,7 +5,13 @@ The texts read the given tables directly; nothing the library wrote takes part.
 
 from __future__ import annotations
 
-from catalogue.adapters import BAD_PAYLOAD_EVERY, BROKEN_EVERY, EVENTS_PER_ARCHIVE
+from catalogue.adapters import (
+    BROKEN_EVERY,
+    EVENTS_PER_ARCHIVE,
+    NO_JSON_EVERY,
+    SINGLE_QUOTES_EVERY,
+    TRAILING_TEXT_EVERY,
+)
 from catalogue.queries import (
     EMPTY_FIRST,
     EMPTY_LAST,
@@ -15,7 +21,27 @@ from catalogue.queries import (
     PLACE,
     WORD,
 )
-from millrace.schemas import EDIT_FILLED, EVENT_DROPPED, EVENT_FILLED, EVENT_SCHEMA
+from millrace.schemas import EVENT_SCHEMA
+
+# Columns that are dropped, and columns whose missing values become Unknown.
+EVENT_DROPPED = """
+    Actor1_Type2_Code Actor2_Type2_Code
+""".split()
+EVENT_FILLED = """
+    Actor1_Code Actor1_Name Actor1_Country_Code Actor1_Known_Group_Code Actor1_Ethnic_Code
+    Actor1_Religion1_Code Actor1_Religion2_Code Actor1_Religion3_Code Actor1_Type1_Code
+    Actor1_Type3_Code Actor2_Code Actor2_Name Actor2_Known_Group_Code Actor2_Ethnic_Code
+    Actor2_Religion1_Code Actor2_Religion2_Code Actor2_Religion3_Code Actor2_Type1_Code
+    Event_Code Event_Base_Code Event_Root_Code Actor1_Geo_FullName Actor1_Geo_Country_Code
+    Actor1_Geo_ADM1_Code Actor1_Geo_Geonames_ID Actor2_Geo_FullName Actor2_Geo_Country_Code
+    Actor2_Geo_ADM1_Code Actor2_Geo_Geonames_ID Action_Geo_FullName Action_Geo_Country_Code
+    Action_Geo_ADM1_Code Action_Geo_Geonames_ID Source_URL
+""".split()
+EDIT_FILLED = """
+    comment log_action log_action_comment log_params log_type notify_url parsedcomment
+    server_name server_script_path server_url title title_url type user wiki meta_domain
+    meta_dt meta_request meta_stream meta_topic meta_uri
+""".split()
 
 _SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
 
@@ -243,14 +269,21 @@ _NULL_TEXT = ", ".join(
     and not c.startswith("meta_")
 )
 
+_OTHER_PAYLOADS = f"""
+SELECT concat('not json ', CAST(event_id AS VARCHAR)) AS payload, NULL AS lenient_id
+FROM activity WHERE event_id % {NO_JSON_EVERY} = 0
+UNION ALL SELECT concat('{{''id'':', CAST(event_id AS VARCHAR), '}}'), event_id
+FROM activity WHERE event_id % {SINGLE_QUOTES_EVERY} = 0
+UNION ALL SELECT concat('{{"id":', CAST(event_id AS VARCHAR), '}} trailing'), event_id
+FROM activity WHERE event_id % {TRAILING_TEXT_EVERY} = 0"""
+
 ORACLES: dict[str, str] = {
     "q01_tsv_stream_ingest": _WITH_FEED + f"SELECT {_VALUES} FROM feed",
     "q02_json_stream_ingest": _WITH_EDITS
     + 'SELECT id, title, "user", wiki, bot, timestamp, meta_dt, meta_partition, length_new,'
     " revision_old FROM edits",
     "q03_sse_parse": _WITH_EDITS + 'SELECT id, title, "user", timestamp, revision_new FROM edits',
-    "q03_sse_corrupt": f"""SELECT concat('not json ', CAST(event_id AS VARCHAR)) AS payload
-        FROM events WHERE event_id % {BAD_PAYLOAD_EVERY} = 0""",
+    "q03_sse_corrupt": _with(_ACTIVITY) + f"SELECT payload FROM ({_OTHER_PAYLOADS})",
     "q04_interval_manifest": _with(_CALENDAR)
     + f"SELECT {_STAMP} AS stamp, concat({_STAMP}, '.export.CSV.zip') AS file_name FROM calendar",
     "q05_landing_gaps": _with(_CALENDAR)
@@ -268,8 +301,9 @@ ORACLES: dict[str, str] = {
     "q07_batched_json_sink": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type,
         value, props FROM events""",
     "q07_transcript_to_json_batches": _WITH_EDITS
+    # The landed text is read by the ordinary JSON reader, which is lenient.
     + f"""SELECT id, title, wiki FROM edits
-        UNION ALL SELECT NULL, NULL, NULL FROM edits WHERE id % {BAD_PAYLOAD_EVERY} = 0""",
+        UNION ALL SELECT lenient_id, NULL, NULL FROM ({_OTHER_PAYLOADS})""",
     "q08_bounded_replay": """SELECT event_id, user_id, event_type FROM events
         ORDER BY event_id LIMIT 1000""",
     "q09_medallion_events": _WITH_SILVER
@@ -280,6 +314,13 @@ ORACLES: dict[str, str] = {
     "q09_medallion_archives": _WITH_SILVER + f"SELECT {_VALUES}, event_timestamp FROM silver",
     "q09_medallion_transcripts": _WITH_SILVER_EDITS
     + 'SELECT id, title, "user", timestamp FROM silver_edits',
+    "q09_archives_unreadable": f"""SELECT DISTINCT concat({_ARCHIVE}, '.broken.zip') AS archive,
+        NULL AS member, NULL AS text
+        FROM events WHERE (event_id // {EVENTS_PER_ARCHIVE}) % {BROKEN_EVERY} = 0""",
+    "q09_transcripts_unreadable": _with(_ACTIVITY)
+    + f"SELECT payload AS text, 'no JSON object' AS error FROM ({_OTHER_PAYLOADS})",
+    "q09_published_tables": _WITH_SILVER
+    + f"SELECT *, (SELECT count(*) FROM silver) AS n_silver FROM ({_TOP_PLACES.format(more='')})",
     "q10_drop_columns": _WITH_FEED + f"SELECT * EXCLUDE ({', '.join(EVENT_DROPPED)}) FROM feed",
     "q11_fill_unknown": _WITH_FEED + f"SELECT Global_Event_ID, {_filled(EVENT_FILLED)} FROM feed",
     "q11_fill_unknown_edits": _WITH_EDITS
@@ -341,6 +382,11 @@ ORACLES: dict[str, str] = {
     "q28_top_users": _WITH_SILVER_EDITS
     + """SELECT "user", count(*) AS edit_count FROM silver_edits
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+    "q28_recent_users": _WITH_SILVER_EDITS
+    + """SELECT "user", count(*) AS edit_count FROM silver_edits
+        WHERE CAST(event_timestamp AS DATE)
+            >= (SELECT CAST(max(event_timestamp) AS DATE) - INTERVAL '1 month' FROM silver_edits)
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
     "q29_last_month_places": _WITH_SILVER
     + _TOP_PLACES.format(
         more="AND event_timestamp >= (SELECT max(event_timestamp) - INTERVAL '1 month' FROM silver)"
@@ -353,17 +399,21 @@ ORACLES: dict[str, str] = {
     "q31_sse_table_function": _WITH_EDITS
     + 'SELECT id, title, "user", timestamp, revision_new FROM edits',
     "q31_sse_raw_json": _WITH_EDITS
-    + f"""SELECT id, wiki FROM edits
-        UNION ALL SELECT NULL, NULL FROM edits WHERE id % {BAD_PAYLOAD_EVERY} = 0""",
-    "q32_edits_per_minute_stream": _WITH_EDITS + _PER_MINUTE.format(edits="edits"),
+    + f"""SELECT id, wiki, NULL AS other FROM edits
+        UNION ALL SELECT NULL, NULL, payload FROM ({_OTHER_PAYLOADS})""",
+    "q32_edits_per_minute_stream": _WITH_SILVER_EDITS + _PER_MINUTE.format(edits="silver_edits"),
     "q33_rescued_fields": _WITH_EDITS
     + """SELECT id, title, CASE
           WHEN id % 15 = 0 THEN concat('{"extra":"', CAST(id AS VARCHAR), '","note":"seen"}')
           WHEN id % 3 = 0 THEN concat('{"extra":"', CAST(id AS VARCHAR), '"}')
           WHEN id % 5 = 0 THEN '{"note":"seen"}' END AS rescued FROM edits""",
-    "q34_malformed_rows": """SELECT is_corrupt, without_id, without_date_added, count(*) AS n_rows
-        FROM (SELECT event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 AS is_corrupt,
-                event_id % 17 = 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AS without_id,
-                event_id % 11 = 0 AS without_date_added FROM events)
-        GROUP BY 1, 2, 3""",
+    "q34_malformed_rows": _WITH_FEED.replace("FROM activity)", ", event_id FROM activity)")
+    + """SELECT CASE WHEN short OR long OR NOT letter THEN event_id END AS Global_Event_ID,
+          CASE WHEN NOT short THEN event_id END AS event_id,
+          CASE WHEN Event_Code IS NOT NULL THEN Event_Code END AS Event_Code,
+          CASE WHEN NOT short THEN Date_Added END AS Date_Added,
+          short OR long OR letter AS is_corrupt,
+          CASE WHEN short OR long OR letter THEN CAST(event_id AS VARCHAR) END AS corrupt_id
+        FROM (SELECT *, event_id % 11 = 0 AS short, event_id % 13 = 0 AS long,
+                event_id % 17 = 0 AS letter FROM feed)""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -186,6 +187,8 @@ def q06_zip_extract(spark, sf_dir):
 def q06_member_store(spark, sf_dir):
     lines = archives.members(_unpacked(spark, sf_dir, "q06s-raw"))
     store = new_dir(spark, "q06-members")
+    # What is stored under a member's name is replaced by the second delivery of it.
+    sinks.write_members(lines.withColumn("value", F.lit("0\tsuperseded")), store)
     sinks.write_members(lines, store)
     return readers.read_events(spark, store).select(
         "Global_Event_ID", "Event_Code", "Action_Geo_FullName"
@@ -270,6 +273,42 @@ def q09_medallion_transcripts(spark, sf_dir):
     return tables["edits"].read_silver(spark).select("id", "title", "user", "timestamp")
 
 
+@query
+def q09_archives_unreadable(spark, sf_dir):
+    """What a feed run over archives could not unpack; a second run adds nothing."""
+    raw = A.land_archives(A.events_feed(spark, sf_dir), new_dir(spark, "q09u-raw"))
+    out = new_dir(spark, "q09u")
+    for _ in range(2):
+        tables = medallion.run_feeds(spark, [(medallion.ARCHIVED_EVENTS, raw)], out)
+    bad = tables["events"].read_unreadable(spark)
+    return bad.select(A.archive_name(F.col("source")).alias("archive"), "member", "text")
+
+
+@query
+def q09_transcripts_unreadable(spark, sf_dir):
+    """Payloads of a feed run over transcripts that are no JSON object."""
+    raw = A.land_text(A.sse_lines(A.edits_feed(spark, sf_dir)), new_dir(spark, "q09v-raw"))
+    feed = medallion.TRANSCRIBED_EDITS
+    tables = medallion.run_feeds(spark, [(feed, raw)], new_dir(spark, "q09v"))
+    return tables["edits"].read_unreadable(spark).select("text", "error")
+
+
+@query
+def q09_published_tables(spark, sf_dir):
+    """Silver by its catalog name after each of two runs; the names follow the files."""
+    raw, out, database = new_dir(spark, "q09p-raw"), new_dir(spark, "q09p"), f"q09_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{new_dir(spark, 'q09p-names')}'")
+    feed = A.events_feed(spark, sf_dir)
+    even = F.col("Global_Event_ID") % 2 == 0
+    for name, drop in (("first", feed.filter(even)), ("second", feed.filter(~even))):
+        A.land_tsv(drop, f"{raw}/{name}")
+        tables = medallion.run_feeds(spark, [(medallion.EVENTS, f"{raw}/*")], out)
+        names = medallion.publish(spark, tables["events"], database)
+        spark.table(names["silver"]).isEmpty()  # a reader between the runs
+    top = sql.sql_top_places(spark, names["silver"])
+    return top.withColumn("n_silver", spark.table(names["silver"]).agg(F.count(F.lit(1))).scalar())
+
+
 # --- cleaning -------------------------------------------------------------------------
 
 
@@ -487,6 +526,11 @@ def q28_top_users(spark, sf_dir):
     return marts.top_users(_silver_edits(spark, sf_dir))
 
 
+@query
+def q28_recent_users(spark, sf_dir):
+    return marts.top_users(_silver_edits(spark, sf_dir), months=1)
+
+
 @query
 def q29_last_month_places(spark, sf_dir):
     return marts.last_month_places(_silver_events(spark, sf_dir))
@@ -507,7 +551,7 @@ def q31_sse_table_function(spark, sf_dir):
     return spark.sql(
         """
         SELECT e.id, e.title, e.user, e.timestamp, e.revision.new AS revision_new
-        FROM (SELECT value FROM q31_lines WHERE startswith(value, 'data:')), LATERAL parse_sse(value) e
+        FROM parse_sse(TABLE(SELECT value FROM q31_lines)) e
         """
     )
 
@@ -516,19 +560,24 @@ def q31_sse_table_function(spark, sf_dir):
 def q31_sse_raw_json(spark, sf_dir):
     register_table_functions(spark)
     _transcript(spark, sf_dir, "q31r-raw").createOrReplaceTempView("q31_raw_lines")
-    raw = spark.sql("SELECT d.data FROM q31_raw_lines, LATERAL sse_data(value) d")
+    raw = spark.sql("SELECT d.data FROM sse_data(TABLE(SELECT value FROM q31_raw_lines)) d")
+    # A record's own text is long; of the others all of it is compared.
+    whole = F.length("data") > 100
     return raw.select(
-        F.get_json_object("data", "$.id").cast("bigint").alias("id"),
-        F.get_json_object("data", "$.wiki").alias("wiki"),
+        F.when(whole, F.get_json_object("data", "$.id").cast("bigint")).alias("id"),
+        F.when(whole, F.get_json_object("data", "$.wiki")).alias("wiki"),
+        F.when(~whole, F.col("data")).alias("other"),
     )
 
 
 @query
 def q32_edits_per_minute_stream(spark, sf_dir):
+    """Per-minute counts over silver, as a stream behind the feed run."""
     raw = A.land_json(A.edits_feed(spark, sf_dir), new_dir(spark, "q32-raw"))
     out = new_dir(spark, "q32")
-    edits = readers.read_edits(spark, raw, stream=True)
-    minutes.start_minute_counts(edits, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
+    tables = medallion.run_feeds(spark, [(medallion.EDITS, raw)], f"{out}/lake")
+    silver = tables["edits"].read_silver(spark, stream=True, options={"maxFilesPerTrigger": "2"})
+    minutes.start_minute_counts(silver, f"{out}/counts", f"{out}/checkpoint").awaitTermination()
     counts = minutes.read_minute_counts(spark, f"{out}/counts")
     return counts.select(_no_zone(F.col("minute_ts")).alias("minute_ts"), "cnt")
 
@@ -564,8 +613,11 @@ def q34_malformed_rows(spark, sf_dir):
     path = new_dir(spark, "q34")
     _malformed(spark, sf_dir, "q34-raw").write.parquet(path)
     rows = readers.read_table(spark, path)
-    return rows.groupBy(
+    return rows.select(
+        "Global_Event_ID",
+        (F.col("Action_Geo_Feature_ID") + 5000).alias("event_id"),
+        "Event_Code",
+        "Date_Added",
         F.col(CORRUPT).isNotNull().alias("is_corrupt"),
-        F.col("Global_Event_ID").isNull().alias("without_id"),
-        F.col("Date_Added").isNull().alias("without_date_added"),
-    ).agg(F.count(F.lit(1)).alias("n_rows"))
+        F.regexp_extract(CORRUPT, "^x?([0-9]+)\t", 1).alias("corrupt_id"),
+    )

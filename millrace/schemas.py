@@ -206,3 +206,7 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
 def with_rescued(schema: T.StructType) -> T.StructType:
     """``schema`` plus the text column for fields that found no place in it."""
     return T.StructType(list(schema) + [T.StructField(RESCUED, T.StringType(), True)])
+
+
+# What a feed run could not read, and why.
+UNREADABLE_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in ("source", "member", "text", "error")])

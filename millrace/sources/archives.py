@@ -1,14 +1,21 @@
 """ZIP archives of export members, unpacked inside tasks.
 
-One archive is one row; Spark spreads the files over tasks. A ZIP cannot be split, so an
-archive is decompressed as a stream and leaves its task as bounded Arrow batches of lines.
+One archive is one row; Spark spreads the files over tasks. Spark lists the files and never
+reads them: a task opens its archive by path, whatever its size, and streams it out as
+bounded Arrow batches of lines. A ZIP cannot be split. Each member is inflated twice, as its
+checksum is tested before its first line leaves the task: a damaged member yields no rows.
+
+Only what is wrong with an archive itself makes an error row. A store that cannot be
+reached fails the task, and Spark tries it again.
 """
 
 from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
@@ -16,18 +23,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.schemas import EVENT_SCHEMA
+from millrace.schemas import EVENT_SCHEMA, UNREADABLE_SCHEMA
 
 # Fixed value: suffix of the members that carry data.
 MEMBER_SUFFIX = ".CSV"
 
 _LINES_PER_BATCH = 20_000
 _PROBE_BYTES = 1 << 20
-# A binary cell of Spark holds less than 2 GiB; the task opens larger files itself.
-MAX_ARCHIVE_BYTES = 2**31 - 1 - 1024
+_ENCRYPTED = 0x1
+_PACKED = (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)
 
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
+# How the stores that Spark names are called by the library that opens files in tasks.
+_SCHEMES = {
+    "file": "file",
+    "s3": "s3",
+    "s3a": "s3",
+    "s3n": "s3",
+    "gs": "gs",
+    "hdfs": "hdfs",
+    "viewfs": "viewfs",
+    "abfs": "abfs",
+    "abfss": "abfss",
+    "wasb": "abfs",
+    "wasbs": "abfss",
+}
+
 LINE_SCHEMA = T.StructType(
     [
         T.StructField("archive", T.StringType(), True),
@@ -39,34 +61,93 @@ LINE_SCHEMA = T.StructType(
 _ARROW_SCHEMA = pa.schema([(f.name, pa.string()) for f in LINE_SCHEMA])
 
 
+class UnreadableArchive(Exception):
+    """An archive that this library cannot unpack."""
+
+
+class _Watched(io.RawIOBase):
+    """A stored file that remembers a failure of its store.
+
+    The ZIP reader takes any failed read of an archive's end for "no archive".
+    """
+
+    def __init__(self, file: pa.NativeFile):
+        self._file, self._size, self.fault = file, file.size(), None
+
+    def readable(self):
+        return True
+
+    def seekable(self):
+        return True
+
+    def tell(self):
+        return self._file.tell()
+
+    def seek(self, offset, whence=io.SEEK_SET):
+        start = {io.SEEK_SET: 0, io.SEEK_CUR: self._file.tell(), io.SEEK_END: self._size}[whence]
+        if start + offset < 0:
+            raise OSError("position before the start of the file")
+        return self._file.seek(start + offset)
+
+    def readinto(self, buffer):
+        try:
+            data = self._file.read(len(buffer))
+        except OSError as e:
+            self.fault = e
+            raise
+        buffer[: len(data)] = data
+        return len(data)
+
+
+def store_uri(path: str) -> str:
+    """The path as the library that opens files names it; an unknown store is an error."""
+    parts = urlsplit(path)
+    if parts.scheme not in _SCHEMES:
+        raise ValueError(f"no way is known to open {parts.scheme}: files; pass a filesystem")
+    if parts.scheme == "file":
+        return unquote(parts.path)
+    host = parts.netloc.replace(".blob.", ".dfs.") if parts.scheme.startswith("wasb") else parts.netloc
+    return f"{_SCHEMES[parts.scheme]}://{host}{unquote(parts.path)}"
+
+
+def _checked(spark: SparkSession, path: str, filesystem: fs.FileSystem | None) -> None:
+    """Refuse a store that tasks could not open, before anything is read or committed."""
+    scheme = urlsplit(path).scheme
+    if not scheme:
+        scheme = urlsplit(spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")).scheme
+    if filesystem is None:
+        store_uri(f"{scheme}://host/name")
+
+
 def read_archives(
-    spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
+    spark: SparkSession,
+    path: str,
+    *,
+    stream: bool = False,
+    options: dict | None = None,
+    filesystem: fs.FileSystem | None = None,
 ) -> DataFrame:
-    """Archives of a folder as (archive, content).
+    """The archives of a folder, one ``archive`` path each; their content is not read.
 
-    A file too large for a binary cell has NULL content: the size test is pushed to the
-    source, which then does not read it, and ``unzip`` opens it by its path.
+    ``filesystem`` opens them in tasks (``unzip``) where the store needs settings of its own
+    or has a scheme that is not known here.
     """
+    _checked(spark, path, filesystem)
     reader = spark.readStream if stream else spark.read
     files = reader.format("binaryFile").schema(_FILE_SCHEMA).options(**(options or {})).load(path)
-    small = files.filter(F.col("length") <= MAX_ARCHIVE_BYTES).select(
-        F.col("path").alias("archive"), "content"
-    )
-    large = files.filter(F.col("length") > MAX_ARCHIVE_BYTES).select(
-        F.col("path").alias("archive"), F.lit(None).cast("binary").alias("content")
-    )
-    return small.unionByName(large)
-
-
-def _opened(archive: str, content: bytes | None):
-    if content is not None:
-        return io.BytesIO(content)
-    # The source names local files file:/path, where pyarrow wants a plain path.
-    store, name = fs.FileSystem.from_uri(archive.removeprefix("file:"))
+    return files.select(F.col("path").alias("archive"))
+
+
+def _opened(archive: str, filesystem: fs.FileSystem | None):
+    if filesystem is not None:
+        parts = urlsplit(archive)
+        return filesystem.open_input_file(unquote(f"{parts.netloc}{parts.path}"))
+    uri = store_uri(archive)
+    store, name = (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
     return store.open_input_file(name)
 
 
-def _lines_of(archive: str, content: bytes | None, suffix: str) -> Iterator[pa.RecordBatch]:
+def _lines_of(archive: str, suffix: str, filesystem: fs.FileSystem | None) -> Iterator[pa.RecordBatch]:
     def batch(member, values, error=None):
         n = len(values)
         return pa.RecordBatch.from_arrays(
@@ -80,41 +161,51 @@ def _lines_of(archive: str, content: bytes | None, suffix: str) -> Iterator[pa.R
         )
 
     member = None
-    try:
-        with _opened(archive, content) as file, zipfile.ZipFile(file) as z:
-            for member in z.namelist():
-                if not member.endswith(suffix):
-                    continue
-                # A damaged member yields no rows at all, so its checksum is tested first.
-                with z.open(member) as raw:
-                    while raw.read(_PROBE_BYTES):
-                        pass
-                with z.open(member) as raw:
-                    chunk = []
-                    for line in io.TextIOWrapper(raw, "utf-8", errors="replace"):
-                        chunk.append(line.rstrip("\n"))
-                        if len(chunk) == _LINES_PER_BATCH:
+    with _opened(archive, filesystem) as stored:
+        watched = _Watched(stored)
+        try:
+            with zipfile.ZipFile(io.BufferedReader(watched, _PROBE_BYTES)) as z:
+                for info in z.infolist():
+                    member = info.filename
+                    if not member.endswith(suffix):
+                        continue
+                    if info.flag_bits & _ENCRYPTED:
+                        raise UnreadableArchive("member is encrypted")
+                    if info.compress_type not in _PACKED:
+                        raise UnreadableArchive(f"unknown compression {info.compress_type}")
+                    with z.open(info) as raw:
+                        while raw.read(_PROBE_BYTES):
+                            pass
+                    with z.open(info) as raw:
+                        chunk = []
+                        for line in io.TextIOWrapper(raw, "utf-8", errors="replace"):
+                            chunk.append(line.rstrip("\n"))
+                            if len(chunk) == _LINES_PER_BATCH:
+                                yield batch(member, chunk)
+                                chunk = []
+                        if chunk:
                             yield batch(member, chunk)
-                            chunk = []
-                    if chunk:
-                        yield batch(member, chunk)
-    except Exception as e:  # one bad archive must not fail the job; it is reported as a row
-        yield batch(member, [None], f"{type(e).__name__}: {e}")
+        except (zipfile.BadZipFile, zlib.error, EOFError, UnreadableArchive) as e:
+            if watched.fault is not None:
+                raise watched.fault from e
+            yield batch(member, [None], f"{type(e).__name__}: {e}")
 
 
-def unzip(archives: DataFrame, suffix: str = MEMBER_SUFFIX) -> DataFrame:
+def unzip(
+    archives: DataFrame, suffix: str = MEMBER_SUFFIX, filesystem: fs.FileSystem | None = None
+) -> DataFrame:
     """Lines of all data members as (archive, member, value, error).
 
-    An archive that cannot be read gives one row with ``error`` set instead.
+    An archive that cannot be unpacked gives one row with ``error`` set, after the lines of
+    the members before the bad one.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, contents = b.column(0), b.column(1)
-            for i in range(b.num_rows):
-                yield from _lines_of(names[i].as_py(), contents[i].as_py(), suffix)
+            for archive in b.column(0).to_pylist():
+                yield from _lines_of(archive, suffix, filesystem)
 
-    return archives.select("archive", "content").mapInArrow(run, LINE_SCHEMA)
+    return archives.select("archive").mapInArrow(run, LINE_SCHEMA)
 
 
 def members(lines: DataFrame) -> DataFrame:
@@ -128,11 +219,21 @@ def unreadable_archives(lines: DataFrame) -> DataFrame:
 def read_archived_events(
     spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
 ) -> DataFrame:
-    """Event rows straight from landed archives, unreadable archives left out."""
+    """Event rows straight from landed archives; ``read_unreadable_archives`` has the rest."""
     lines = unzip(read_archives(spark, path, stream=stream, options=options))
     return member_events(lines).select(*EVENT_SCHEMA.names)
 
 
+def read_unreadable_archives(
+    spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
+) -> DataFrame:
+    """Archives that could not be unpacked: source, member, text (NULL), error."""
+    lines = unzip(read_archives(spark, path, stream=stream, options=options))
+    bad = unreadable_archives(lines)
+    columns = (F.col("archive").alias("source"), F.col("member"), F.lit(None).cast("string").alias("text"), F.col("error"))
+    return bad.select(*columns).select(*UNREADABLE_SCHEMA.names)
+
+
 def member_events(lines: DataFrame) -> DataFrame:
     """Event rows of unpacked member lines, with the archive and member they came from."""
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA)

@@ -15,6 +15,8 @@ from millrace.schemas import CORRUPT, EDIT_SCHEMA, EVENT_SCHEMA, RESCUED, with_c
 FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv", "text")
 
 _RAW = "_raw"
+_STRICT = {"allowSingleQuotes": "false"}
+_NO_FIELDS = "struct<`_no_field`:string>"
 _PARSED = "_parsed"
 
 
@@ -101,17 +103,20 @@ def parse_json(
 ) -> DataFrame:
     """Replace a JSON text column by the fields of ``schema``; other columns stay.
 
-    With ``corrupt``, text that is no JSON object is kept in ``_corrupt_record``. An object
-    with a single ill-typed value is not corrupt: that value is NULL, the rest is kept.
-    Whether text is an object is told from its keys alone, so that a filter on it does not
-    parse the fields a second time.
+    With ``corrupt``, text that is not exactly one JSON object is kept in
+    ``_corrupt_record``: names in single quotes, text after the object and a second object
+    count as corrupt. An object with a single ill-typed value is not: that value is NULL, the
+    rest is kept. Whether text is an object is told without parsing its fields, so that a
+    filter on it does not parse them a second time.
     """
     text = F.col(_RAW)
     others = [F.col(c) for c in df.columns if c != column]
+    kept = text if not corrupt else F.when(is_json_object(text), text)
     if rescue:
-        parsed = F.from_json(text, with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
+        options = _STRICT | {"columnNameOfCorruptRecord": CORRUPT}
+        parsed = F.from_json(kept, with_corrupt(schema), options)
     else:
-        parsed = F.from_json(text, schema)
+        parsed = F.from_json(kept, schema, _STRICT)
     out = others + [F.col(f"{_PARSED}.`{n}`").alias(n) for n in schema.names]
     if corrupt:
         out.append(F.when(~is_json_object(text), text).alias(CORRUPT))
@@ -120,10 +125,29 @@ def parse_json(
     return df.withColumnRenamed(column, _RAW).withColumn(_PARSED, parsed).select(*out)
 
 
+def stripped(text: Column) -> Column:
+    """Text without white space of any kind around it."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def is_json_object(text: Column) -> Column:
-    """TRUE if the text is one JSON object, else FALSE; never NULL."""
-    opened = F.coalesce(F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
-    return opened & F.json_object_keys(text).isNotNull()
+    """TRUE if the text is exactly one JSON object, else FALSE; never NULL.
+
+    The text is parsed as the one element of an array, with its fields skipped. That refuses
+    text after the object, unless it closes the array itself; where a bracket could do
+    that, the text must also be the value of a field.
+    """
+    bare = stripped(text)
+    as_element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_NO_FIELDS}>", _STRICT)
+    as_field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {_NO_FIELDS}", _STRICT)
+    return F.coalesce(
+        F.startswith(bare, F.lit("{"))
+        & F.endswith(bare, F.lit("}"))
+        & (F.size(as_element) == 1)
+        & as_element[0].isNotNull()
+        & (~text.rlike(r"\}\s*\]") | as_field["v"].isNotNull()),
+        F.lit(False),
+    )
 
 
 def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column:

@@ -26,22 +26,27 @@ from millrace.operators.quality import (
     reject,
     rule_metrics,
 )
-from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA, with_corrupt, with_rescued
-from millrace.sources.archives import read_archived_events
+from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA, UNREADABLE_SCHEMA, with_corrupt, with_rescued
+from millrace.sources.archives import read_archived_events, read_unreadable_archives
 from millrace.sources.readers import read_edits, read_events, read_table
 from millrace.sources.sinks import publish_table
-from millrace.sources.sse import read_sse
+from millrace.sources.sse import read_sse, read_unreadable_payloads
 
 
 @dataclass(frozen=True)
 class Feed:
-    """How one feed is read, cleaned and judged."""
+    """How one feed is read, cleaned and judged.
+
+    ``unreadable`` reads what ``read`` has to leave out, as ``UNREADABLE_SCHEMA``; landing
+    formats of which every row can be read have none.
+    """
 
     name: str
     schema: T.StructType
     read: Callable[..., DataFrame]
     clean: Callable[[DataFrame], DataFrame]
     rules: Rules
+    unreadable: Callable[..., DataFrame] | None = None
     bronze_comment: str = "raw records"
     silver_comment: str = "cleaned records that pass every rule"
 
@@ -53,11 +58,11 @@ EVENTS = Feed("events", EVENT_SCHEMA, read_events, clean_events, EVENT_RULES)
 EDITS = Feed("edits", EDIT_SCHEMA, read_edits, clean_edits, EDIT_RULES)
 
 # The same feeds from other landing formats, and with the leftovers kept in bronze.
-ARCHIVED_EVENTS = replace(EVENTS, read=read_archived_events)
+ARCHIVED_EVENTS = replace(EVENTS, read=read_archived_events, unreadable=read_unreadable_archives)
 EVENTS_WITH_CORRUPT = replace(
     EVENTS, schema=with_corrupt(EVENT_SCHEMA), read=partial(read_events, corrupt=True)
 )
-TRANSCRIBED_EDITS = replace(EDITS, read=read_sse)
+TRANSCRIBED_EDITS = replace(EDITS, read=read_sse, unreadable=read_unreadable_payloads)
 EDITS_WITH_RESCUED = replace(
     EDITS, schema=with_rescued(EDIT_SCHEMA), read=partial(read_edits, rescue=True)
 )
@@ -67,7 +72,7 @@ EDITS_WITH_RESCUED = replace(
 class FeedTables:
     """Where the tables of one feed live below an output folder, and how to read them.
 
-    Schemas are known beforehand, so a table can be read even before its first row.
+    A table can be read once a run has made its folder, even if that run had no rows.
     """
 
     root: str
@@ -86,6 +91,10 @@ class FeedTables:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine/{self.feed.name}"
 
+    @property
+    def unreadable(self) -> str:
+        return f"{self.root}/unreadable/{self.feed.name}"
+
     def checkpoint(self, step: str) -> str:
         return f"{self.root}/_checkpoints/{self.feed.name}/{step}"
 
@@ -98,6 +107,10 @@ class FeedTables:
     def read_silver(self, spark: SparkSession, **kw) -> DataFrame:
         return self._read(spark, self.silver, self.feed.silver_schema(spark), **kw)
 
+    def read_unreadable(self, spark: SparkSession, **kw) -> DataFrame:
+        """What the runs so far could not read: source, member, text, error."""
+        return self._read(spark, self.unreadable, UNREADABLE_SCHEMA, **kw)
+
     def read_quarantine(self, spark: SparkSession, **kw) -> DataFrame:
         """Rejected rows with ``failed_rules``; raw columns if the gate came first."""
         return read_table(spark, self.quarantine, table_format=self.table_format, **kw)
@@ -147,9 +160,17 @@ def start_append(
     return writer.start(path)
 
 
-def _bronze(spark: SparkSession, raw_dir: str, tables: FeedTables, o: RunOptions):
-    raw = tables.feed.read(spark, raw_dir, stream=True, options=dict(o.source))
-    return start_append(raw, tables.bronze, tables.checkpoint("bronze"), o.table_format)
+def _bronze(spark: SparkSession, raw_dir: str, tables: FeedTables, o: RunOptions) -> list[StreamingQuery]:
+    """Bronze, and beside it what bronze has to leave out, from a scan of its own."""
+    running = []
+    for step, read, path in (
+        ("bronze", tables.feed.read, tables.bronze),
+        ("unreadable", tables.feed.unreadable, tables.unreadable),
+    ):
+        if read is not None:
+            raw = read(spark, raw_dir, stream=True, options=dict(o.source))
+            running.append(start_append(raw, path, tables.checkpoint(step), o.table_format))
+    return running
 
 
 def judged(raw: DataFrame, feed: Feed, before_cleaning: bool, observe: bool = False):
@@ -177,13 +198,29 @@ def _silver(spark: SparkSession, tables: FeedTables, o: RunOptions):
     return running
 
 
-def _finish(running: list[StreamingQuery]) -> None:
-    """Wait for all; if one fails, stop the rest. What they committed stays committed."""
+_POLL_SECONDS = 0.1
+
+
+def _run(chains: Sequence[Sequence[Callable[[], list[StreamingQuery]]]]) -> None:
+    """The steps of each chain one after the other, the chains side by side.
+
+    If a query fails, all others are stopped; what they committed stays committed.
+    """
+    waiting = [list(steps) for steps in chains]
+    running: list[list[StreamingQuery]] = [[] for _ in chains]
     try:
-        for query in running:
-            query.awaitTermination()
+        while any(waiting) or any(running):
+            for i, queries in enumerate(running):
+                for query in queries:
+                    if not query.isActive and query.exception() is not None:
+                        raise query.exception()
+                running[i] = [q for q in queries if q.isActive]
+                if not running[i] and waiting[i]:
+                    running[i] = waiting[i].pop(0)()
+            for query in [q for queries in running for q in queries][:1]:
+                query.awaitTermination(_POLL_SECONDS)
     finally:
-        for query in running:
+        for query in (q for queries in running for q in queries):
             query.stop()
 
 
@@ -193,10 +230,23 @@ def run_feeds(
     out_dir: str,
     options: RunOptions = RunOptions(),
 ) -> dict[str, FeedTables]:
-    """One triggered run over (feed, raw folder) pairs; the feeds run side by side."""
+    """One triggered run over (feed, raw folder) pairs; the feeds run side by side.
+
+    Feeds of one name would share tables and checkpoints, so a name may occur only once.
+    """
+    names = [feed.name for feed, _ in inputs]
+    if len(set(names)) < len(names):
+        raise ValueError(f"feeds of one name in one run: {sorted(n for n in set(names) if names.count(n) > 1)}")
     tables = {feed.name: FeedTables(out_dir, feed, options.table_format) for feed, _ in inputs}
-    _finish([_bronze(spark, raw, tables[feed.name], options) for feed, raw in inputs])
-    _finish([q for feed, _ in inputs for q in _silver(spark, tables[feed.name], options)])
+    _run(
+        [
+            [
+                partial(_bronze, spark, raw, tables[feed.name], options),
+                partial(_silver, spark, tables[feed.name], options),
+            ]
+            for feed, raw in inputs
+        ]
+    )
     return tables
 
 
@@ -207,14 +257,19 @@ def rule_counts(spark: SparkSession, tables: FeedTables) -> DataFrame:
 
 
 def publish(spark: SparkSession, tables: FeedTables, database: str = "default") -> dict[str, str]:
-    """Register bronze and silver as named, commented tables; returns their names."""
+    """Register bronze and silver as named, commented tables; returns their names.
+
+    Call it after each run: a table that exists is made to see the files of the run.
+    """
     feed, names = tables.feed, {}
     for layer, path, schema, comment in (
         ("bronze", tables.bronze, feed.schema, feed.bronze_comment),
         ("silver", tables.silver, feed.silver_schema(spark), feed.silver_comment),
     ):
         name = f"{database}.{feed.name}_{layer}"
-        if not spark.catalog.tableExists(name):
+        if spark.catalog.tableExists(name):
+            spark.catalog.refreshTable(name)
+        else:
             publish_table(spark, name, path, schema, comment, tables.table_format)
         names[layer] = name
     return names

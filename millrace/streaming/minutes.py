@@ -1,9 +1,13 @@
 """Edits per minute, kept up by a stream.
 
-Each micro-batch is counted per minute and stored as a partition of its own; the reader
-adds the partial counts. Counts add up in any order, so an edit may come as late as it
-likes: there is no watermark that would drop it and no state that grows or must be
-restored. A micro-batch that is repeated after a failure overwrites its own partition.
+Each micro-batch adds its counts to those of the batch before and writes the sum as a version
+of its own, laid out by day. Counts add up in any order, so an edit may come as late as it
+likes: there is no watermark that would drop it and no state to restore. A micro-batch that
+is repeated after a failure starts from the same older version and overwrites its own. Only
+the last two versions are kept, so the number of folders depends on days and not on batches;
+a version has one row per minute that had an edit, far less than the edits themselves.
+
+Counts and checkpoint belong together: versions are numbered by micro-batch.
 """
 
 from __future__ import annotations
@@ -12,35 +16,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from millrace.functions.times import epoch_to_timestamp
+from millrace.functions.times import epoch_to_timestamp, minute_of
 from millrace.operators.cleaning import keep_value
 
-PARTIAL_SCHEMA = "minute_ts timestamp, cnt bigint, batch_id bigint"
+COUNT_SCHEMA = "minute_ts timestamp, cnt bigint, day date"
+_VERSION = "version="
 
 
 def partial_counts(edits: DataFrame) -> DataFrame:
-    minute = F.window(epoch_to_timestamp(F.col("timestamp")), "1 minute")
-    return (
-        edits.groupBy(minute.alias("w"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .select(F.col("w.start").alias("minute_ts"), "cnt")
-    )
+    """minute_ts, cnt of a batch; an edit without a time counts under NULL."""
+    minute = minute_of(epoch_to_timestamp(F.col("timestamp")))
+    return edits.groupBy(minute.alias("minute_ts")).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _store(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions, in order."""
+    store, folder = _store(spark, path)
+    if not store.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(folder)]
+    found = [int(n.removeprefix(_VERSION)) for n in names if n.startswith(_VERSION)]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(v for v in found if store.exists(done(f"{path}/{_VERSION}{v}/_SUCCESS")))
+
+
+def _read(spark: SparkSession, path: str, version: int | None) -> DataFrame:
+    if version is None:
+        return spark.createDataFrame([], COUNT_SCHEMA)
+    return spark.read.schema(COUNT_SCHEMA).parquet(f"{path}/{_VERSION}{version}")
+
+
+def _total(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("minute_ts").agg(F.sum("cnt").alias("cnt"))
 
 
 def start_minute_counts(
     edits: DataFrame, path: str, checkpoint: str, wiki: str = "enwiki"
 ) -> StreamingQuery:
-    """Count what is available now, per micro-batch, then stop."""
+    """Count what is available now of a stream of edits (raw or silver), then stop."""
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        partial_counts(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        older = [v for v in _versions(spark, path) if v < batch_id]
+        before = _read(spark, path, older[-1] if older else None).select("minute_ts", "cnt")
+        total = _total(before.unionByName(partial_counts(batch)))
+        day = F.col("minute_ts").cast("date").alias("day")
+        total.select("*", day).write.mode("overwrite").partitionBy("day").parquet(f"{path}/{_VERSION}{batch_id}")
+        store, _ = _store(spark, path)
+        for version in older[:-1]:
+            store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSION}{version}"), True)
 
-    # An empty partition, so that the table can be read before the first edit.
-    store(edits.sparkSession.createDataFrame([], "timestamp bigint"), -1)
     return (
         keep_value(edits, "wiki", wiki)
         .select("timestamp")
-        .writeStream.foreachBatch(store)
+        .writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -49,10 +83,6 @@ def start_minute_counts(
 
 def read_minute_counts(spark: SparkSession, path: str) -> DataFrame:
     """Counts per minute over all micro-batches so far: minute_ts, cnt."""
-    return (
-        spark.read.schema(PARTIAL_SCHEMA)
-        .parquet(path)
-        .groupBy("minute_ts")
-        .agg(F.sum("cnt").alias("cnt"))
-        .orderBy("minute_ts")
-    )
+    versions = _versions(spark, path)
+    counts = _read(spark, path, versions[-1] if versions else None)
+    return counts.select("minute_ts", "cnt").orderBy("minute_ts")

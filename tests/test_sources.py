@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.schemas import CORRUPT, EDIT_SCHEMA, EVENT_SCHEMA, RESCUED
 from millrace.sources import (
+    archives,
     first_events,
     gaps,
     landed_deliveries,
@@ -230,18 +231,53 @@ def test_unzip_as_stream(spark, archive_dir, tmp_path):
     assert spark.read.parquet(out).count() == 45003
 
 
-def test_oversized_archive_is_read_by_path(spark, archive_dir, monkeypatch):
-    from millrace.sources import archives
-
-    monkeypatch.setattr(archives, "MAX_ARCHIVE_BYTES", 300)
+def test_archives_are_opened_by_path_in_one_scan(spark, archive_dir):
     found = read_archives(spark, archive_dir)
-    large = {r[0].split("/")[-1] for r in found.filter("content IS NULL").select("archive").collect()}
-    assert "b.zip" in large
-    lines = unzip(found)
-    ids = [r[0] for r in member_events(lines).select("Global_Event_ID").collect()]
-    assert sorted(ids) == [1, 2, 3, *range(10, 45010)]
-    bad = {r["archive"].split("/")[-1] for r in unreadable_archives(lines).collect()}
-    assert bad == {"bad.zip", "damaged.zip"}
+    assert found.columns == ["archive"]
+    text = plan(unzip(found))
+    assert text.count("Scan binaryFile") == 2  # once in the tree, once in the details
+    assert "content" not in text.split("ReadSchema")[1].splitlines()[0]
+
+
+def test_a_store_that_fails_is_no_bad_archive(spark, archive_dir):
+    found = read_archives(spark, archive_dir).withColumn("archive", F.concat("archive", F.lit(".gone")))
+    with pytest.raises(Exception, match="gone"):
+        unzip(found).collect()
+
+
+def test_a_fault_while_reading_is_not_taken_for_a_bad_archive(archive_dir):
+    class Faulty:
+        def size(self):
+            return 1000
+
+        def tell(self):
+            return 0
+
+        def seek(self, position):
+            return position
+
+        def read(self, n):
+            raise OSError("connection reset")
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            return None
+
+    class Store:
+        def open_input_file(self, name):
+            return Faulty()
+
+    with pytest.raises(OSError, match="connection reset"):
+        list(archives._lines_of("file:/x.zip", ".CSV", Store()))
+
+
+def test_unknown_stores_are_refused_at_once(spark):
+    with pytest.raises(ValueError, match="ftp"):
+        read_archives(spark, "ftp://host/zips")
+    assert archives.store_uri("s3a://bucket/a b.zip") == "s3://bucket/a b.zip"
+    assert archives.store_uri("wasbs://c@acc.blob.core.windows.net/x") == "abfss://c@acc.dfs.core.windows.net/x"
 
 
 def test_member_store_replaces_only_its_members(spark, archive_dir, tmp_path):

@@ -9,6 +9,7 @@ from millrace.operators import EVENT_RULES, clean_edits, clean_events, gate, qua
 from millrace.plans import edits_per_minute
 from millrace.sources import read_edits
 from millrace.streaming import (
+    ARCHIVED_EVENTS,
     EDITS,
     EDITS_WITH_RESCUED,
     EVENTS,
@@ -137,6 +138,33 @@ def test_transcripts_as_a_feed(spark, tmp_path):
     (raw / "a.txt").write_text('event: message\ndata: {"id":1,"title":"A","wiki":"enwiki","timestamp":9}\n')
     tables = run_feeds(spark, [(TRANSCRIBED_EDITS, str(raw))], str(tmp_path / "out"))
     assert tables["edits"].read_silver(spark).select("id", "meta_dt").first() == (1, "Unknown")
+    assert tables["edits"].read_unreadable(spark).count() == 0
+
+
+def test_every_payload_is_in_bronze_or_unreadable(spark, tmp_path):
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    for k, bad in enumerate(("not json", "{'id':2}", '{"id":3} x', "")):
+        (raw / f"{k}.txt").write_text(f'data: {{"id":{k},"timestamp":9}}\n:beat\ndata: {bad}\n')
+        tables = run_feeds(spark, [(TRANSCRIBED_EDITS, str(raw))], out)["edits"]
+    assert tables.read_bronze(spark).count() == 4
+    bad = tables.read_unreadable(spark).collect()
+    assert sorted(r.text for r in bad) == ["", "not json", '{"id":3} x', "{'id':2}"]
+    assert all(r.source.endswith(".txt") and r.error for r in bad)
+
+
+def test_feeds_of_one_name_are_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="events"):
+        run_feeds(spark, [(EVENTS, "a"), (ARCHIVED_EVENTS, "b")], str(tmp_path / "out"))
+
+
+def test_a_failing_feed_stops_its_siblings(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    drop(dirty(spark, 0, 20), raw, "d=1")
+    broken = replace(EVENTS, name="other", rules={"bad": "raise_error('x') IS NULL"})
+    with pytest.raises(StreamingQueryException):
+        run_feeds(spark, [(EVENTS, f"{raw}/*"), (broken, f"{raw}/*")], str(tmp_path / "out"))
+    assert not spark.streams.active
 
 
 def test_bronze_can_keep_leftovers(spark, tmp_path):
@@ -177,8 +205,9 @@ def test_published_tables(spark, tmp_path):
     assert "every rule" in spark.catalog.getTable("lake.events_silver").description
     drop(dirty(spark, 10, 20), raw, "d=2")
     run_feeds(spark, [(EVENTS, f"{raw}/*")], str(tmp_path / "out"))
-    spark.catalog.refreshTable("lake.events_bronze")
+    publish(spark, tables, "lake")
     assert spark.table("lake.events_bronze").count() == 20
+    assert spark.table("lake.events_silver").count() == tables.read_silver(spark).count()
 
 
 def test_progress_reports_failures(spark, tmp_path):
@@ -209,3 +238,15 @@ def test_minute_counts_keep_late_edits(spark, tmp_path, per_trigger):
     want = edits_per_minute(clean_edits(read_edits(spark, raw)))
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
     assert got.agg(F.sum("cnt")).first()[0] == 303
+    versions = [p.name for p in (tmp_path / "o").iterdir() if p.name.startswith("version=")]
+    assert len(versions) <= 2
+
+
+def test_minute_counts_of_silver_with_missing_times(spark, tmp_path):
+    df = edits(spark, [{"id": i, "timestamp": t, "wiki": "enwiki"} for i, t in enumerate([60, 61, None, 200])])
+    df.write.json(str(tmp_path / "raw"))
+    stream = read_edits(spark, str(tmp_path / "raw"), stream=True)
+    start_minute_counts(stream, str(tmp_path / "o"), str(tmp_path / "cp")).awaitTermination()
+    want = edits_per_minute(df)
+    got = read_minute_counts(spark, str(tmp_path / "o"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
