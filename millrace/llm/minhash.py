@@ -7,10 +7,11 @@ form a region; a region with more than ``region_size`` classes is deepened to si
 
 Candidates come in two steps. First each class is compared with the neighbours with which it
 shares the longest prefixes, two at most, which joins most of what belongs together. Then
-every pair of classes that shares a region but not yet a component is a candidate, less
-those whose sizes or 96-bit sketches rule the similarity out; so no pair is capped away, and
-a region of one component costs nothing more. Each candidate is confirmed on the full sets
-of both texts, and links become components.
+the classes of every region that still holds several components are compared with each other
+across components, so that no pair is capped away: in blocks of bounded size, first by
+sketches of 1024 bits, which leave only classes with a likely partner, then by the full
+sets. A block hands on a spanning forest of its links and no pairs; a region of one
+component costs nothing more. All links are confirmed on full sets; components follow.
 
 Values are compared as 64-bit hashes of shingles, classes by a 64-bit hash of their sets.
 
@@ -32,12 +33,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.rows import slices
+from millrace.llm.rows import durable, slices, with_columns
 
 DEPTH = 4  # values that begin a region
 MORE = 2  # further values that deepen a large one
-# Sketch bits in which a linked pair may differ: five standard deviations above the mean.
-_SKETCH_BITS = 96
+SKETCH_BITS = 1024
+# Classes on a side of a block.
+BLOCK = 1024
+# Shingles shared by more rows of a block than this are counted by a matrix product.
+_RARE = 8
 
 
 @dataclass(frozen=True)
@@ -53,8 +57,9 @@ class Settings:
 
     @property
     def sketch_distance(self) -> int:
+        """Bits in which a linked pair may differ: 4.5 standard deviations above the mean."""
         p = (1 - self.percent / 100) / 2
-        return int(np.ceil(_SKETCH_BITS * p + 5.2 * np.sqrt(_SKETCH_BITS * p * (1 - p))))
+        return int(np.ceil(SKETCH_BITS * p + 4.5 * np.sqrt(SKETCH_BITS * p * (1 - p))))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -77,17 +82,27 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return runs[np.append(True, runs[1:] != runs[:-1])]
 
 
+def _class_of(values: np.ndarray) -> int:
+    """One number for a set, in the range of a signed 64-bit integer."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())).astype(np.int64))
+
+
 def _functions(settings: Settings) -> np.ndarray:
     rng = np.random.default_rng(settings.seed)
     return rng.integers(0, 2**32, settings.trees * DEPTH, dtype=np.uint32) | np.uint32(1)
 
 
+def _sketch_functions(settings: Settings) -> np.ndarray:
+    rng = np.random.default_rng(settings.seed + 1)
+    return rng.integers(0, 2**32, SKETCH_BITS, dtype=np.uint32) | np.uint32(1)
+
+
 def signature(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
     """16 bits of the smallest value under each hash function."""
     least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
     short = (values >> np.uint64(32)).astype(np.uint32)
-    for start in range(0, len(short), 512):
-        np.minimum(least, (short[start : start + 512, None] * factors).min(0), out=least)
+    for start in range(0, len(short), 128):
+        np.minimum(least, (short[start : start + 128, None] * factors).min(0), out=least)
     return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
@@ -101,9 +116,7 @@ def _features(docs: DataFrame, settings: Settings) -> DataFrame:
             for text in batch.column("text"):
                 values = shingle_set(text.as_py(), settings.shingle)
                 sizes.append(len(values))
-                classes.append(
-                    int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())))) if len(values) else None
-                )
+                classes.append(_class_of(values) if len(values) else None)
                 signatures.append(signature(values, factors).tobytes() if len(values) else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -149,7 +162,7 @@ def _orders(classes: DataFrame, settings: Settings) -> DataFrame:
 def _regions(orders: DataFrame, settings: Settings) -> DataFrame:
     """The orders, reduced to regions of two classes or more, large ones deepened."""
     sizes = orders.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    rows = orders.join(sizes, "region").checkpoint()
+    rows = orders.join(sizes, "region").transform(durable)
     large = rows.filter(F.col("size") > settings.region_size).select(
         F.xxhash64("region", F.shiftright("tail", 64 - 16 * MORE)).alias("region"), "tail", "class"
     )
@@ -184,7 +197,7 @@ def _closest(regions: DataFrame, settings: Settings) -> DataFrame:
         .mapInArrow(_neighbours, "a long, b long, shared long")
         .groupBy("a", "b")
         .agg(F.sum("shared").alias("shared"))
-        .checkpoint()
+        .transform(durable)
     )
     ends = pairs.select(F.col("a").alias("node"), "a", "b", "shared").union(
         pairs.select(F.col("b").alias("node"), "a", "b", "shared")
@@ -215,95 +228,157 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
 
 
 def _representatives(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """(class, text) of one document of each class; ``classes`` has class and rep.
+    """(class, text, sketch) of one document of each class; ``classes`` has class and rep.
 
     A repeated id may stand for several texts, so the text is checked to be of the class.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = _sketch_functions(settings)
         for batch in slices(batches, "text"):
-            same = []
+            same, sketches = [], []
             for klass, text in zip(batch.column("class").to_pylist(), batch.column("text")):
                 values = shingle_set(text.as_py(), settings.shingle)
-                same.append(klass == int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(values.tobytes())))))
-            yield batch.filter(pa.array(same, pa.bool_()))
+                same.append(klass == _class_of(values))
+                sketches.append(np.packbits((signature(values, factors) & 1).astype(np.uint8)).tobytes())
+            rows = with_columns(batch, sketch=pa.array(sketches, pa.binary()))
+            yield rows.filter(pa.array(same, pa.bool_()))
 
     rows = docs.select("doc_id", "text").join(classes, F.col("doc_id").eqNullSafe(F.col("rep")))
-    found = rows.select("class", "text").mapInArrow(run, "class long, text string")
+    found = rows.select("class", "text").mapInArrow(run, "class long, text string, sketch binary")
     return found.dropDuplicates(["class"])
 
 
-def _across(regions: DataFrame, classes: DataFrame, links: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs that share a region but no component, and whose sizes and sketches may match.
-
-    The largest component of a region is not compared with itself, so a region costs the
-    product of its other classes with all of them.
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets of a block."""
+    n = len(sets)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    starts = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    counts = np.diff(np.append(starts, len(values)))
+    pairs = []
+    for c in range(2, _RARE + 1):
+        rows = owner[starts[counts == c][:, None] + np.arange(c)]
+        pairs += [rows[:, p] * n + rows[:, q] for p in range(c) for q in range(p + 1, c)]
+    both = np.bincount(np.concatenate(pairs), minlength=n * n).reshape(n, n).astype(np.float32)
+    both += both.T
+    often = np.flatnonzero(counts > _RARE)
+    for part in np.array_split(often, max(1, -(-len(often) // 4096))):
+        held = np.zeros((n, len(part)), np.float32)
+        column = np.repeat(np.arange(len(part)), counts[part])
+        at = np.repeat(starts[part] - np.cumsum(counts[part]) + counts[part], counts[part]) + np.arange(len(column))
+        held[owner[at], column] = 1
+        both += held @ held.T
+    return both
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Rows (region, class, component) of regions of several components, dealt over cells.
+
+    A cell is a pair of blocks of one region, so every pair of its classes meets in a cell.
     """
-    rows = regions.join(links, regions["class"] == links["node"], "left").select(
-        "region", regions["class"], F.coalesce("component", regions["class"]).alias("component")
-    )
     counts = rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = counts.groupBy("region").agg(
-        F.max(F.struct("n", "component"))["component"].alias("main"), F.count(F.lit(1)).alias("parts")
-    ).filter("parts > 1")
-    rows = rows.join(main.select("region", "main"), "region").join(
-        classes.select("class", "n_shingles", "sketch_a", "sketch_b"), "class"
-    ).checkpoint()
-    m = rows.filter("component <> main").alias("m")
-    r = rows.alias("r")
-    differing = F.bit_count(F.expr("m.sketch_a ^ r.sketch_a")) + F.bit_count(F.expr("m.sketch_b ^ r.sketch_b"))
-    size = 100 * F.least("m.n_shingles", "r.n_shingles") >= settings.percent * F.greatest("m.n_shingles", "r.n_shingles")
-    pairs = m.join(
-        r,
-        (F.col("m.region") == F.col("r.region"))
-        & (F.col("m.component") != F.col("r.component"))
-        & ((F.col("r.component") == F.col("r.main")) | (F.col("m.class") < F.col("r.class")))
-        & size
-        & (differing <= settings.sketch_distance),
-    )
-    return pairs.select(
-        F.least("m.class", "r.class").alias("a"), F.greatest("m.class", "r.class").alias("b")
-    ).distinct()
+    sizes = counts.groupBy("region").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    rows = rows.join(sizes.select("region", blocks.alias("blocks")), "region")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cell = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select("region", "class", "component", cell.alias("cell"))
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell, from batches sorted by cell."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cells = batch.column("cell").to_numpy()
+        edges = np.flatnonzero(cells[1:] != cells[:-1]) + 1
+        for start, end in zip([0, *edges], [*edges, len(cells)]):
+            if held and cells[start] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = cells[start]
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _sorted_cells(rows: DataFrame) -> DataFrame:
+    return rows.repartition("cell").sortWithinPartitions("cell")
 
 
-def _sketched(classes: DataFrame) -> DataFrame:
-    """Add 96 sketch bits: one of each of the first 96 signature values."""
+def _promising(rows: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """The (region, class, component) whose sketch is near one of another component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
+        for cell in _cells(batches):
+            component = cell.column("component").to_numpy()
+            if len(component) < 2:
                 continue
-            values = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16)
-            bits = np.zeros((batch.num_rows, 128), np.uint8)
-            values = values.reshape(batch.num_rows, -1)[:, :_SKETCH_BITS]
-            bits[:, : values.shape[1]] = values & 1
-            packed = np.packbits(bits, axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), batch.column("n_shingles"), pa.array(packed[:, 0].copy()), pa.array(packed[:, 1].copy())],
-                names=["class", "n_shingles", "sketch_a", "sketch_b"],
-            )
+            packed = np.frombuffer(b"".join(cell.column("sketch").to_pylist()), np.uint8)
+            bits = np.unpackbits(packed.reshape(len(component), -1), axis=1).astype(np.float32)
+            ones = bits.sum(1)
+            near = ones[:, None] + ones[None, :] - 2 * (bits @ bits.T) <= settings.sketch_distance
+            near &= component[:, None] != component[None, :]
+            found = cell.filter(pa.array(near.any(1))).select(["region", "class", "component"])
+            yield from found.to_batches()
+
+    rows = _mixed(rows).join(texts.select("class", "sketch"), "class")
+    return _sorted_cells(rows).mapInArrow(run, "region long, class long, component long").distinct()
+
 
-    rows = classes.select("class", "n_shingles", "signature")
-    return rows.mapInArrow(run, "class long, n_shingles long, sketch_a long, sketch_b long")
+def _across(regions: DataFrame, joined: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """Links between classes that share a region but no component, as a spanning forest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _cells(batches):
+            component, node = cell.column("component").to_numpy(), cell.column("class").to_numpy()
+            if len(component) < 2:
+                continue
+            sets = [shingle_set(t.as_py(), settings.shingle) for t in cell.column("text")]
+            sizes = np.array([len(s) for s in sets])
+            both = overlaps(sets)
+            linked = 100 * both >= settings.percent * (sizes[:, None] + sizes[None, :] - both)
+            linked &= component[:, None] != component[None, :]
+            # Smallest class of each connected part of the cell.
+            root, big = node.copy(), np.iinfo(np.int64).max
+            while True:
+                least = np.minimum(root, np.where(linked, root[None, :], big).min(1))
+                if (least == root).all():
+                    break
+                root = least
+            edge = root != node
+            yield pa.RecordBatch.from_arrays([pa.array(node[edge]), pa.array(root[edge])], names=["a", "b"])
+
+    rows = regions.join(joined, regions["class"] == joined["node"], "left").select(
+        "region", regions["class"], F.coalesce("component", regions["class"]).alias("component")
+    )
+    likely = _promising(rows.transform(durable), texts, settings).transform(durable)
+    rows = _mixed(likely).join(texts.select("class", "text"), "class")
+    return _sorted_cells(rows).mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
-    features = _features(docs, settings).checkpoint()
+    features = _features(docs, settings).transform(durable)
     classes = (
         features.filter("class IS NOT NULL")
         .groupBy("class")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-        .checkpoint()
+        .transform(durable)
     )
-    regions = _regions(_orders(classes, settings), settings).checkpoint()
+    regions = _regions(_orders(classes, settings), settings).transform(durable)
     near = regions.select("class").distinct().join(classes.select("class", "rep"), "class")
-    texts = _representatives(docs, near, settings).checkpoint()
+    texts = _representatives(docs, near, settings).transform(durable)
 
-    first = _confirmed(_closest(regions, settings), texts, settings).checkpoint()
-    joined = components(first).checkpoint()
-    rest = _across(regions, _sketched(classes), joined, settings)
-    second = _confirmed(rest, texts, settings).checkpoint()
+    first = _confirmed(_closest(regions, settings), texts, settings).transform(durable)
+    joined = components(first).transform(durable)
+    second = _across(regions, joined, texts, settings).transform(durable)
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     linked = joined if second.isEmpty() else components(stars.union(second))
 
