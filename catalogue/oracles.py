@@ -402,11 +402,15 @@ ORACLES: dict[str, str] = {
     + f"""SELECT id, wiki, NULL AS other FROM edits
         UNION ALL SELECT NULL, NULL, payload FROM ({_OTHER_PAYLOADS})""",
     "q32_edits_per_minute_stream": _WITH_SILVER_EDITS + _PER_MINUTE.format(edits="silver_edits"),
+    # Fields in the order of the record: nested objects follow the unknown names.
     "q33_rescued_fields": _WITH_EDITS
-    + """SELECT id, title, CASE
-          WHEN id % 15 = 0 THEN concat('{"extra":"', CAST(id AS VARCHAR), '","note":"seen"}')
-          WHEN id % 3 = 0 THEN concat('{"extra":"', CAST(id AS VARCHAR), '"}')
-          WHEN id % 5 = 0 THEN '{"note":"seen"}' END AS rescued FROM edits""",
+    + """SELECT id, title, meta_dt, CASE WHEN parts <> '' THEN concat('{', parts, '}') END AS rescued
+        FROM (SELECT *, concat_ws(',',
+            CASE WHEN id % 3 = 0 THEN concat('"extra":"', CAST(id AS VARCHAR), '"') END,
+            CASE WHEN id % 5 = 0 THEN '"note":"seen"' END,
+            CASE WHEN id % 11 = 0 THEN '"length":"{\\"new\\":\\"long\\"}"' END,
+            CASE WHEN id % 7 = 0 THEN concat('"meta":"{\\"zzz\\":\\"', CAST(id AS VARCHAR), '\\"}"') END
+          ) AS parts FROM edits)""",
     "q34_malformed_rows": _WITH_FEED.replace("FROM activity)", ", event_id FROM activity)")
     + """SELECT CASE WHEN short OR long OR NOT letter THEN event_id END AS Global_Event_ID,
           CASE WHEN NOT short THEN event_id END AS event_id,

@@ -584,13 +584,15 @@ def q32_edits_per_minute_stream(spark, sf_dir):
 
 @query
 def q33_rescued_fields(spark, sf_dir):
-    edits = A.edits_feed(spark, sf_dir)
-    extra = edits.withColumn("extra", F.when(F.col("id") % 3 == 0, F.col("id"))).withColumn(
-        "note", F.when(F.col("id") % 5 == 0, F.lit("seen"))
-    )
+    """Unknown fields at the top and inside ``meta``, and a misfit inside ``length``."""
+    edits, i = A.edits_feed(spark, sf_dir), F.col("id")
+    extra = edits.withColumn("extra", F.when(i % 3 == 0, i)).withColumn("note", F.when(i % 5 == 0, F.lit("seen")))
+    extra = extra.withColumn("meta", F.col("meta").withField("zzz", F.when(i % 7 == 0, i)))
+    misfit = F.when(i % 11 == 0, F.lit("long")).alias("new")
+    extra = extra.withColumn("length", F.struct(misfit, F.col("length.old").alias("old")))
     raw = A.land_json(extra, new_dir(spark, "q33-raw"))
     bronze = readers.read_edits(spark, raw, rescue=True)
-    return bronze.select("id", "title", F.col(RESCUED).alias("rescued"))
+    return bronze.select("id", "title", F.col("meta.dt").alias("meta_dt"), F.col(RESCUED).alias("rescued"))
 
 
 def _malformed(spark, sf_dir, label) -> DataFrame:

@@ -9,144 +9,119 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_TYPES = {
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "double": T.DoubleType(),
-}
+STRING, BOOLEAN = T.StringType(), T.BooleanType()
+INT, LONG, DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
 
 
-def _struct(layout: str) -> T.StructType:
-    pairs = (line.split() for line in layout.strip().splitlines())
-    return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in pairs])
+def _struct(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-# Column names, order and types of the event export.
-_EVENT_HEAD = """
-Global_Event_ID long
-SQL_Date int
-Month_Year int
-Year int
-Fraction_Date double
-Actor1_Code string
-Actor1_Name string
-Actor1_Country_Code string
-Actor1_Known_Group_Code string
-Actor1_Ethnic_Code string
-Actor1_Religion1_Code string
-Actor1_Religion2_Code string
-Actor1_Religion3_Code string
-Actor1_Type1_Code string
-Actor1_Type2_Code string
-Actor1_Type3_Code string
-Actor2_Code string
-Actor2_Name string
-Actor2_Known_Group_Code string
-Actor2_Ethnic_Code string
-Actor2_Religion1_Code string
-Actor2_Religion2_Code string
-Actor2_Religion3_Code string
-Actor2_Type1_Code string
-Actor2_Type2_Code string
-Is_Root_Event int
-Event_Code string
-Event_Base_Code string
-Event_Root_Code string
-Quad_Class int
-Goldstein_Scale double
-Num_Mentions int
-Num_Sources int
-Num_Articles int
-Avg_Tone double
-"""
-
-# The place block, repeated once per place role.
+# The columns that describe the place of each of the three roles.
 _PLACE_ROLES = ("Actor1", "Actor2", "Action")
-_PLACE_BLOCK = """
-Geo_Type int
-Geo_FullName string
-Geo_Country_Code string
-Geo_ADM1_Code string
-Geo_Geonames_ID string
-Geo_Lat double
-Geo_Long double
-Geo_Feature_ID long
-"""
+_PLACE = {
+    "Geo_Type": INT,
+    "Geo_FullName": STRING,
+    "Geo_Country_Code": STRING,
+    "Geo_ADM1_Code": STRING,
+    "Geo_Geonames_ID": STRING,
+    "Geo_Lat": DOUBLE,
+    "Geo_Long": DOUBLE,
+    "Geo_Feature_ID": LONG,
+}
 
-_EVENT_TAIL = """
-Date_Added long
-Source_URL string
-"""
+# Column names, order and types of the event export.
+EVENT_SCHEMA = _struct(
+    {
+        "Global_Event_ID": LONG,
+        "SQL_Date": INT,
+        "Month_Year": INT,
+        "Year": INT,
+        "Fraction_Date": DOUBLE,
+        "Actor1_Code": STRING,
+        "Actor1_Name": STRING,
+        "Actor1_Country_Code": STRING,
+        "Actor1_Known_Group_Code": STRING,
+        "Actor1_Ethnic_Code": STRING,
+        "Actor1_Religion1_Code": STRING,
+        "Actor1_Religion2_Code": STRING,
+        "Actor1_Religion3_Code": STRING,
+        "Actor1_Type1_Code": STRING,
+        "Actor1_Type2_Code": STRING,
+        "Actor1_Type3_Code": STRING,
+        "Actor2_Code": STRING,
+        "Actor2_Name": STRING,
+        "Actor2_Known_Group_Code": STRING,
+        "Actor2_Ethnic_Code": STRING,
+        "Actor2_Religion1_Code": STRING,
+        "Actor2_Religion2_Code": STRING,
+        "Actor2_Religion3_Code": STRING,
+        "Actor2_Type1_Code": STRING,
+        "Actor2_Type2_Code": STRING,
+        "Is_Root_Event": INT,
+        "Event_Code": STRING,
+        "Event_Base_Code": STRING,
+        "Event_Root_Code": STRING,
+        "Quad_Class": INT,
+        "Goldstein_Scale": DOUBLE,
+        "Num_Mentions": INT,
+        "Num_Sources": INT,
+        "Num_Articles": INT,
+        "Avg_Tone": DOUBLE,
+    }
+    | {f"{role}_{name}": kind for role in _PLACE_ROLES for name, kind in _PLACE.items()}
+    | {
+        "Date_Added": LONG,
+        "Source_URL": STRING,
+    }
+)
 
-# Members and types of the three nested objects of a change record.
-_PAIR = """
-new long
-old long
-"""
-_META = """
-domain string
-dt string
-id string
-offset long
-partition long
-request_id string
-stream string
-topic string
-uri string
-"""
+# Members and types of the nested objects of a change record.
+_PAIR = _struct({
+    "new": LONG,
+    "old": LONG,
+})
+_META = _struct({
+    "domain": STRING,
+    "dt": STRING,
+    "id": STRING,
+    "offset": LONG,
+    "partition": LONG,
+    "request_id": STRING,
+    "stream": STRING,
+    "topic": STRING,
+    "uri": STRING,
+})
 
 # Fields of a change record, in order.
-_EDIT_LAYOUT = """
-$schema string
-bot boolean
-comment string
-id long
-length PAIR
-log_action string
-log_action_comment string
-log_id long
-log_params string
-log_type string
-meta META
-minor boolean
-namespace long
-notify_url string
-parsedcomment string
-patrolled boolean
-revision PAIR
-server_name string
-server_script_path string
-server_url string
-timestamp long
-title string
-title_url string
-type string
-user string
-wiki string
-"""
-
-
-def _event_schema() -> T.StructType:
-    fields = list(_struct(_EVENT_HEAD))
-    for role in _PLACE_ROLES:
-        for f in _struct(_PLACE_BLOCK):
-            fields.append(T.StructField(f"{role}_{f.name}", f.dataType, True))
-    fields.extend(_struct(_EVENT_TAIL))
-    return T.StructType(fields)
-
-
-def _edit_schema() -> T.StructType:
-    nested = {"PAIR": _struct(_PAIR), "META": _struct(_META)}
-    pairs = (line.split() for line in _EDIT_LAYOUT.strip().splitlines())
-    return T.StructType(
-        [T.StructField(name, nested.get(kind) or _TYPES[kind], True) for name, kind in pairs]
-    )
-
-
-EVENT_SCHEMA = _event_schema()
-EDIT_SCHEMA = _edit_schema()
+EDIT_SCHEMA = _struct({
+    "$schema": STRING,
+    "bot": BOOLEAN,
+    "comment": STRING,
+    "id": LONG,
+    "length": _PAIR,
+    "log_action": STRING,
+    "log_action_comment": STRING,
+    "log_id": LONG,
+    "log_params": STRING,
+    "log_type": STRING,
+    "meta": _META,
+    "minor": BOOLEAN,
+    "namespace": LONG,
+    "notify_url": STRING,
+    "parsedcomment": STRING,
+    "patrolled": BOOLEAN,
+    "revision": _PAIR,
+    "server_name": STRING,
+    "server_script_path": STRING,
+    "server_url": STRING,
+    "timestamp": LONG,
+    "title": STRING,
+    "title_url": STRING,
+    "type": STRING,
+    "user": STRING,
+    "wiki": STRING,
+})
 
 CORRUPT = "_corrupt_record"
 RESCUED = "_rescued_data"

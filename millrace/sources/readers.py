@@ -153,24 +153,32 @@ def is_json_object(text: Column) -> Column:
 def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column:
     """JSON text of the fields of ``text`` that ``parsed`` could not take up.
 
-    These are the fields whose name the schema lacks and those whose value does not fit
-    the declared type. NULL when everything fitted, which is told from the keys and from
-    the parser's own complaint without looking at the values again.
+    These are the fields whose name the schema lacks and those whose value does not fit the
+    declared type, at the top and inside the nested objects; a nested object shows only what
+    was lost of it. NULL when everything fitted. The text is parsed once into a map, and each
+    nested object once more from there.
     """
-    names = schema.names
-    fields = F.from_json(text, "map<string,string>")
-    lost = F.array_compact(
-        F.array(*[F.when(parsed.getField(n).isNull(), F.lit(n)) for n in names])
-    )
-    misfits = F.to_json(
-        F.map_filter(
+
+    def lost(fields: Column, struct: Column, kinds: T.StructType) -> Column:
+        missing = F.array_compact(F.array(*[F.when(struct.getField(n).isNull(), F.lit(n)) for n in kinds.names]))
+        return F.map_filter(
             fields,
-            lambda key, value: ~key.isin(names)
-            | (value.isNotNull() & F.array_contains(lost, key)),
+            lambda key, value: ~key.isin(kinds.names) | (value.isNotNull() & F.array_contains(missing, key)),
         )
-    )
-    unknown = F.to_json(F.map_filter(fields, lambda key, value: ~key.isin(names)))
-    new_keys = F.filter(F.json_object_keys(text), lambda key: ~key.isin(names))
-    return F.when(parsed.getField(CORRUPT).isNotNull(), F.nullif(misfits, F.lit("{}"))).when(
-        F.size(new_keys) > 0, unknown
-    )
+
+    def all_lost(fields: Column) -> Column:
+        out = lost(fields, parsed, schema)
+        for f in schema:
+            if isinstance(f.dataType, T.StructType):
+                nested = F.from_json(F.try_element_at(fields, F.lit(f.name)), "map<string,string>")
+                inner = F.to_json(lost(nested, parsed.getField(f.name), f.dataType))
+                shown = parsed.getField(f.name).isNotNull() & (inner != "{}")
+                out = F.map_concat(out, F.when(shown, F.create_map(F.lit(f.name), inner)).otherwise(_no_fields()))
+        return F.nullif(F.to_json(out), F.lit("{}"))
+
+    whole = F.from_json(text, "map<string,string>")
+    return F.transform(F.array(whole), all_lost)[0]
+
+
+def _no_fields() -> Column:
+    return F.create_map().cast("map<string,string>")

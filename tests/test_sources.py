@@ -108,6 +108,20 @@ def test_rescue_keeps_what_did_not_fit(spark, tmp_path):
     assert rescued == {1: None, 2: {"extra": "1", "deep": '{"x":[1]}'}, 3: None, None: {"id": "four"}}
 
 
+def test_rescue_reaches_nested_objects(spark, tmp_path):
+    lines = [
+        '{"id":1,"meta":{"dt":"d","zzz":1},"length":{"new":"long","old":3}}',
+        '{"id":2,"meta":{"dt":"d","offset":null},"revision":null}',
+        '{"id":3,"meta":5,"more":[1]}',
+    ]
+    path = put(tmp_path / "raw", "a.json", *lines)
+    rows = {r["id"]: r for r in read_edits(spark, path, rescue=True).collect()}
+    rescued = {i: r[RESCUED] and json.loads(r[RESCUED]) for i, r in rows.items()}
+    assert {k: json.loads(v) for k, v in rescued[1].items()} == {"meta": {"zzz": "1"}, "length": {"new": "long"}}
+    assert rescued[2] is None and rescued[3] == {"meta": "5", "more": "[1]"}
+    assert rows[1]["length"].old == 3 and rows[1]["meta"].dt == "d"
+
+
 TRANSCRIPT = [
     "event: message",
     'id: [{"topic":"t","offset":1}]',
