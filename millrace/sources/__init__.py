@@ -24,6 +24,7 @@ __all__ = [
     "landed_deliveries",
     "manifest",
     "manifest_between",
+    "misnamed_files",
     "member_events",
     "members",
     "parse_json",

@@ -12,7 +12,7 @@ STEP_MINUTES = 15
 NAME_PATTERN = "yyyyMMddHHmmss"
 NAME_SUFFIX = ".export.CSV.zip"
 _PY_PATTERN = "%Y%m%d%H%M%S"
-_STAMP_IN_NAME = r"(\d{14})\.export\.CSV\.zip"
+_STAMP_IN_NAME = r"(?<![0-9])([0-9]{14})\.export\.CSV\.zip(?![^/])"
 _STAMP_PARTS = r"(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)"
 
 
@@ -50,16 +50,24 @@ def slot_of(ts: Column, minutes: int = STEP_MINUTES) -> Column:
     return midnight + F.make_dt_interval(mins=index * minutes)
 
 
+def _landed(spark: SparkSession, path: str, options: dict | None) -> DataFrame:
+    files = spark.read.format("binaryFile").options(**(options or {})).load(path)
+    stamp = F.regexp_extract("path", _STAMP_IN_NAME, 1)
+    readable = F.regexp_replace(stamp, _STAMP_PARTS, "$1-$2-$3 $4:$5:$6")
+    return files.select(readable.try_cast("timestamp_ntz").alias("slot"), F.col("path").alias("archive"))
+
+
 def landed_deliveries(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
     """Archives present in a landing folder: slot, archive. Contents are not read.
 
-    The slot comes from the delivery time in the name; names without one are left out.
+    The slot comes from the delivery time in the name; ``misnamed_files`` has the rest.
     """
-    files = spark.read.format("binaryFile").options(**(options or {})).load(path)
-    stamp = F.regexp_extract("path", _STAMP_IN_NAME, 1)
-    readable = F.regexp_replace(stamp, _STAMP_PARTS, "$1-$2-$3 $4:$5:$6")
-    slots = files.select(readable.try_cast("timestamp_ntz").alias("slot"), F.col("path").alias("archive"))
-    return slots.filter(F.col("slot").isNotNull())
+    return _landed(spark, path, options).filter(F.col("slot").isNotNull())
+
+
+def misnamed_files(spark: SparkSession, path: str, options: dict | None = None) -> DataFrame:
+    """Files of a landing folder whose name holds no delivery time: archive."""
+    return _landed(spark, path, options).filter(F.col("slot").isNull()).select("archive")
 
 
 def gaps(expected: DataFrame, landed: DataFrame, key: str = "slot") -> DataFrame:

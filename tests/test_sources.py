@@ -14,6 +14,7 @@ from millrace.sources import (
     landed_deliveries,
     manifest,
     manifest_between,
+    misnamed_files,
     member_events,
     members,
     parse_sse,
@@ -189,10 +190,13 @@ def test_manifest_from_data_and_gaps_with_a_hot_slot(spark):
 
 
 def test_landed_deliveries(spark, tmp_path):
-    names = ["20240101000000.export.CSV.zip", "20240101003000.export.CSV.zip", "20241399000000.export.CSV.zip", "x.zip"]
+    names = ["20240101000000.export.CSV.zip", "20240101003000.export.CSV.zip"]
+    odd = ["20241399000000.export.CSV.zip", "x.zip", "120240101001500.export.CSV.zip", "20240101001500.export.CSV.zip.tmp"]
+    names += odd
     for name in names:
         (tmp_path / name).write_bytes(b"?")
     landed = landed_deliveries(spark, str(tmp_path))
+    assert sorted(r[0].split("/")[-1] for r in misnamed_files(spark, str(tmp_path)).collect()) == sorted(odd)
     missing = gaps(manifest(spark, "20240101000000", "20240101004500"), landed)
     assert sorted(r["stamp"] for r in missing.collect()) == ["20240101001500", "20240101004500"]
     (columns,) = [c for c in plan(landed).splitlines() if "ReadSchema" in c] or [plan(landed)]
