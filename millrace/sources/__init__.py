@@ -3,10 +3,18 @@ from millrace.sources.archives import (
     members,
     read_archived_events,
     read_archives,
+    read_unreadable_archives,
     unreadable_archives,
     unzip,
 )
-from millrace.sources.intervals import gaps, landed_deliveries, manifest, manifest_between, slot_of
+from millrace.sources.intervals import (
+    gaps,
+    landed_deliveries,
+    manifest,
+    manifest_between,
+    misnamed_files,
+    slot_of,
+)
 from millrace.sources.readers import parse_json, read_edits, read_events, read_table, rescued_fields
 from millrace.sources.replay import first_events
 from millrace.sources.sinks import (
@@ -16,7 +24,15 @@ from millrace.sources.sinks import (
     write_members,
     write_payload_batches,
 )
-from millrace.sources.sse import parse_sse, read_lines, read_sse, readable, sse_payloads, unreadable
+from millrace.sources.sse import (
+    parse_sse,
+    read_lines,
+    read_sse,
+    read_unreadable_payloads,
+    readable,
+    sse_payloads,
+    unreadable,
+)
 
 __all__ = [
     "first_events",
@@ -24,9 +40,9 @@ __all__ = [
     "landed_deliveries",
     "manifest",
     "manifest_between",
-    "misnamed_files",
     "member_events",
     "members",
+    "misnamed_files",
     "parse_json",
     "parse_sse",
     "publish_table",
@@ -37,6 +53,8 @@ __all__ = [
     "read_lines",
     "read_sse",
     "read_table",
+    "read_unreadable_archives",
+    "read_unreadable_payloads",
     "readable",
     "rescued_fields",
     "slot_of",
