@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.llm.rows import durable
 
@@ -164,6 +165,14 @@ def decode(model: Model, scores: np.ndarray, entry: int | None, leave: int | Non
     return states
 
 
+_ROWS = 5000  # result rows that leave a task at a time
+
+
+def _rows(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())]
+    return pa.RecordBatch.from_arrays(columns, names=list(kinds))
+
+
 _ORDER = ["conv_id", "chunk", "turn", "line"]
 
 
@@ -201,43 +210,39 @@ def _ends(chunks: DataFrame, model: Model) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = ([], [], [], [])
-
-        def finish(conv, order, matrices):
-            # Before the first chunk stands the start, written as the row of any state.
-            arrive, back = None, []
-            for m in matrices:
-                if arrive is None:
-                    arrive = m[0]
-                else:
-                    ways = arrive[:, None] + m
-                    back.append(ways.argmax(0))
-                    arrive = ways.max(0)
+        kinds = {"conv_id": conv_kind, "chunk": pa.int64(), "entry": pa.int32(), "leave": pa.int32()}
+        out, conv, order, matrices = [], None, [], []
+
+        def finish():
+            """Chain the chunks of one conversation and go back over the best way."""
+            arrive, back = matrices[0][0], []  # the first matrix is the same from any state
+            for m in matrices[1:]:
+                ways = arrive[:, None] + m
+                back.append(ways.argmax(0))
+                arrive = ways.max(0)
             leave = [int(arrive.argmax())]
             for b in reversed(back):
                 leave.append(int(b[leave[-1]]))
             leave.reverse()
-            for held, values in zip(out, ([conv] * len(order), order, [None] + leave[:-1], leave)):
-                held.extend(values)
+            out.extend(zip([conv] * len(order), order, [None, *leave[:-1]], leave))
 
-        conv, order, matrices = None, [], []
         for batch in batches:
             for c, k, m in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "chunk", "best"))):
                 if order and c != conv:
-                    finish(conv, order, matrices)
+                    finish()
                     order, matrices = [], []
+                    if len(out) > _ROWS:
+                        yield _rows(out, kinds)
+                        out = []
                 conv = c
                 order.append(k)
                 matrices.append(np.array(m).reshape(STATES, STATES))
         if order:
-            finish(conv, order, matrices)
-        kinds = (conv_kind, pa.int64(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, k) for v, k in zip(out, kinds)], names=["conv_id", "chunk", "entry", "leave"]
-        )
+            finish()
+        yield _rows(out, kinds)
 
     kind = chunks.schema["conv_id"].dataType
-    conv_kind = pa.string() if kind.simpleString() == "string" else pa.int64()
+    conv_kind = to_arrow_type(kind)
     ordered = chunks.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
     return ordered.mapInArrow(run, f"conv_id {kind.simpleString()}, chunk long, entry int, leave int")
 
@@ -250,25 +255,36 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
     """
     rows = with_features(lines).withColumn("chunk", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK_TURNS).cast("long"))
     kind = lines.schema["conv_id"].dataType.simpleString()
-    conv_kind = pa.string() if kind == "string" else pa.int64()
+    conv_kind = to_arrow_type(lines.schema["conv_id"].dataType)
     features = list(_FEATURES)
+    matrix_kinds = {"conv_id": conv_kind, "chunk": pa.int64(), "best": pa.list_(pa.float64())}
+    turn_kinds = {
+        "conv_id": conv_kind,
+        "chunk": pa.int64(),
+        "n": pa.int64(),
+        "role": pa.string(),
+        "continues": pa.bool_(),
+        "text": pa.string(),
+        "n_lines": pa.int64(),
+        "n_right": pa.int64(),
+    }
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = ([], [], [])
+        out = []
         for (conv, chunk), group in _groups(batches, ["conv_id", "chunk", "first", *features]):
             scores = _scores(model, _features_of(group))
             if group["first"][0]:
-                after = np.array(model.start + scores[0])
-                best = after[None] if len(scores) == 1 else (after[:, None] + transfer(model, scores[1:])).max(0)[None]
-                best = np.repeat(best, STATES, 0)
+                arrive = model.start + scores[0]
+                if len(scores) > 1:
+                    arrive = (arrive[:, None] + transfer(model, scores[1:])).max(0)
+                best = np.repeat(arrive[None], STATES, 0)
             else:
                 best = transfer(model, scores)
-            for held, value in zip(out, (conv, chunk, best.ravel().tolist())):
-                held.append(value)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], conv_kind), pa.array(out[1], pa.int64()), pa.array(out[2], pa.list_(pa.float64()))],
-            names=["conv_id", "chunk", "best"],
-        )
+            out.append((conv, chunk, best.ravel().tolist()))
+            if len(out) == _ROWS:
+                yield _rows(out, matrix_kinds)
+                out = []
+        yield _rows(out, matrix_kinds)
 
     firsts = rows.groupBy("conv_id").agg(F.min("chunk").alias("first_chunk"))
     firsts = firsts.withColumnRenamed("conv_id", "of")
@@ -289,15 +305,10 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
                 continues = bool(n == 0 and states[a] % 2 and g["entry"][0] is not None)
                 out.append((conv, chunk, n, role, continues, text, b - a, sum(t == role for t in g["truth"][a:b])))
                 held += len(text)
-            if held > 4 << 20 or len(out) > 5000:
-                yield _batch(out)
+            if held > 4 << 20 or len(out) > _ROWS:
+                yield _rows(out, turn_kinds)
                 out, held = [], 0
-        yield _batch(out)
-
-    def _batch(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [conv_kind, pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.int64(), pa.int64()]
-        names = ["conv_id", "chunk", "n", "role", "continues", "text", "n_lines", "n_right"]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+        yield _rows(out, turn_kinds)
 
     joined = rows.join(ends, F.col("conv_id").eqNullSafe(F.col("e_conv")) & (F.col("chunk") == F.col("e_chunk")))
     joined = joined.select(*_ORDER, "entry", "leave", *features, "text", "truth")
