@@ -107,16 +107,17 @@ def parse_json(
     ``_corrupt_record``: names in single quotes, text after the object and a second object
     count as corrupt. An object with a single ill-typed value is not: that value is NULL, the
     rest is kept. Whether text is an object is told without parsing its fields, so that a
-    filter on it does not parse them a second time.
+    filter on it does not parse them a second time. What the fields of a corrupt row hold is
+    not defined.
     """
     text = F.col(_RAW)
     others = [F.col(c) for c in df.columns if c != column]
-    kept = text if not corrupt else F.when(is_json_object(text), text)
     if rescue:
         options = _STRICT | {"columnNameOfCorruptRecord": CORRUPT}
-        parsed = F.from_json(kept, with_corrupt(schema), options)
-    else:
-        parsed = F.from_json(kept, schema, _STRICT)
+        parsed = F.from_json(text, with_corrupt(schema), options)
+    else:  # as the one element of an array, which refuses text after the object
+        element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), _STRICT)
+        parsed = F.get(element, F.lit(0))
     out = others + [F.col(f"{_PARSED}.`{n}`").alias(n) for n in schema.names]
     if corrupt:
         out.append(F.when(~is_json_object(text), text).alias(CORRUPT))
@@ -125,9 +126,13 @@ def parse_json(
     return df.withColumnRenamed(column, _RAW).withColumn(_PARSED, parsed).select(*out)
 
 
+# The characters that count as white space in Unicode text.
+_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def stripped(text: Column) -> Column:
     """Text without white space of any kind around it."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.trim(text, F.lit(_WHITE))
 
 
 def is_json_object(text: Column) -> Column:
@@ -137,17 +142,24 @@ def is_json_object(text: Column) -> Column:
     text after the object, unless it closes the array itself; where a bracket could do
     that, the text must also be the value of a field.
     """
-    bare = stripped(text)
-    as_element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_NO_FIELDS}>", _STRICT)
-    as_field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {_NO_FIELDS}", _STRICT)
-    return F.coalesce(
-        F.startswith(bare, F.lit("{"))
-        & F.endswith(bare, F.lit("}"))
-        & (F.size(as_element) == 1)
-        & as_element[0].isNotNull()
-        & (~text.rlike(r"\}\s*\]") | as_field["v"].isNotNull()),
-        F.lit(False),
-    )
+
+    def check(text: Column) -> Column:
+        bare = F.trim(text, F.lit(" \t\n\r"))
+        as_element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_NO_FIELDS}>", _STRICT)
+        as_field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {_NO_FIELDS}", _STRICT)
+        return (
+            F.startswith(bare, F.lit("{"))
+            & F.endswith(bare, F.lit("}"))
+            & _once(as_element, lambda e: (F.size(e) == 1) & F.get(e, F.lit(0)).isNotNull())
+            & (~text.rlike(r"\}\s*\]") | as_field["v"].isNotNull())
+        )
+
+    return F.coalesce(_once(text, check), F.lit(False))
+
+
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where a filter is moved."""
+    return F.transform(F.array(value), body)[0]
 
 
 def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column:
@@ -155,10 +167,13 @@ def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column
 
     These are the fields whose name the schema lacks and those whose value does not fit the
     declared type, at the top and inside the nested objects; a nested object shows only what
-    was lost of it. NULL when everything fitted. The text is parsed once into a map, and each
-    nested object once more from there.
+    was lost of it. NULL when everything fitted, which is told from the parser's own complaint
+    and from the names at both levels; only other rows are parsed into maps.
     """
 
+    def unknown(keys: Column, names: list[str]) -> Column:
+        return F.coalesce(F.exists(keys, lambda key: ~key.isin(names)), F.lit(False))
+
     def lost(fields: Column, struct: Column, kinds: T.StructType) -> Column:
         missing = F.array_compact(F.array(*[F.when(struct.getField(n).isNull(), F.lit(n)) for n in kinds.names]))
         return F.map_filter(
@@ -176,8 +191,20 @@ def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column
                 out = F.map_concat(out, F.when(shown, F.create_map(F.lit(f.name), inner)).otherwise(_no_fields()))
         return F.nullif(F.to_json(out), F.lit("{}"))
 
+    structs = [f for f in schema if isinstance(f.dataType, T.StructType)]
+    misfit = parsed.getField(CORRUPT).isNotNull() | unknown(F.json_object_keys(text), schema.names)
+    if structs:
+        inner = F.from_json(text, ", ".join(f"`{f.name}` map<string,string>" for f in structs))
+
+        def unknown_inside(fields: Column) -> Column:
+            found = F.lit(False)
+            for f in structs:
+                found = found | unknown(F.map_keys(fields.getField(f.name)), f.dataType.names)
+            return found
+
+        misfit = misfit | _once(inner, unknown_inside)
     whole = F.from_json(text, "map<string,string>")
-    return F.transform(F.array(whole), all_lost)[0]
+    return F.when(misfit, _once(whole, all_lost))
 
 
 def _no_fields() -> Column:
