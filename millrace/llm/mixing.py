@@ -9,8 +9,9 @@ remainders, so the leaves sum to the budget exactly.
 
 A leaf takes full passes over its documents and then the longest prefix of one more pass
 that fits. Each pass has its own seeded order. The prefix is found without ordering a leaf
-as a whole: the order key cuts a leaf into slices of about ``SLICE_ROWS`` documents, slice
-sums are accumulated, and only the slice in which the budget ends is ordered.
+as a whole: the order key cuts a leaf into as many slices as the square root of its number
+of documents, slice sums are accumulated, and only the slice in which the budget ends is
+ordered.
 
 Defined results: a NULL level value is a node of its own; NULL token counts count 0 and
 negative ones are refused; rows with equal ids share their place in the order and are
@@ -25,8 +26,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Documents of a leaf whose order is worked out in one task, on average.
-SLICE_ROWS = 4096
+from millrace.llm.rows import durable
+
 # A table of leaves up to this size is broadcast; a larger one is joined by shuffling.
 BROADCAST_LEAVES = 10_000
 
@@ -80,7 +81,7 @@ def deal(nodes: DataFrame, parents: list[str], key: str) -> DataFrame:
     Ordered by cap per weight, a node is full if the budget suffices to bring all nodes to
     its own level; the others share the rest by weight.
     """
-    family = Window.partitionBy(*[F.col(c) for c in parents])
+    family = Window.partitionBy(*[F.col(c) for c in parents] or [F.lit(1)])
     ratio = F.col("cap").cast("double") / F.col("weight").cast("double")
     upto = family.orderBy(ratio, F.col(key).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     out = (
@@ -112,16 +113,19 @@ def leaf_budgets(sizes: DataFrame, mix: Mix) -> DataFrame:
         F.count(F.lit(1)).alias("n_docs"), F.sum("n_tokens").cast(_BIG).alias("supply")
     )
     # Few rows from here on, but each level reads them again.
-    leaves = leaves.withColumn("cap", (F.col("supply") * mix.max_epochs).cast(_BIG)).checkpoint()
-    root = leaves.agg(F.coalesce(F.sum("supply"), F.lit(0)).cast(_BIG).alias("total")).select(
-        F.expr(f"LEAST(total * {mix.budget_percent} div 100, total * {mix.max_epochs})").cast(_BIG).alias("budget")
-    )
-    budgets, parents = root, []
+    leaves = leaves.withColumn("cap", (F.col("supply") * mix.max_epochs).cast(_BIG)).transform(durable)
+    budgets, parents = None, []
     for depth, level in enumerate(levels, 1):
         path = levels[:depth]
-        nodes = leaves.groupBy(*path).agg(F.sum("cap").cast(_BIG).alias("cap"))
+        nodes = leaves.groupBy(*path).agg(F.sum("cap").cast(_BIG).alias("cap"), F.sum("supply").cast(_BIG).alias("held"))
         nodes = nodes.withColumn("weight", _weight(mix, depth))
-        nodes = join_levels(nodes, budgets, parents)
+        if budgets is None:  # the children of the root see the whole supply
+            total = F.sum("held").over(Window.partitionBy(F.lit(1)))
+            nodes = nodes.withColumn("total", total.cast(_BIG)).withColumn(
+                "budget", F.expr(f"LEAST(total * {mix.budget_percent} div 100, total * {mix.max_epochs})").cast(_BIG)
+            )
+        else:
+            nodes = join_levels(nodes, budgets, parents)
         budgets, parents = deal(nodes, parents, level).select(*path, "budget"), path
     return join_levels(leaves, budgets, levels).select(*levels, "n_docs", "supply", "budget")
 
@@ -152,8 +156,8 @@ def _cuts(sizes: DataFrame, mix: Mix) -> tuple[DataFrame, bool]:
         *levels,
         F.expr("IF(supply > 0, budget div supply, 0)").cast("long").alias("passes"),
         F.expr("IF(supply > 0, budget % supply, 0)").cast("long").alias("rest"),
-        F.ceil(F.col("n_docs") / SLICE_ROWS).cast("long").alias("slices"),
-    ).checkpoint()
+        F.ceil(F.sqrt("n_docs")).cast("long").alias("slices"),
+    ).transform(durable)
     few = plans.count() <= BROADCAST_LEAVES
     own = [f"{_OWN}{c}" for c in levels]
     placed = _placed(sizes, plans, mix, few)
@@ -182,7 +186,7 @@ def _cuts(sizes: DataFrame, mix: Mix) -> tuple[DataFrame, bool]:
         F.col(f"last.{_OWN}key").alias("last_key"),
         F.col("last.doc_id").alias("last_id"),
     )
-    return join_levels(plans, last, levels, "left").checkpoint(), few
+    return join_levels(plans, last, levels, "left").transform(durable), few
 
 
 def mix(docs: DataFrame, spec: Mix) -> DataFrame:
@@ -195,7 +199,7 @@ def mix(docs: DataFrame, spec: Mix) -> DataFrame:
         "doc_id",
         *spec.levels,
         F.expr("IF(n_tokens < 0, raise_error('negative token count'), COALESCE(n_tokens, 0))").cast("long").alias("n_tokens"),
-    ).checkpoint()
+    ).transform(durable)
     plans, few = _cuts(sizes, spec)
     placed = _placed(docs, plans, spec, few)
     own = {c: F.col(f"{_OWN}{c}") for c in ("slice", "end_slice", "key", "last_key", "last_id", "passes")}
