@@ -1,12 +1,12 @@
 """Near-duplicate vectors by an inverted multi-index.
 
 Vectors of length one are cut into halves; a codebook for each half (k-means on a bounded
-sample) makes a grid of cells, and every vector lies in the cell of its two nearest
-codewords. A vector visits the cells nearest to it in the order of the multi-sequence
-traversal, so many of them that the wanted share of true partners is met: this number is
-measured by comparing a bounded set of query vectors with all vectors in blocks. What a
-visit finds is verified by its cosine in double precision. A link that only one side's
-visits find counts for both.
+sample) makes a grid, and every vector belongs to its two nearest codewords. Codewords of a
+half form groups, and a group of each half makes a cell. A vector visits the cells in the
+order of the multi-sequence traversal of the least distances at which their members can lie,
+and ends where these rule out a cosine of ``threshold``; so no link is lost, whatever the
+codebooks are. A pair of cells is visited from one side only. What a visit finds is verified
+by its cosine in double precision and counts for both sides.
 
 Equal vectors of a label are one class with a multiplicity. The visitors and members of a
 cell are dealt over blocks of bounded size, so that no cell is gathered whole, and a block
@@ -40,46 +40,63 @@ BLOCK_VISITORS = 2048
 
 @dataclass(frozen=True)
 class Settings:
-    """``fit_rows`` classes (about) train the codebooks; ``queries`` classes (about) measure
-    how many visits reach ``recall`` of all links from one side. The grid has a cell for about
-    ``cell_rows`` classes, up to ``most_codewords`` in each half."""
+    """``fit_rows`` classes (about) train the codebooks. Codebooks have a codeword pair for about
+    ``grid_rows`` classes, up to ``most_codewords`` in each half. A cell holds about
+    ``cell_rows`` classes of the largest label, with up to ``most_groups`` groups in each half."""
 
     threshold: float = 0.93
     fit_rows: int = 10_000
-    queries: int = 1000
-    recall: float = 0.999
-    least_visits: int = 4
-    cell_rows: int = 256
+    grid_rows: int = 256
     most_codewords: int = 256
+    cell_rows: int = 2048
+    most_groups: int = 16
     iterations: int = 10
     seed: int = 3
 
 
+# Rounding of a distance to a cell; codewords nearer to each other than this tell nothing.
+SLACK = 1e-6
+
+
 @dataclass(frozen=True)
 class Index:
-    first: np.ndarray
-    second: np.ndarray
+    """A codebook for each half, and the group of each codeword."""
+
+    books: list[np.ndarray]
+    groups: list[np.ndarray]
 
-    def distances(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        half = self.first.shape[1]
-        return _squared(rows[:, :half], self.first), _squared(rows[:, half:], self.second)
+    def halves(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each half the group of each row and the squares of its least distances to all
+        groups."""
+        half = self.books[0].shape[1]
+        parts = zip((rows[:, :half], rows[:, half:]), self.books, self.groups)
+        return [_reach(part, book, groups) for part, book, groups in parts]
 
-    def cells(self, rows: np.ndarray) -> np.ndarray:
-        one, two = self.distances(rows)
-        return (one.argmin(1) * len(self.second) + two.argmin(1)).astype(np.int32)
+
+def _reach(rows: np.ndarray, book: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    squares = _squared(rows, book)
+    own = squares.argmin(1)
+    # What is nearest to a codeword lies beyond the plane half-way from the row's own one.
+    apart = np.sqrt(np.maximum(_squared(book, book), 0))[own]
+    beyond = (squares - squares[np.arange(len(rows)), own][:, None]) / (2 * np.maximum(apart, SLACK))
+    least = np.where(apart > SLACK, np.maximum(beyond - SLACK, 0), 0) ** 2
+    least[np.arange(len(rows)), own] = 0
+    return groups[own], np.stack([least[:, groups == g].min(1) for g in range(groups.max() + 1)], axis=1)
 
 
 def _squared(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return (rows**2).sum(1)[:, None] - 2 * rows @ centres.T + (centres**2).sum(1)
 
 
-def traversal(one: np.ndarray, two: np.ndarray, visits: int) -> list[int]:
-    """Cells in the order of one[i] + two[j], by the multi-sequence algorithm."""
+def traversal(one: np.ndarray, two: np.ndarray, visits: int, limit: float = math.inf) -> list[int]:
+    """Cells in the order of one[i] + two[j] up to ``limit``, by the multi-sequence algorithm."""
     a, b = np.argsort(one, kind="stable"), np.argsort(two, kind="stable")
     x, y = one[a].tolist(), two[b].tolist()
     heap, seen, out = [(x[0] + y[0], 0, 0)], {(0, 0)}, []
     while heap and len(out) < visits:
-        _, i, j = heapq.heappop(heap)
+        cost, i, j = heapq.heappop(heap)
+        if cost > limit:
+            break
         out.append(int(a[i]) * len(y) + int(b[j]))
         for p, q in ((i + 1, j), (i, j + 1)):
             if p < len(x) and q < len(y) and (p, q) not in seen:
@@ -121,9 +138,9 @@ def _in_one(sample: DataFrame):
     return sample.select("node", "vector", F.lit(0).alias("all")).groupBy("all")
 
 
-def build(classes: DataFrame, n: int, width: int, settings: Settings) -> Index:
-    """Codebooks from a bounded sample of ``classes``, which are ``n``."""
-    k = max(4, min(settings.most_codewords, 2 ** round(math.log2(math.sqrt(max(1.0, n / settings.cell_rows))))))
+def build(classes: DataFrame, n: int, largest: int, width: int, settings: Settings) -> Index:
+    """Codebooks from a bounded sample of ``classes``, which are ``n``, ``largest`` of one label."""
+    k = max(4, min(settings.most_codewords, 2 ** round(math.log2(math.sqrt(max(1.0, n / settings.grid_rows))))))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         rows = _unit(group.sort_values("node")["vector"].tolist(), width)
@@ -135,63 +152,30 @@ def build(classes: DataFrame, n: int, width: int, settings: Settings) -> Index:
     found = _in_one(sample).applyInPandas(fit, "half int, size int, book binary").collect()
     if not found:  # the draw came out empty
         found = _in_one(classes.limit(100)).applyInPandas(fit, "half int, size int, book binary").collect()
-    return Index(*[np.frombuffer(r.book).reshape(r.size, -1) for r in sorted(found, key=lambda r: r.half)])
-
-
-def visits_needed(classes: DataFrame, n: int, width: int, index: Index, settings: Settings) -> int:
-    """Twice the visits that reach the wanted share of the links of a bounded query set; the
-    second half is for links that the set does not show."""
-    queries = _draw(classes, settings.queries, n, "query").select("node", "label", "vector").collect()
-    if not queries:
-        return settings.least_visits
-    rows = _unit([q.vector for q in queries], width)
-    one, two = index.distances(rows)
-    costs = np.sort((one[:, :, None] + two[:, None, :]).reshape(len(rows), -1), axis=1)
-    labels = np.array([q.label for q in queries])
-    sizes = np.array([len(q.vector) for q in queries])
-    nodes = np.array([q.node for q in queries])
-
-    def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(costs.shape[1] + 1, np.int64)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("vector").to_pylist()
-            own = _unit(vectors, width)
-            a, b = (d.argmin(1) for d in index.distances(own))
-            hit = rows @ own.T >= settings.threshold
-            hit &= labels[:, None] == batch.column("label").to_numpy(zero_copy_only=False)[None, :]
-            hit &= sizes[:, None] == np.array([len(v) for v in vectors])[None, :]
-            hit &= nodes[:, None] != batch.column("node").to_numpy()[None, :]
-            for q, y in zip(*np.nonzero(hit)):
-                seen[np.searchsorted(costs[q], one[q, a[y]] + two[q, b[y]] - 1e-12) + 1] += 1
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["rank", "n"])
-
-    found = classes.select("node", "label", "vector").mapInArrow(ranks, "rank long, n long")
-    counts = dict(found.groupBy("rank").agg(F.sum("n").alias("n")).collect())
-    reached, total = 0, sum(counts.values())
-    for rank in sorted(counts):
-        reached += counts[rank]
-        if reached >= settings.recall * total:
-            return max(settings.least_visits, 2 * rank)
-    return settings.least_visits
-
-
-def _placed(classes: DataFrame, index: Index, visits: int, width: int) -> DataFrame:
-    """Classes with their own cell and the cells they visit."""
+    books = [np.frombuffer(r.book).reshape(r.size, -1) for r in sorted(found, key=lambda r: r.half)]
+    g = min(settings.most_groups, max(1, round(math.sqrt(largest / settings.cell_rows))))
+    # Groups are numbered without gaps.
+    near = [_squared(book, _kmeans(book, g, settings)).argmin(1) for book in books]
+    return Index(books, [np.unique(own, return_inverse=True)[1] for own in near])
+
+
+def _placed(classes: DataFrame, index: Index, width: int, threshold: float) -> DataFrame:
+    """Classes with their own cell and the cells they visit: of two cells, the later one."""
+    limit = 2 - 2 * threshold + SLACK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = _unit(batch.column("vector").to_pylist(), width)
-            one, two = index.distances(rows)
+            (a, one), (b, two) = index.halves(rows)
+            own = a * two.shape[1] + b
+            visits = [[c for c in traversal(x, y, x.size * y.size, limit) if c >= o] for x, y, o in zip(one, two, own)]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,
-                    pa.array(index.cells(rows)),
-                    pa.array([traversal(a, b, visits) for a, b in zip(one, two)], pa.list_(pa.int32())),
+                    pa.array(own.astype(np.int32)),
+                    pa.array(visits, pa.list_(pa.int32())),
                 ],
                 names=[*batch.schema.names, "cell", "visits"],
             )
@@ -212,10 +196,9 @@ def _linked(rows: pd.DataFrame, width: int, threshold: float) -> pd.DataFrame:
     if not hit.any():
         return empty
     counts_v = hit @ members["n"].to_numpy()
-    # A member that does not visit the visitor's cell would never see it.
-    cells = visitors["cell"].to_numpy()
-    returns = np.stack([np.isin(cells, seen) for seen in members["visits"]], axis=1)
-    counts_m = visitors["n"].to_numpy() @ (hit & ~returns)
+    # A member visits the visitor's cell only if it is its own.
+    away = (visitors["own"] != visitors["cell"]).to_numpy()
+    counts_m = (visitors["n"].to_numpy() * away) @ hit
     # Smallest node of each connected part of the block.
     big = np.iinfo(np.int64).max
     roots_v, roots_m = ids_v.copy(), ids_m.copy()
@@ -235,30 +218,32 @@ def _linked(rows: pd.DataFrame, width: int, threshold: float) -> pd.DataFrame:
     return out[np.concatenate([hit.any(1), hit.any(0)])]
 
 
-def _blocks(placed: DataFrame) -> DataFrame:
-    """Members and visitors of every cell, dealt over blocks of bounded size."""
+def _blocks(placed: DataFrame, salts: int) -> DataFrame:
+    """Members and visitors of every cell, dealt over blocks of bounded size; ``salts`` spread
+    the rows of a cell while they learn the number of its blocks."""
     place = ["label", "size", "cell"]
-    visits = placed.select("label", "size", F.explode("visits").alias("cell"), "node")
+    visits = placed.select("label", "size", F.explode("visits").alias("cell"))
     held = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("members"))
     sizes = visits.groupBy(*place).agg(F.count(F.lit(1)).alias("visitors")).join(held, place)
     sizes = sizes.select(
         *place,
         F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("down"),
         F.ceil(F.col("visitors") / BLOCK_VISITORS).cast("int").alias("across"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
     )
-    data = ["node", "n", "vector", "visits", F.col("cell").alias("own")]
+    salt = F.pmod(F.xxhash64(F.lit("salt"), "node"), F.lit(salts)).cast("int").alias("salt")
+    data = ["node", "n", "vector", F.col("cell").alias("own"), salt]
     spread = [F.xxhash64(F.lit(s), "node") for s in ("down", "across")]
-    members = placed.select(*place, *data).join(sizes, place).withColumn("member", F.lit(True))
+    members = placed.select(*place, *data).join(sizes, [*place, "salt"]).withColumn("member", F.lit(True))
     members = members.withColumn("i", F.pmod(spread[0], F.col("down"))).withColumn(
         "j", F.explode(F.sequence(F.lit(0), F.col("across") - 1))
     )
     visitors = placed.select("label", "size", F.explode("visits").alias("visited"), *data)
-    visitors = visitors.withColumnRenamed("visited", "cell").join(sizes, place).withColumn("member", F.lit(False))
-    visitors = visitors.withColumn("visits", F.lit(None).cast("array<int>"))
+    visitors = visitors.withColumnRenamed("visited", "cell").join(sizes, [*place, "salt"]).withColumn("member", F.lit(False))
     visitors = visitors.withColumn("j", F.pmod(spread[1], F.col("across"))).withColumn(
         "i", F.explode(F.sequence(F.lit(0), F.col("down") - 1))
     )
-    columns = [*place, "i", "j", "member", "node", "n", "vector", "visits", "own"]
+    columns = [*place, "i", "j", "member", "node", "n", "vector", "own"]
     both = members.select(*[F.col(c).cast("long") if c in "ij" else F.col(c) for c in columns])
     return both.unionByName(visitors.select(*[F.col(c).cast("long") if c in "ij" else F.col(c) for c in columns]))
 
@@ -281,16 +266,16 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
         return rows.select(
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
-    index = build(classes, whole.n, whole.width, settings)
-    visits = visits_needed(classes, whole.n, whole.width, index, settings)
-    placed = _placed(classes.drop("rep"), index, visits, whole.width).transform(durable)
     width, threshold = whole.width, settings.threshold
+    largest = classes.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    index = build(classes, whole.n, largest, width, settings)
+    placed = _placed(classes.drop("rep"), index, width, threshold).transform(durable)
 
     def verify(block: pd.DataFrame) -> pd.DataFrame:
-        return _linked(block.assign(cell=block["own"]), width, threshold)
+        return _linked(block, width, threshold)
 
     found = (
-        _blocks(placed)
+        _blocks(placed, max(1, min(64, largest // 64)))
         .groupBy("label", "size", "cell", "i", "j")
         .applyInPandas(verify, "node long, n_links long, root long")
         .transform(durable)

@@ -1,5 +1,6 @@
 """MinHash and multi-index links against brute force over all pairs."""
 
+import math
 import random
 import re
 
@@ -172,6 +173,38 @@ def test_recall_on_given_vectors(spark):
     assert df.count() and multi_index.near_duplicates(df).agg(F.sum("n_links")).first()[0] >= 0.99 * want
 
 
+def pairs_beside_a_group(pairs, group, dim=64):
+    """Far-apart pairs with a cosine a little above the threshold, and a tight group of near copies."""
+    rng = np.random.default_rng(8)
+    one = rng.normal(size=(pairs, dim))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    off = rng.normal(size=(pairs, dim))
+    off -= (off * one).sum(1, keepdims=True) * one
+    two = 0.935 * one + math.sqrt(1 - 0.935**2) * off / np.linalg.norm(off, axis=1, keepdims=True)
+    return np.concatenate([one, two, rng.normal(size=dim) + rng.normal(size=(group, dim)) * 0.01])
+
+
+def test_no_link_is_lost_beside_a_group_of_near_copies(spark):
+    pairs, group = 2500, 300
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(pairs_beside_a_group(pairs, group))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    settings = multi_index.Settings(cell_rows=256)  # cells enough that bounds decide
+    got = {r.vec_id: r for r in multi_index.near_duplicates(df, settings).collect()}
+    assert all((got[i].n_links, got[i].component_id) == (1, i % pairs) for i in range(2 * pairs))
+    assert all(got[i].n_links == group - 1 for i in range(2 * pairs, len(rows)))
+
+
+def test_bounds_hold_for_every_pair():
+    rng = np.random.default_rng(2)
+    rows = multi_index._unit(list(rng.normal(size=(300, 8))), 8)
+    books = [rows[:9, :4], rows[:9, 4:]]
+    index = multi_index.Index(books, [np.arange(9) // 3] * 2)
+    (a, one), (b, two) = index.halves(rows)
+    apart = 2 - 2 * rows @ rows.T
+    bound = one[:, a] + two[:, b]
+    assert (bound <= apart + 1e-6).all() and (bound > 0.3).any()
+
+
 def test_no_usable_vector(spark):
     df = spark.createDataFrame([(1, None, 0), (2, [0.0], 1)], "vec_id long, embedding array<float>, label int")
     assert [tuple(r) for r in multi_index.near_duplicates(df).orderBy("vec_id").collect()] == [(1, 0, 1, True), (2, 0, 2, True)]
