@@ -395,7 +395,16 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 
 def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The kept documents with all their columns; rows that repeat a kept id stay with it."""
-    found = near_duplicates(docs, settings)
-    dropped = found.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["doc_id"]), "left_anti")
+    """One row of each component with all its columns: the smallest document id, NULL last.
+
+    A row is known by its id and text together, so that missing and repeated ids take no other
+    row along; of rows equal in both, one stays. Rows without words all stay.
+    """
+    told = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    own = [F.xxhash64(*told).alias("k1"), F.xxhash64(F.lit("second"), *told).alias("k2")]
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), *own)
+    found = near_duplicates(docs.select(key.alias("doc_id"), "text"), settings)
+    kept = found.filter("kept").select("doc_id.k1", "doc_id.k2", (F.col("n_shingles") == 0).alias("empty")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), *own).join(kept, ["k1", "k2"])
+    rows = rows.withColumn("each", F.when(F.col("empty"), F.monotonically_increasing_id()))
+    return rows.dropDuplicates(["k1", "k2", "each"]).select("whole.*")

@@ -104,6 +104,22 @@ def test_missing_and_repeated_ids(spark):
     ]
 
 
+def test_one_of_each_with_missing_and_repeated_ids(spark):
+    rows = [
+        (None, "a b c d"), (5, "a b c d"), (5, "p q r s t"), (7, "p q r s t"), (None, "alone here now"),
+        (3, "u v w x y"), (3, "u v w x y"), (None, "k l m n o"), (None, "K l m n o"), (9, "once"), (9, "a b c d"),
+        (None, None), (None, None), (4, ""), (4, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("k1", F.lit("clash"))
+    kept = minhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text and r.text.lower()) for r in kept.collect()]
+    assert sorted(found, key=str) == sorted([
+        (5, "a b c d"), (5, "p q r s t"), (None, "alone here now"), (3, "u v w x y"), (None, "k l m n o"), (9, "once"),
+        (None, None), (None, None), (4, ""), (4, ""),
+    ], key=str)
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     pick = random.Random(seed)
