@@ -3,7 +3,8 @@
 Rows of one group (equal texts) stay together unless the group is larger than a shard; then
 it is cut into pieces. Packing runs in levels: cells of a bounded number of groups are
 packed into parcels a small fraction of a shard in size, each cell in its own task, and the
-bounded number of parcels is packed into shards in one small task. In both, sizes in
+parcels are packed into shards: in one small task, or where they are too many for that, in
+divisions that share the shards by their bytes, each in its own task. In both, sizes in
 descending order enter the bin with the tightest remaining capacity, found in a balanced
 tree of capacities. Where the number of shards is given, the smallest capacity that needs no
 more of them is searched for; where the capacity is given, the number of shards is kept low.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.rows import durable
 
-# Groups packed in one task, and parcels packed in the last one.
+# Groups packed in one task, and parcels (about) packed in one of the last.
 CELL_ITEMS = 20_000
 LAST_ITEMS = 40_000
 # Parcels that make up a shard.
@@ -166,9 +167,9 @@ def _offsets(items: pd.DataFrame) -> pd.Series:
     return items.groupby("bin")["n"].cumsum() - items["n"]
 
 
-def _level(items: DataFrame, capacity: int, level: int) -> DataFrame:
-    """(item, parcel, offset, n, bytes): items packed into parcels cell by cell."""
-    cells = max(1, math.ceil(items.count() / CELL_ITEMS))
+def _level(items: DataFrame, count: int, capacity: int, level: int) -> DataFrame:
+    """(item, parcel, offset, n, bytes): ``count`` items packed into parcels cell by cell."""
+    cells = max(1, math.ceil(count / CELL_ITEMS))
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = _descending(rows)
@@ -181,32 +182,66 @@ def _level(items: DataFrame, capacity: int, level: int) -> DataFrame:
     return placed.groupBy("cell").applyInPandas(pack, "item string, parcel string, offset long, n long, bytes long")
 
 
-def _parcels(items: DataFrame, capacity: int, level: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(item, parcel, offset) of all items, and the parcels as items of the last level."""
-    placed = _level(items, capacity, level).transform(durable)
+def _parcels(items: DataFrame, count: int, capacity: int, level: int = 1) -> tuple[DataFrame, DataFrame, int]:
+    """(item, parcel, offset) of all items, the parcels as items of the last level, and their number."""
+    placed = _level(items, count, capacity, level).transform(durable)
     parcels = placed.groupBy(F.col("parcel").alias("item")).agg(
         F.sum("n").cast("long").alias("n"), F.sum("bytes").cast("long").alias("bytes")
     ).transform(durable)
-    if parcels.count() <= LAST_ITEMS:
-        return placed.select("item", "parcel", "offset"), parcels
+    fewer = parcels.count()
+    # Full parcels do not become fewer by packing them again.
+    if fewer <= LAST_ITEMS or (level > 1 and 20 * fewer > 19 * count):
+        return placed.select("item", "parcel", "offset"), parcels, fewer
     # Cells leave a part-filled parcel each; these are packed again.
-    upper, parcels = _parcels(parcels, capacity, level + 1)
+    upper, parcels, fewest = _parcels(parcels, fewer, capacity, level + 1)
     upper = upper.select(F.col("item").alias("lower"), F.col("parcel").alias("upper"), F.col("offset").alias("shift"))
     joined = placed.join(upper, placed["parcel"] == upper["lower"])
-    return joined.select("item", F.col("upper").alias("parcel"), (F.col("offset") + F.col("shift")).alias("offset")), parcels
+    return joined.select("item", F.col("upper").alias("parcel"), (F.col("offset") + F.col("shift")).alias("offset")), parcels, fewest
 
 
-def _last(parcels: DataFrame, n_shards: int | None, capacity: int) -> DataFrame:
-    """(parcel, shard, base); the number of parcels is bounded."""
+def _shared(sizes: list[int], n_shards: int) -> list[int]:
+    """Shards of each division: one, and of the others a share by its bytes."""
+    rest, whole, upto, given, out = n_shards - len(sizes), sum(sizes), 0, 0, []
+    for size in sizes:
+        upto += size
+        out.append(1 + (2 * rest * upto + whole) // (2 * whole) - given)
+        given += out[-1] - 1
+    return out
+
+
+def _last(parcels: DataFrame, count: int, n_shards: int | None, capacity: int) -> DataFrame:
+    """(parcel, shard, base) of ``count`` parcels, packed in divisions of a bounded number."""
+    divisions = min(max(1, math.ceil(count / LAST_ITEMS)), n_shards or max(1, count))
+    dealt = parcels.withColumn("division", F.pmod(F.xxhash64("item"), F.lit(divisions)))
+    # A number for each division, of which there is one for ``LAST_ITEMS`` parcels.
+    sizes: dict[int, int] = {}
+    if n_shards and divisions > 1:
+        sizes = dict(sorted(dealt.groupBy("division").agg(F.sum("bytes")).collect()))
+    parts = dict(zip(sizes, _shared(list(sizes.values()), n_shards))) if sizes else {0: n_shards}
 
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
         rows = _descending(rows)
-        sizes = rows["bytes"].tolist()
-        rows["bin"] = fewest_capacity(sizes, n_shards) if n_shards else best_fit_decreasing(sizes, capacity)[0]
+        bytes_, bins = rows["bytes"].tolist(), parts.get(int(rows["division"].iloc[0]))
+        rows["bin"] = fewest_capacity(bytes_, bins) if n_shards else best_fit_decreasing(bytes_, capacity)[0]
         rows["base"] = _offsets(rows)
-        return rows.rename(columns={"item": "parcel", "bin": "shard"})[["parcel", "shard", "base"]]
-
-    return parcels.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(pack, "parcel string, shard int, base long")
+        return rows.rename(columns={"item": "parcel", "bin": "shard"})[["parcel", "division", "shard", "base"]]
+
+    packed = dealt.groupBy("division").applyInPandas(pack, "parcel string, division long, shard int, base long")
+    if divisions == 1:
+        return packed.drop("division")
+    packed = packed.transform(durable)
+    used = parts
+    if not n_shards:
+        used = dict(packed.groupBy("division").agg(F.max("shard") + 1).collect())
+    firsts, first = [], 0
+    for division, n in sorted(used.items()):
+        firsts.append((division, first))
+        first += n
+    starts = parcels.sparkSession.createDataFrame(firsts, "division long, first int")
+    # Divisions are few.
+    return packed.join(F.broadcast(starts), "division").select(
+        "parcel", (F.col("shard") + F.col("first")).alias("shard"), "base"
+    )
 
 
 def shards(docs: DataFrame, *, n_shards: int | None = None, capacity: int | None = None) -> DataFrame:
@@ -244,10 +279,9 @@ def shards(docs: DataFrame, *, n_shards: int | None = None, capacity: int | None
         .transform(durable)
     )
     items = units.groupBy("item").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
-    placed, parcels = _parcels(items, parcel_bytes)
-    last = _last(parcels, n_shards, shard_bytes)
-    # Parcels are at most LAST_ITEMS, counted above.
-    bases = placed.join(F.broadcast(last), "parcel").select("item", "shard", (F.col("base") + F.col("offset")).alias("start"))
+    placed, parcels, count = _parcels(items, items.count(), parcel_bytes)
+    last = _last(parcels, count, n_shards, shard_bytes)
+    bases = placed.join(F.broadcast(last) if count <= LAST_ITEMS else last, "parcel").select("item", "shard", (F.col("base") + F.col("offset")).alias("start"))
     starts = units.join(bases, "item").select(
         "h1", "h2", "salt", "shard", (F.col("start") + F.col("before")).alias("start")
     )

@@ -156,6 +156,26 @@ def test_levels_of_packing_and_a_group_above_a_shard(spark, monkeypatch):
     assert max(sizes.values()) <= 1.2 * min(sizes.values())
 
 
+@pytest.mark.parametrize("given_number", [True, False])
+def test_more_shards_than_one_task_packs(spark, monkeypatch, given_number):
+    monkeypatch.setattr(sharding, "CELL_ITEMS", 400)
+    monkeypatch.setattr(sharding, "LAST_ITEMS", 600)
+    monkeypatch.setattr(sharding, "PARCELS", 10)
+    texts = [f"{'x' * (20 + i % 37)} {i}" for i in range(6000)]
+    whole = sum(len(t) + 8 for t in texts)
+    capacity = -(-whole // 210)
+    rows = sharding.shards(documents(spark, texts), **({"n_shards": 210} if given_number else {"capacity": capacity})).collect()
+    check_shards(rows, dict(enumerate(texts)))
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r.size
+    assert sorted(sizes) == list(range(len(sizes)))
+    if given_number:
+        assert len(sizes) == 210 and max(sizes.values()) <= 1.5 * min(sizes.values())
+    else:
+        assert len(sizes) <= 1.15 * 210 and max(sizes.values()) <= capacity
+
+
 def test_fixed_capacity_and_edge_cases(spark):
     docs = documents(spark, ["a" * 92] * 2 + ["b" * 42] * 4 + ["c" * 300])
     rows = sharding.shards(docs, capacity=200).collect()
