@@ -7,15 +7,16 @@ of a capture are its host, every parent domain of the host (``domain:``), and ev
 prefix that ends at a slash (``path:``), so each is matched by equality and no pattern runs
 against every entry.
 
-The join is an equality of keys with a range condition. A capture has a bounded number of
-keys; those that no entry mentions find no partner, and a host with very many captures is
+The join is an equality of keys with a range condition. The length of a URL bounds the
+number of its keys; those that no entry mentions find no partner, and a host with very many captures is
 only ever on the side of the join that Spark splits.
 
 Defined results: a URL that is NULL or has no host matches nothing and is allowed; a capture
 without a fetch time is evaluated against no interval; an entry with a NULL key, action or
 day is ignored; of several entries for one key on one day, a release goes before a listing,
 so that the listing holds; repeated captures are evaluated alike, each on its own row;
-an empty list allows everything. An entry deeper than ``LABELS`` or ``FOLDERS`` is refused.
+an empty list allows everything. Domains may have any number of labels; a path deeper than
+``FOLDERS`` is refused.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Labels and folders an entry may have. Deeper entries are refused, so that looking up the
-# keys of a URL up to these depths finds every entry.
-LABELS = 20
+# Folders an entry may have. Deeper entries are refused, so that looking up the paths of a URL
+# up to this depth finds every entry.
 FOLDERS = 20
 
 BLOCK, RELEASE = "block", "release"
@@ -47,7 +47,7 @@ def keys_of(host: Column, path: Column) -> Column:
     labels = F.split(host, r"\.")
     n = F.size(labels)
     domains = F.transform(
-        F.sequence(F.lit(1), F.least(n, F.lit(LABELS))),
+        F.sequence(F.lit(1), n),
         lambda k: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, n - k + 1, k), ".")),
     )
     folders = F.split(path, "/")
@@ -62,10 +62,8 @@ def keys_of(host: Column, path: Column) -> Column:
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, action, valid_from, valid_to) of entries (key, action, day); open ends are NULL."""
     known = entries.filter("key IS NOT NULL AND action IS NOT NULL AND day IS NOT NULL")
-    labels = F.size(F.split(F.regexp_replace("key", "/.*$", ""), r"\."))
     folders = F.length("key") - F.length(F.replace(F.col("key"), F.lit("/")))
-    deep = (F.startswith(F.col("key"), F.lit("domain:")) & (labels > LABELS)) | (folders > FOLDERS)
-    key = F.when(deep, F.raise_error(F.concat(F.lit("too deep an entry: "), "key"))).otherwise(F.col("key"))
+    key = F.when(folders > FOLDERS, F.raise_error(F.concat(F.lit("too deep an entry: "), "key"))).otherwise(F.col("key"))
     known = known.select(key.alias("key"), "action", F.col("day").cast("date").alias("valid_from"))
     # "block" sorts before "release".
     known = known.groupBy("key", "valid_from").agg(F.min("action").alias("action"))

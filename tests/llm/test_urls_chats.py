@@ -82,6 +82,14 @@ def test_too_deep_an_entry_is_refused(spark):
         urls.evaluate(c, e).collect()
 
 
+def test_hosts_of_many_labels(spark):
+    deep = "www." * 40 + "a.com"
+    c = spark.createDataFrame([(1, f"http://{deep}/", DAY), (2, "http://a.com/", DAY)], "page_id long, url string, fetched_on date")
+    e = spark.createDataFrame([(f"domain:{deep[4:]}", "block", DAY), ("domain:a.com", "block", DAY)], "key string, action string, day date")
+    got = {r.page_id: (r.n_entries, r.rule) for r in urls.evaluate(c, e).collect()}
+    assert got == {1: (2, f"domain:{deep[4:]}"), 2: (1, "domain:a.com")}
+
+
 def model(seed):
     rng = np.random.default_rng(seed)
 
