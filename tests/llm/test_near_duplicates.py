@@ -201,10 +201,10 @@ def pairs_beside_a_group(pairs, group, dim=64):
 
 
 def test_no_link_is_lost_beside_a_group_of_near_copies(spark):
-    pairs, group = 2500, 300
+    pairs, group = 500, 1500
     rows = [(i, v.tolist(), 0) for i, v in enumerate(pairs_beside_a_group(pairs, group))]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    settings = multi_index.Settings(cell_rows=256)  # cells enough that bounds decide
+    settings = multi_index.Settings(cell_rows=16)  # many cells
     got = {r.vec_id: r for r in multi_index.near_duplicates(df, settings).collect()}
     assert all((got[i].n_links, got[i].component_id) == (1, i % pairs) for i in range(2 * pairs))
     assert all(got[i].n_links == group - 1 for i in range(2 * pairs, len(rows)))
