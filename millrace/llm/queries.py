@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.llm import (
     byte_bpe,
     chat_format,
+    hard_negatives,
     language_id,
     minhash,
     mixing,
@@ -18,6 +19,7 @@ from millrace.llm import (
     quality_rules,
     sharding,
     token_counts,
+    turn_repair,
     url_filters,
 )
 
@@ -160,6 +162,30 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults that follow from conv_id and turn; ``copies`` says how often each is there."""
+    spelled = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat_ws(":", *spelled).cast("binary")) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair(damaged(table(spark, sf_dir, "conversations")), "copies")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_byte_bpe": op2_byte_bpe,
@@ -171,9 +197,12 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_multi_index": op10_multi_index,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": oracles.mixing(MIX, DOMAINS, OTHER_DOMAIN),
     "op4_url_filters": oracles.URL_FILTERS,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
 }
