@@ -54,6 +54,20 @@ SELECT c.page_id, c.host, c.fetched_on,
 FROM captures c LEFT JOIN best b ON b.page_id = c.page_id
 """
 
+WARC = """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+),
+kept AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS stored
+    FROM sized
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN stored IS NULL OR page_id IS NOT DISTINCT FROM stored THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM stored THEN stored END AS refers_to
+FROM kept
+"""
+
 HARD_NEGATIVES = """
 WITH usable AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,

@@ -21,7 +21,9 @@ from millrace.llm import (
     token_counts,
     turn_repair,
     url_filters,
+    warc,
 )
+from millrace.storage import new_dir
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -162,6 +164,33 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.share_payloads(table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id", "html")
+    name = lambda c: F.concat(F.lit("urn:page:"), F.col(c).cast("string"))
+    records = pages.select(
+        F.coalesce(name("page_id"), F.lit("urn:page:none")).alias("record_id"),
+        "record_type",
+        F.col("url").alias("target_uri"),
+        F.lit("2024-01-01T00:00:00Z").alias("date"),
+        name("response_id").alias("refers_to"),
+        "payload_digest",
+        "payload_bytes",
+        F.when(F.col("record_type") == warc.RESPONSE, F.col("html").cast("binary")).alias("payload"),
+    )
+    path = new_dir(spark, "warc")
+    warc.write_records(records, path)
+    number = lambda c: F.expr(f"try_cast(substring_index({c}, ':', -1) AS BIGINT)")
+    found = warc.read_records(spark, path, "verify").filter(F.col("record_type").isin(warc.RESPONSE, warc.REVISIT))
+    sound = F.when(F.col("error").isNull(), F.col("record_type")).otherwise(F.raise_error(F.col("error")))
+    return found.select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        sound.alias("record_type"),
+        number("refers_to").alias("refers_to"),
+    )
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -197,6 +226,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sharding": op9_sharding,
     "op10_multi_index": op10_multi_index,
+    "op11_warc": op11_warc,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_turn_repair": op13_turn_repair,
 }
@@ -204,5 +234,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_mixing": oracles.mixing(MIX, DOMAINS, OTHER_DOMAIN),
     "op4_url_filters": oracles.URL_FILTERS,
+    "op11_warc": oracles.WARC,
     "op12_hard_negatives": oracles.HARD_NEGATIVES,
 }

@@ -1,0 +1,221 @@
+"""WARC archives: round trips, what is skipped, damage, archives of other origin."""
+
+import glob
+import gzip
+import hashlib
+import io
+import json
+import os
+
+import pyarrow as pa
+import pytest
+from llm_helpers import given
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, In, IsNotNull, IsNull, Not, StringStartsWith
+
+from millrace.llm import warc
+
+PAGES = "page_id long, url string, html string"
+LONG = "<p>" + "x" * 2000 + "</p>"
+
+
+def written(spark, rows, path, **options):
+    df = spark.createDataFrame(rows, "record_id string, record_type string, target_uri string, refers_to string, payload string")
+    warc.write_records(df, path, **options)
+
+
+def records(file, filters=(), mode="bytes"):
+    return list(warc.records_of(pa.BufferReader(file) if isinstance(file, bytes) else file, "f", list(filters), mode))
+
+
+def plain(record_id, block, kind="resource", more=()):
+    return warc.record_bytes([("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), *more], block)
+
+
+def test_round_trip(spark, tmp_path):
+    path = str(tmp_path / "w")
+    payloads = ["", None, "plain", "é\r\n\r\nWARC/1.1\r\n", "\x1f\x8b\x08" * 9, "z" * 3_000_000]
+    rows = [(f"urn:x:{i}", None, f"http://h/{i}?a=%20\r\nX: y", None, t) for i, t in enumerate(payloads)]
+    rows += [("urn:x:r", "revisit", None, "urn:x:2", None), (None, None, "u" * 2_000_000, None, "no id")]
+    written(spark, rows, path, fileBytes=1000)
+    got = {r.record_id: r for r in warc.read_records(spark, path, "bytes").filter("record_type <> 'warcinfo'").collect()}
+    assert len(got) == len(rows) and not any(r.error for r in got.values())
+    for i, t in enumerate(payloads):
+        r = got[f"urn:x:{i}"]
+        assert r.payload == (t or "").encode() and r.payload_bytes == len(r.payload)
+        assert r.payload_digest == hashlib.sha1(r.payload).hexdigest()
+        assert r.target_uri == f"http://h/{i}?a=%20\r\nX: y" and r.record_type == "response"
+    assert got["urn:x:r"].refers_to == "urn:x:2" and got["urn:x:r"].payload is None
+    assert "u" * 2_000_000 in {r.target_uri for r in got.values()}
+    names = [os.path.basename(f) for f in glob.glob(f"{path}/part-*")]
+    assert len(names) > 2  # rolled over
+
+
+def test_each_member_is_a_gzip_member(spark, tmp_path):
+    path = str(tmp_path / "w")
+    written(spark, [("urn:1", None, "http://a/", None, "hello")], path)
+    raw = b"".join(gzip.open(f).read() for f in glob.glob(f"{path}/*.gz"))
+    assert raw.count(b"WARC/1.1\r\n") == 1 + len(glob.glob(f"{path}/*.gz"))
+    assert b"WARC-Payload-Digest: sha1:" in raw and raw.endswith(b"hello\r\n\r\n")
+
+
+class Counting(io.BytesIO):
+    """A file that counts the bytes read of it."""
+
+    def __init__(self, data):
+        super().__init__(data)
+        self.count = 0
+
+    def read(self, n=-1):
+        data = super().read(n)
+        self.count += len(data)
+        return data
+
+    def size(self):
+        return len(self.getbuffer())
+
+
+def test_unwanted_payloads_are_not_read(monkeypatch):
+    noise = os.urandom(3_000_000)
+    data = b"".join(warc.member(plain(f"urn:{i}", noise, "resource" if i else "response"), 1) for i in range(6))
+    unwanted = [EqualTo(("record_type",), "response")]
+    whole, some = Counting(data), Counting(data)
+    assert len(records(whole)) == 6 and len(records(some, unwanted)) == 1
+    assert whole.count > 6 * len(noise) and some.count < 2.5 * len(noise)
+    inflated = []
+    more = warc._Inflated.more
+    monkeypatch.setattr(warc._Inflated, "more", lambda self: inflated.append(1) or more(self))
+    records(Counting(data), [EqualTo(("record_type",), "none")])
+    assert len(inflated) < 20
+    bare = b"".join(plain(f"urn:{i}", noise) for i in range(4))
+    skipped = Counting(bare)
+    assert records(skipped, unwanted) == [] and skipped.count <= 5 * (1 << 20)
+
+
+def test_filters_reach_the_source(spark, tmp_path, capfd):
+    path = str(tmp_path / "w")
+    written(spark, [(f"urn:{i}", ["response", "revisit"][i % 2], f"http://{'ab'[i % 2]}.org/{i}", None, "t" * i) for i in range(40)], path)
+    df = warc.read_records(spark, path)
+    for kept in ("record_type = 'revisit'", "target_uri LIKE 'http://a%'", "record_id IN ('urn:3', 'urn:4')", "refers_to IS NULL AND NOT record_type = 'warcinfo'", "content_length > 90", "target_uri IS NOT NULL AND record_id >= 'urn:5'"):
+        want = [r.record_id for r in df.collect() if r.record_id in {x.record_id for x in df.withColumn("z", F.rand() >= 0).filter("z").filter(kept).collect()}]
+        assert sorted(r.record_id for r in df.filter(kept).collect()) == sorted(want)
+    df.filter("record_type = 'revisit' AND payload_bytes > 3").explain("formatted")
+    shown = capfd.readouterr().out
+    assert "PushedFilters" in shown and "EqualTo(record_type,revisit)" in shown
+    # Spark tests only what the source has not.
+    after = [line for line in shown.splitlines() if line.startswith("Condition")]
+    assert after and all("record_type" not in line for line in after)
+
+
+def test_three_valued_filters():
+    row = dict.fromkeys(warc.RECORDS.names) | {"record_type": "response", "content_length": 5}
+    a, n = ("record_type",), ("content_length",)
+    assert warc.holds(EqualTo(a, "response"), row) and not warc.holds(Not(EqualTo(a, "response")), row)
+    assert warc.holds(EqualTo(("target_uri",), "x"), row) is None and warc.holds(Not(EqualTo(("target_uri",), "x")), row) is None
+    assert warc.holds(In(a, ("x", None)), row) is None and warc.holds(In(a, ("response", None)), row)
+    assert warc.holds(GreaterThan(n, 4), row) and warc.holds(IsNull(("date",)), row) and not warc.holds(IsNotNull(("date",)), row)
+    assert warc.holds(StringStartsWith(a, "res"), row)
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_damage_costs_one_record(packed):
+    parts = [plain(f"urn:{i}", f"block {i} ".encode() * 300) for i in range(6)]
+    parts = [warc.member(p, 6) for p in parts] if packed else parts
+    broken = bytearray(parts[2])
+    if packed:
+        broken[60:90] = b"\x55" * 30
+    else:
+        broken = broken.replace(b"Content-Length: 2400", b"Content-Length: 24xx")
+    got = records(b"".join([*parts[:2], bytes(broken), *parts[3:]]))
+    assert [r["record_id"] for r in got if not r["error"]] == ["urn:0", "urn:1", "urn:3", "urn:4", "urn:5"]
+    bad = [r for r in got if r["error"]]
+    assert len(bad) == 1 and bad[0]["offset"] == len(parts[0]) + len(parts[1]) and bad[0]["record_type"] is None
+    cut = records(b"".join(parts)[: -len(parts[5]) // 2])
+    assert [r["record_id"] for r in cut][:5] == [f"urn:{i}" for i in range(5)] and cut[-1]["error"] and len(cut) == 6
+
+
+def test_two_damaged_places_give_two_rows():
+    parts = [plain(f"urn:{i}", b"b" * 50) for i in range(7)]
+    for i in (1, 4):
+        parts[i] = parts[i].replace(b"WARC/1.1", b"WORC/1.1", 1)
+    got = records(b"".join(parts), [Not(EqualTo(("record_id",), "urn:2"))])
+    assert [r["record_id"] for r in got] == ["urn:0", "urn:3", "urn:5", "urn:6"]  # rows of damage have no id
+    assert sum(bool(r["error"]) for r in records(b"".join(parts))) == 2
+
+
+def test_a_wrong_digest_is_told():
+    bad = plain("urn:1", b"abc", more=[("WARC-Payload-Digest", warc.digest_header(hashlib.sha1(b"abd").hexdigest()))])
+    row = records(bad, mode="verify")[0]
+    assert row["error"] and row["payload_digest"] == hashlib.sha1(b"abc").hexdigest() and row["payload"] is None
+    assert records(bad, mode="none")[0]["error"] is None
+
+
+def test_archives_of_other_origin():
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<html>"
+    folded = b"WARC/1.0\r\nwarc-type: response\r\nWARC-Record-ID: <urn:1>\r\nX: a\r\n b\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: %d\r\n\r\n" % len(http) + http + b"\r\n\r\n"
+    other = plain("urn:2", b"text", "conversion")
+    for data in (folded + other, gzip.compress(folded + other), gzip.compress(folded) + gzip.compress(other)):
+        one, two = records(data)
+        assert (one["record_id"], one["payload"], one["payload_bytes"]) == ("urn:1", b"<html>", 6)
+        assert (two["record_type"], two["payload"]) == ("conversion", b"text")
+    assert records(b"") == [] and records(gzip.compress(b"")) == []
+    assert records(b"junk")[0]["error"]
+
+
+def test_only_listed_files_count(spark, tmp_path):
+    path = str(tmp_path / "w")
+    written(spark, [("urn:1", None, None, None, "a")], path)
+    for name in glob.glob(f"{path}/part-*.gz"):
+        lost = f"{path}/part-{'0' * 32}-{os.path.basename(name)[38:]}"
+        with open(name, "rb") as source, open(lost, "wb") as out:
+            out.write(source.read())
+    with open(f"{path}/foreign.warc", "wb") as out:
+        out.write(plain("urn:2", b"b"))
+    written(spark, [("urn:3", None, None, None, "c")], path)
+    got = warc.read_records(spark, path).filter("record_type <> 'warcinfo'").collect()
+    assert sorted(r.record_id for r in got) == ["urn:1", "urn:2", "urn:3"]
+    assert all(len(json.load(open(f))) >= 1 for f in glob.glob(f"{path}/_files-*"))
+    assert warc.read_records(spark, f"{path}/foreign.warc").count() == 1
+
+
+def test_partitions_hold_about_equal_bytes(spark, tmp_path):
+    os.makedirs(tmp_path / "w")
+    for i in range(9):
+        (tmp_path / "w" / f"{i}.warc").write_bytes(plain(f"urn:{i}", b"x" * 1000))
+    df = warc.read_records(spark, str(tmp_path / "w"), partitionBytes=2500)
+    assert df.rdd.getNumPartitions() == 5 and df.count() == 9
+    os.makedirs(tmp_path / "none")
+    assert warc.read_records(spark, str(tmp_path / "none")).count() == 0
+
+
+def shared(rows):
+    """Type and referred page of (page_id, html), in plain Python."""
+    out = []
+    for i, t in rows:
+        data = (t or "").encode()
+        ids = [j for j, u in rows if (u or "").encode() == data and j is not None]
+        again = len(data) >= 1000 and ids and i != max(ids)
+        out.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", max(ids) if again else None))
+    return sorted(out, key=str)
+
+
+def test_shared_payloads(spark):
+    other = LONG + "é"
+    rows = [(1, LONG), (5, LONG), (3, LONG), (None, LONG), (5, LONG), (2, other), (None, other), (7, "short"), (8, "short"), (9, None), (10, ""),
+            (11, "x" * 999), (12, "x" * 999), (13, "x" * 1000), (14, "x" * 1000), (None, "y" * 1500), (None, "y" * 1500)]
+    df = spark.createDataFrame(rows, "page_id long, html string").withColumns({"payload": F.lit(1), "of_rows": F.lit(2)})
+    out = warc.share_payloads(df, "page_id", "html")
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.response_id) for r in out.collect()]
+    assert sorted(got, key=str) == shared(rows)
+
+
+def test_the_query_on_odd_pages(spark, tmp_path):
+    from millrace.llm.queries import op11_warc
+
+    rows = [(1, "http://a/", LONG), (2, None, LONG), (3, "http://a/\n%41", "x"), (None, "", None), (None, "u", LONG), (4, "http://b/", "é" * 700)]
+    spark.createDataFrame(rows, PAGES).write.parquet(str(tmp_path / "pages.parquet"))
+    got = [tuple(r) for r in op11_warc(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == shared([(i, t) for i, _, t in rows])
+    spark.createDataFrame([], PAGES).write.parquet(str(tmp_path / "e" / "pages.parquet"))
+    assert op11_warc(spark, str(tmp_path / "e")).count() == 0
+    assert op11_warc(spark, "/root/testdata/sf0.001").count() == given(spark, "pages").count()
