@@ -106,24 +106,49 @@ def parse_json(
     With ``corrupt``, text that is not exactly one JSON object is kept in
     ``_corrupt_record``: names in single quotes, text after the object and a second object
     count as corrupt. An object with a single ill-typed value is not: that value is NULL, the
-    rest is kept. Whether text is an object is told without parsing its fields, so that a
-    filter on it does not parse them a second time. What the fields of a corrupt row hold is
-    not defined.
+    rest is kept. The fields of a corrupt row are NULL.
+
+    A text is parsed into its fields once, as the one element of a list inside an object, which
+    refuses text after it; only one that could close the list itself, having a bracket behind a
+    brace, must also be the value of a field. The result passes a generator, so a filter on
+    any column stays above the parser and does not parse again. With ``rescue`` the names and the
+    nested objects are read once more, to find what the schema lacks.
     """
     text = F.col(_RAW)
-    others = [F.col(c) for c in df.columns if c != column]
+    others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    raw = df.withColumnRenamed(column, _RAW)
     if rescue:
-        options = _STRICT | {"columnNameOfCorruptRecord": CORRUPT}
-        parsed = F.from_json(text, with_corrupt(schema), options)
-    else:  # as the one element of an array, which refuses text after the object
-        element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), _STRICT)
-        parsed = F.get(element, F.lit(0))
+        kinds = with_corrupt(schema)
+        parsed = F.from_json(text, kinds, _STRICT | {"columnNameOfCorruptRecord": CORRUPT})
+        found = raw.withColumn(_PARSED, parsed)
+        not_object = ~is_json_object(text)
+    else:
+        whole = F.from_json(F.concat(F.lit('{"v":['), text, F.lit("]}")), T.StructType().add("v", T.ArrayType(schema)), _STRICT)
+        results = F.struct(whole.alias("whole"), _stands_alone(text).alias("alone"))
+        found = raw.select("*", F.explode(F.array(results)).alias("_results"))
+        listed = F.col("_results.whole.v")
+        one = _in_braces(text) & (F.size(listed) == 1) & F.col("_results.alone")
+        found = found.withColumn(_PARSED, F.when(one, F.get(listed, F.lit(0))))
+        not_object = F.col(_PARSED).isNull()
     out = others + [F.col(f"{_PARSED}.`{n}`").alias(n) for n in schema.names]
     if corrupt:
-        out.append(F.when(~is_json_object(text), text).alias(CORRUPT))
+        out.append(F.when(not_object, text).alias(CORRUPT))
     if rescue:
         out.append(rescued_fields(text, F.col(_PARSED), schema).alias(RESCUED))
-    return df.withColumnRenamed(column, _RAW).withColumn(_PARSED, parsed).select(*out)
+    return found.select(*out)
+
+
+def _in_braces(text: Column) -> Column:
+    bare = F.trim(text, F.lit(" \t\n\r"))
+    return F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
+
+
+def _stands_alone(text: Column) -> Column:
+    """FALSE for text that closes a list it is put in: it has a bracket behind a brace, and is
+    not the value of a field."""
+    closes = F.contains(text, F.lit("]")) & text.rlike(r"\}\s*\]")
+    as_field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {_NO_FIELDS}", _STRICT)
+    return F.when(closes, as_field["v"].isNotNull()).otherwise(F.lit(True))
 
 
 # The characters that count as white space in Unicode text.
@@ -144,15 +169,9 @@ def is_json_object(text: Column) -> Column:
     """
 
     def check(text: Column) -> Column:
-        bare = F.trim(text, F.lit(" \t\n\r"))
         as_element = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_NO_FIELDS}>", _STRICT)
-        as_field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), f"v {_NO_FIELDS}", _STRICT)
-        return (
-            F.startswith(bare, F.lit("{"))
-            & F.endswith(bare, F.lit("}"))
-            & _once(as_element, lambda e: (F.size(e) == 1) & F.get(e, F.lit(0)).isNotNull())
-            & (~text.rlike(r"\}\s*\]") | as_field["v"].isNotNull())
-        )
+        single = _once(as_element, lambda e: (F.size(e) == 1) & F.get(e, F.lit(0)).isNotNull())
+        return _in_braces(text) & single & _stands_alone(text)
 
     return F.coalesce(_once(text, check), F.lit(False))
 
