@@ -229,14 +229,7 @@ def _pack(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"content": files.values(), "name": files.keys()})
 
 
-def land_archives(events: DataFrame, path: str) -> str:
-    """ZIP archives of the export, ``EVENTS_PER_ARCHIVE`` consecutive ids each.
-
-    Ids are unique, so no archive and no task holds more than that many rows. Each archive
-    also has a member to be ignored; beside some archives lies a file that is no ZIP. The
-    files are written by Spark, one per ``name=`` folder, so a lost task leaves nothing
-    half-written.
-    """
+def _land_packed(events: DataFrame, pack, path: str) -> str:
     k = F.floor(F.col("Global_Event_ID") / EVENTS_PER_ARCHIVE)
     (
         events.select(
@@ -246,7 +239,7 @@ def land_archives(events: DataFrame, path: str) -> str:
             tsv_line(events).alias("value"),
         )
         .groupBy("k")
-        .applyInPandas(_pack, "content binary, name string")
+        .applyInPandas(pack, "content binary, name string")
         .select(F.col("content").cast("string"), "name")
         .write.partitionBy("name")
         .text(path)
@@ -254,6 +247,44 @@ def land_archives(events: DataFrame, path: str) -> str:
     return path
 
 
+def land_archives(events: DataFrame, path: str) -> str:
+    """ZIP archives of the export, ``EVENTS_PER_ARCHIVE`` consecutive ids each.
+
+    Ids are unique, so no archive and no task holds more than that many rows. Each archive
+    also has a member to be ignored; beside some archives lies a file that is no ZIP. The
+    files are written by Spark, one per ``name=`` folder, so a lost task leaves nothing
+    half-written.
+    """
+    return _land_packed(events, _pack, path)
+
+
+DAMAGED_EVERY = 2
+MEMBERS = ("a", "b", "c")
+_CODECS = (zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA, zipfile.ZIP_STORED)
+
+
+def _pack_members(rows: pd.DataFrame) -> pd.DataFrame:
+    """An archive of three members, the second of which may be damaged in its middle."""
+    stem, k = rows["stem"].iloc[0], int(rows["k"].iloc[0])
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for n, name in enumerate(MEMBERS):
+            lines = rows[rows["id"] % len(MEMBERS) == n].sort_values("id")["value"]
+            z.writestr(zipfile.ZipInfo(f"{stem}.{name}.CSV"), "\n".join(lines) + "\n", compress_type=_CODECS[k % len(_CODECS)])
+        info = z.infolist()[1]
+        z.comment = b"\n"
+    data = bytearray(buffer.getvalue()[:-1])
+    if k % DAMAGED_EVERY == 0:
+        middle = info.header_offset + 30 + len(info.filename) + info.compress_size // 2
+        data[middle] ^= 0x5A
+    return pd.DataFrame({"content": [bytes(data)], "name": [stem + NAME_SUFFIX]})
+
+
+def land_member_archives(events: DataFrame, path: str) -> str:
+    """Archives of three members each, by id; in every ``DAMAGED_EVERY``th the second is damaged."""
+    return _land_packed(events, _pack_members, path)
+
+
 def archive_name(path: Column) -> Column:
     """The ``name=`` folder an archive was landed in."""
     return F.regexp_extract(path, "/name=([^/]+)/", 1)

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 from catalogue.adapters import (
     BROKEN_EVERY,
+    DAMAGED_EVERY,
     EVENTS_PER_ARCHIVE,
+    MEMBERS,
     NO_JSON_EVERY,
     SINGLE_QUOTES_EVERY,
     TRAILING_TEXT_EVERY,
@@ -298,6 +300,14 @@ ORACLES: dict[str, str] = {
     + "SELECT Global_Event_ID, Event_Code, Action_Geo_FullName FROM feed",
     "q06_unreadable_archives": f"""SELECT DISTINCT concat({_ARCHIVE}, '.broken.zip') AS archive
         FROM events WHERE (event_id // {EVENTS_PER_ARCHIVE}) % {BROKEN_EVERY} = 0""",
+    "q06_damaged_members": _WITH_FEED.replace("FROM activity)", ", event_id FROM activity)")
+    + f""", placed AS (
+        SELECT concat({_ARCHIVE}, '.', substr('{"".join(MEMBERS)}', event_id % {len(MEMBERS)} + 1, 1), '.CSV') AS member,
+               Global_Event_ID, Event_Code,
+               (event_id // {EVENTS_PER_ARCHIVE}) % {DAMAGED_EVERY} = 0 AND event_id % {len(MEMBERS)} = 1 AS damaged
+        FROM feed)
+        SELECT * FROM placed WHERE NOT damaged
+        UNION ALL SELECT DISTINCT member, NULL, NULL, TRUE FROM placed WHERE damaged""",
     "q07_batched_json_sink": """SELECT event_id, CAST(ts AS VARCHAR) AS ts, user_id, event_type,
         value, props FROM events""",
     "q07_transcript_to_json_batches": _WITH_EDITS
@@ -421,3 +431,5 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, event_id % 11 = 0 AS short, event_id % 13 = 0 AS long,
                 event_id % 17 = 0 AS letter FROM feed)""",
 }
+ORACLES["q09_named_chain"] = ORACLES["q09_published_tables"]
+ORACLES["q14_stream_metrics"] = ORACLES["q14_rule_metrics"]

@@ -24,7 +24,7 @@ from millrace.schemas import (
 )
 from millrace.sources import archives, intervals, readers, replay, sinks, sse
 from millrace.storage import new_dir
-from millrace.streaming import medallion, minutes
+from millrace.streaming import medallion, minutes, named
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,6 +201,17 @@ def q06_unreadable_archives(spark, sf_dir):
     return bad.select(A.archive_name(F.col("archive")).alias("archive"))
 
 
+@query
+def q06_damaged_members(spark, sf_dir):
+    """What archives with a damaged member among sound ones give, by member."""
+    folder = A.land_member_archives(A.events_feed(spark, sf_dir), new_dir(spark, "q06d-raw"))
+    lines = archives.unzip(archives.read_archives(spark, folder))
+    good = archives.member_events(lines).select("member", "Global_Event_ID", "Event_Code", F.lit(False).alias("damaged"))
+    nothing = [F.lit(None).cast(t).alias(n) for n, t in (("Global_Event_ID", "long"), ("Event_Code", "string"))]
+    bad = archives.unreadable_archives(lines).select("member", *nothing, F.lit(True).alias("damaged"))
+    return good.unionByName(bad)
+
+
 @query
 def q07_batched_json_sink(spark, sf_dir):
     path = new_dir(spark, "q07")
@@ -309,6 +320,21 @@ def q09_published_tables(spark, sf_dir):
     return top.withColumn("n_silver", spark.table(names["silver"]).agg(F.count(F.lit(1))).scalar())
 
 
+@query
+def q09_named_chain(spark, sf_dir):
+    """Two runs from files to silver by table names alone, a reader between them."""
+    raw, out, database = new_dir(spark, "q09n-raw"), new_dir(spark, "q09n"), f"q09n_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{out}/names'")
+    feed = A.events_feed(spark, sf_dir)
+    even = F.col("Global_Event_ID") % 2 == 0
+    for name, drop in (("first", feed.filter(even)), ("second", feed.filter(~even))):
+        A.land_tsv(drop, f"{raw}/{name}")
+        names = named.run_named_feeds(spark, [(medallion.EVENTS, f"{raw}/*")], database, f"{out}/checkpoints")
+        spark.table(names["events"]["silver"]).isEmpty()
+    silver = names["events"]["silver"]
+    return sql.sql_top_places(spark, silver).withColumn("n_silver", spark.table(silver).agg(F.count(F.lit(1))).scalar())
+
+
 # --- cleaning -------------------------------------------------------------------------
 
 
@@ -368,6 +394,17 @@ def q14_quarantine_metrics(spark, sf_dir):
     return quality.quarantine_metrics(tables["events"].read_quarantine(spark))
 
 
+@query
+def q14_stream_metrics(spark, sf_dir):
+    """Failure counts that a streamed run noted batch by batch; a second run adds nothing."""
+    raw, out = new_dir(spark, "q14s-raw"), new_dir(spark, "q14s")
+    A.land_tsv(A.dirty_events_feed(spark, sf_dir), raw)
+    options = medallion.RunOptions(observe=True, source={"maxFilesPerTrigger": "3"})
+    for _ in range(2):
+        tables = medallion.run_feeds(spark, [(medallion.EVENTS, raw)], out, options)
+    return tables["events"].read_metrics(spark)
+
+
 @query
 def q15_rejected_rows(spark, sf_dir):
     bad = quality.reject(_dirty_events(spark, sf_dir), quality.EVENT_RULES)

@@ -185,3 +185,10 @@ def with_rescued(schema: T.StructType) -> T.StructType:
 
 # What a feed run could not read, and why.
 UNREADABLE_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in ("source", "member", "text", "error")])
+# The column that holds it beside the rows that could be read.
+UNREADABLE = "_unreadable"
+
+
+def with_unreadable(schema: T.StructType) -> T.StructType:
+    """``schema`` plus the column for what could not be read."""
+    return T.StructType(list(schema) + [T.StructField(UNREADABLE, UNREADABLE_SCHEMA, True)])

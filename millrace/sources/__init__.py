@@ -2,6 +2,7 @@ from millrace.sources.archives import (
     member_events,
     members,
     read_archived_events,
+    read_archives_once,
     read_archives,
     read_unreadable_archives,
     unreadable_archives,
@@ -28,6 +29,7 @@ from millrace.sources.sse import (
     parse_sse,
     read_lines,
     read_sse,
+    read_sse_once,
     read_unreadable_payloads,
     readable,
     sse_payloads,
@@ -47,11 +49,13 @@ __all__ = [
     "parse_sse",
     "publish_table",
     "read_archived_events",
+    "read_archives_once",
     "read_archives",
     "read_edits",
     "read_events",
     "read_lines",
     "read_sse",
+    "read_sse_once",
     "read_table",
     "read_unreadable_archives",
     "read_unreadable_payloads",

@@ -1,17 +1,20 @@
 """ZIP archives of export members, unpacked inside tasks.
 
-One archive is one row; Spark spreads the files over tasks. Spark lists the files and never
-reads them: a task opens its archive by path, whatever its size, and streams it out as
-bounded Arrow batches of lines. A ZIP cannot be split. Each member is inflated twice, as its
-checksum is tested before its first line leaves the task: a damaged member yields no rows.
-
-Only what is wrong with an archive itself makes an error row. A store that cannot be
-reached fails the task, and Spark tries it again.
+Spark lists the archives and never reads them. A first task opens an archive by path and reads
+its directory only, and cuts the data members into runs of bounded size; the runs are dealt
+out anew, so the members of one large archive are unpacked by several tasks. A run is streamed
+out as bounded Arrow batches of lines. A member within ``HELD_BYTES`` is inflated once, a
+larger one twice, as its checksum is tested before its first line leaves the task.
+
+A damaged member, whatever its compression, gives one error row and no lines; the others of
+its archive are read. Only what is wrong with an archive itself makes such rows. A store that
+cannot be reached fails the task, and Spark tries it again.
 """
 
 from __future__ import annotations
 
 import io
+import lzma
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -23,11 +26,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.schemas import EVENT_SCHEMA, UNREADABLE_SCHEMA
+from millrace.schemas import EVENT_SCHEMA, UNREADABLE, UNREADABLE_SCHEMA
 
 # Fixed value: suffix of the members that carry data.
 MEMBER_SUFFIX = ".CSV"
 
+# Packed bytes that one run of members holds, unless a single member is larger, and the
+# unpacked size up to which a member is held in memory.
+RUN_BYTES = 64 << 20
+HELD_BYTES = 32 << 20
+
 _LINES_PER_BATCH = 20_000
 _PROBE_BYTES = 1 << 20
 _ENCRYPTED = 0x1
@@ -147,7 +155,58 @@ def _opened(archive: str, filesystem: fs.FileSystem | None):
     return store.open_input_file(name)
 
 
-def _lines_of(archive: str, suffix: str, filesystem: fs.FileSystem | None) -> Iterator[pa.RecordBatch]:
+# What the unpacking of a damaged member ends in; OSError comes from one of the codecs too.
+_DAMAGE = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, NotImplementedError, OSError, UnreadableArchive)
+_RUN_SCHEMA = "archive string, first int, last int, error string"
+
+
+def _told(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"
+
+
+def _runs_of(archive: str, suffix: str, filesystem: fs.FileSystem | None) -> Iterator[tuple]:
+    """Runs of data members of an archive, by their places in its directory."""
+    with _opened(archive, filesystem) as stored:
+        watched = _Watched(stored)
+        try:
+            with zipfile.ZipFile(io.BufferedReader(watched, _PROBE_BYTES)) as z:
+                directory = z.infolist()
+        except _DAMAGE as e:
+            if watched.fault is not None:
+                raise watched.fault from e
+            yield archive, None, None, _told(e)
+            return
+    first = last = None
+    held = 0
+    for n, info in enumerate(directory):
+        if not info.filename.endswith(suffix):
+            continue
+        if first is not None and held + info.compress_size > RUN_BYTES:
+            yield archive, first, last, None
+            first, held = None, 0
+        first, last, held = n if first is None else first, n, held + info.compress_size
+    if first is not None:
+        yield archive, first, last, None
+
+
+def _tested(z: zipfile.ZipFile, info: zipfile.ZipInfo) -> io.BufferedIOBase:
+    """The content of a member that is known to be sound."""
+    if info.flag_bits & _ENCRYPTED:
+        raise UnreadableArchive("member is encrypted")
+    if info.compress_type not in _PACKED:
+        raise UnreadableArchive(f"unknown compression {info.compress_type}")
+    if info.file_size <= HELD_BYTES:
+        with z.open(info) as raw:
+            return io.BytesIO(raw.read())
+    with z.open(info) as raw:
+        while raw.read(_PROBE_BYTES):
+            pass
+    return z.open(info)
+
+
+def _lines_of(archive: str, first: int, last: int, suffix: str, filesystem: fs.FileSystem | None) -> Iterator[pa.RecordBatch]:
+    """Lines of the data members from one place in the directory to another."""
+
     def batch(member, values, error=None):
         n = len(values)
         return pa.RecordBatch.from_arrays(
@@ -160,35 +219,29 @@ def _lines_of(archive: str, suffix: str, filesystem: fs.FileSystem | None) -> It
             schema=_ARROW_SCHEMA,
         )
 
-    member = None
     with _opened(archive, filesystem) as stored:
         watched = _Watched(stored)
-        try:
-            with zipfile.ZipFile(io.BufferedReader(watched, _PROBE_BYTES)) as z:
-                for info in z.infolist():
-                    member = info.filename
-                    if not member.endswith(suffix):
-                        continue
-                    if info.flag_bits & _ENCRYPTED:
-                        raise UnreadableArchive("member is encrypted")
-                    if info.compress_type not in _PACKED:
-                        raise UnreadableArchive(f"unknown compression {info.compress_type}")
-                    with z.open(info) as raw:
-                        while raw.read(_PROBE_BYTES):
-                            pass
-                    with z.open(info) as raw:
-                        chunk = []
-                        for line in io.TextIOWrapper(raw, "utf-8", errors="replace"):
-                            chunk.append(line.rstrip("\n"))
-                            if len(chunk) == _LINES_PER_BATCH:
-                                yield batch(member, chunk)
-                                chunk = []
-                        if chunk:
+        with zipfile.ZipFile(io.BufferedReader(watched, _PROBE_BYTES)) as z:
+            for info in z.infolist()[first : last + 1]:
+                member = info.filename
+                if not member.endswith(suffix):
+                    continue
+                try:
+                    raw = _tested(z, info)
+                except _DAMAGE as e:
+                    if watched.fault is not None:
+                        raise watched.fault from e
+                    yield batch(member, [None], _told(e))
+                    continue
+                with raw:
+                    chunk = []
+                    for line in io.TextIOWrapper(raw, "utf-8", errors="replace"):
+                        chunk.append(line.rstrip("\n"))
+                        if len(chunk) == _LINES_PER_BATCH:
                             yield batch(member, chunk)
-        except (zipfile.BadZipFile, zlib.error, EOFError, UnreadableArchive) as e:
-            if watched.fault is not None:
-                raise watched.fault from e
-            yield batch(member, [None], f"{type(e).__name__}: {e}")
+                            chunk = []
+                    if chunk:
+                        yield batch(member, chunk)
 
 
 def unzip(
@@ -196,16 +249,28 @@ def unzip(
 ) -> DataFrame:
     """Lines of all data members as (archive, member, value, error).
 
-    An archive that cannot be unpacked gives one row with ``error`` set, after the lines of
-    the members before the bad one.
+    What cannot be unpacked gives one row with ``error`` set: a damaged, encrypted or unknown
+    member under its name, an archive without a readable directory under no member.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for archive in b.column(0).to_pylist():
-                yield from _lines_of(archive, suffix, filesystem)
+            found = [r for archive in b.column(0).to_pylist() for r in _runs_of(archive, suffix, filesystem)]
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.string())
+            columns = [pa.array([r[i] for r in found], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["archive", "first", "last", "error"])
 
-    return archives.select("archive").mapInArrow(run, LINE_SCHEMA)
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for archive, first, last, error in zip(*(c.to_pylist() for c in b.columns)):
+                if error is None:
+                    yield from _lines_of(archive, first, last, suffix, filesystem)
+                else:
+                    yield pa.RecordBatch.from_pylist([{"archive": archive, "error": error}], schema=_ARROW_SCHEMA)
+
+    spread = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = archives.select("archive").mapInArrow(runs, _RUN_SCHEMA)
+    return found.repartition(spread).mapInArrow(lines, LINE_SCHEMA)
 
 
 def members(lines: DataFrame) -> DataFrame:
@@ -227,16 +292,32 @@ def read_archived_events(
 def read_unreadable_archives(
     spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
 ) -> DataFrame:
-    """Archives that could not be unpacked: source, member, text (NULL), error."""
+    """What could not be unpacked: source, member, text (NULL), error."""
+    lines = unzip(read_archives(spark, path, stream=stream, options=options))
+    bad = unreadable_archives(lines).withColumnRenamed("archive", "source")
+    return bad.withColumn("text", F.lit(None).cast("string")).select(*UNREADABLE_SCHEMA.names)
+
+
+def read_archives_once(
+    spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
+) -> DataFrame:
+    """Event rows of landed archives and, with ``_unreadable`` set, what could not be unpacked:
+    each archive is read once."""
     lines = unzip(read_archives(spark, path, stream=stream, options=options))
-    bad = unreadable_archives(lines)
-    columns = (F.col("archive").alias("source"), F.col("member"), F.lit(None).cast("string").alias("text"), F.col("error"))
-    return bad.select(*columns).select(*UNREADABLE_SCHEMA.names)
+    lines = lines.filter(F.col("error").isNotNull() | (F.trim("value") != ""))
+    text = F.lit(None).cast("string")
+    fault = F.struct(F.col("archive").alias("source"), "member", text.alias("text"), "error")
+    fault = F.when(F.col("error").isNotNull(), fault).alias(UNREADABLE)
+    rows = lines.select(_event_of("value").alias("e"), fault)
+    return rows.select(*[F.col(f"e.{n}") for n in EVENT_SCHEMA.names], UNREADABLE)
+
+
+def _event_of(column: str):
+    layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA)
+    return F.from_csv(column, layout, {"sep": "\t"})
 
 
 def member_events(lines: DataFrame) -> DataFrame:
     """Event rows of unpacked member lines, with the archive and member they came from."""
-    layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EVENT_SCHEMA)
-    row = F.from_csv("value", layout, {"sep": "\t"})
     data = members(lines).filter(F.trim("value") != "")
-    return data.select("archive", "member", row.alias("e")).select("archive", "member", "e.*")
+    return data.select("archive", "member", _event_of("value").alias("e")).select("archive", "member", "e.*")

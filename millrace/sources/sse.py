@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import drop_bad_utf8
-from millrace.schemas import CORRUPT, EDIT_SCHEMA, UNREADABLE_SCHEMA
+from millrace.schemas import CORRUPT, EDIT_SCHEMA, UNREADABLE, UNREADABLE_SCHEMA
 from millrace.sources.readers import parse_json, stripped
 
 # Fixed value: the prefix of a payload line.
@@ -71,6 +71,25 @@ def read_unreadable_payloads(
     ).select(*UNREADABLE_SCHEMA.names)
 
 
+def read_sse_once(
+    spark: SparkSession, path: str, *, stream: bool = False, options: dict | None = None
+) -> DataFrame:
+    """The change records of landed transcripts and, with ``_unreadable`` set, the payloads that are
+    no JSON object: each line is parsed once."""
+    lines = read_lines(spark, path, stream=stream, options=options)
+    lines = lines.filter(F.startswith(F.col("value"), F.lit(DATA_PREFIX))).select(
+        F.col("_metadata.file_path").alias("_source"), _payload("value").alias("data")
+    )
+    parsed = parse_json(lines, "data", corrupt=True)
+    fault = F.struct(
+        F.col("_source").alias("source"),
+        F.lit(None).cast("string").alias("member"),
+        F.col(CORRUPT).alias("text"),
+        F.lit("no JSON object").alias("error"),
+    )
+    return parsed.select(*EDIT_SCHEMA.names, F.when(F.col(CORRUPT).isNotNull(), fault).alias(UNREADABLE))
+
+
 def readable(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 

@@ -14,7 +14,9 @@ from millrace.streaming.medallion import (
     run_feeds,
     start_append,
 )
+from millrace.streaming.metrics import BatchMetrics, observed_rule_counts, read_batch_metrics
 from millrace.streaming.minutes import read_minute_counts, start_minute_counts
+from millrace.streaming.named import create_table, run_named_feeds, start_into
 
 __all__ = [
     "ARCHIVED_EVENTS",
@@ -23,14 +25,20 @@ __all__ = [
     "EVENTS",
     "EVENTS_WITH_CORRUPT",
     "TRANSCRIBED_EDITS",
+    "BatchMetrics",
     "Feed",
     "FeedTables",
     "RunOptions",
+    "create_table",
     "judged",
+    "observed_rule_counts",
     "publish",
+    "read_batch_metrics",
     "read_minute_counts",
     "rule_counts",
     "run_feeds",
+    "run_named_feeds",
     "start_append",
+    "start_into",
     "start_minute_counts",
 ]

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field, replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -20,25 +21,39 @@ from millrace.operators.cleaning import clean_edits, clean_events
 from millrace.operators.quality import (
     EDIT_RULES,
     EVENT_RULES,
+    EVENT_WARNINGS,
     Rules,
     gate,
     observed,
     reject,
     rule_metrics,
 )
-from millrace.schemas import EDIT_SCHEMA, EVENT_SCHEMA, UNREADABLE_SCHEMA, with_corrupt, with_rescued
-from millrace.sources.archives import read_archived_events, read_unreadable_archives
+from millrace.schemas import (
+    EDIT_SCHEMA,
+    EVENT_SCHEMA,
+    UNREADABLE,
+    UNREADABLE_SCHEMA,
+    with_corrupt,
+    with_rescued,
+    with_unreadable,
+)
+from millrace.sources.archives import read_archives_once
 from millrace.sources.readers import read_edits, read_events, read_table
 from millrace.sources.sinks import publish_table
-from millrace.sources.sse import read_sse, read_unreadable_payloads
+from millrace.sources.sse import read_sse_once
+from millrace.streaming.metrics import BatchMetrics, observed_rule_counts, read_batch_metrics
+
+# The partition column of a bronze table that also holds what could not be read.
+READABLE = "readable"
 
 
 @dataclass(frozen=True)
 class Feed:
-    """How one feed is read, cleaned and judged.
+    """How one feed is read, cleaned and judged; ``warnings`` are counted, but gate nothing.
 
-    ``unreadable`` reads what ``read`` has to leave out, as ``UNREADABLE_SCHEMA``; landing
-    formats of which every row can be read have none.
+    Where not every row of the landing format can be read (``faults``), ``read`` also gives
+    those, in the column ``_unreadable``; both kinds go into one bronze table by one pass over
+    the files, laid out apart. Readers of bronze see the rows that could be read.
     """
 
     name: str
@@ -46,7 +61,8 @@ class Feed:
     read: Callable[..., DataFrame]
     clean: Callable[[DataFrame], DataFrame]
     rules: Rules
-    unreadable: Callable[..., DataFrame] | None = None
+    faults: bool = False
+    warnings: Rules = field(default_factory=dict)
     bronze_comment: str = "raw records"
     silver_comment: str = "cleaned records that pass every rule"
 
@@ -54,15 +70,15 @@ class Feed:
         return self.clean(spark.createDataFrame([], self.schema)).schema
 
 
-EVENTS = Feed("events", EVENT_SCHEMA, read_events, clean_events, EVENT_RULES)
+EVENTS = Feed("events", EVENT_SCHEMA, read_events, clean_events, EVENT_RULES, warnings=EVENT_WARNINGS)
 EDITS = Feed("edits", EDIT_SCHEMA, read_edits, clean_edits, EDIT_RULES)
 
 # The same feeds from other landing formats, and with the leftovers kept in bronze.
-ARCHIVED_EVENTS = replace(EVENTS, read=read_archived_events, unreadable=read_unreadable_archives)
+ARCHIVED_EVENTS = replace(EVENTS, read=read_archives_once, faults=True)
 EVENTS_WITH_CORRUPT = replace(
     EVENTS, schema=with_corrupt(EVENT_SCHEMA), read=partial(read_events, corrupt=True)
 )
-TRANSCRIBED_EDITS = replace(EDITS, read=read_sse, unreadable=read_unreadable_payloads)
+TRANSCRIBED_EDITS = replace(EDITS, read=read_sse_once, faults=True)
 EDITS_WITH_RESCUED = replace(
     EDITS, schema=with_rescued(EDIT_SCHEMA), read=partial(read_edits, rescue=True)
 )
@@ -92,8 +108,19 @@ class FeedTables:
         return f"{self.root}/quarantine/{self.feed.name}"
 
     @property
-    def unreadable(self) -> str:
-        return f"{self.root}/unreadable/{self.feed.name}"
+    def bronze_schema(self) -> T.StructType:
+        """What the bronze table holds, also what its readers are not shown."""
+        if not self.feed.faults:
+            return self.feed.schema
+        return with_unreadable(self.feed.schema).add(READABLE, T.BooleanType())
+
+    @property
+    def metrics(self) -> str:
+        return f"{self.root}/metrics"
+
+    def read_metrics(self, spark: SparkSession) -> DataFrame:
+        """Failures per rule over the micro-batches that were observed: rule, failed."""
+        return observed_rule_counts(read_batch_metrics(spark, self.metrics), self.feed.name)
 
     def checkpoint(self, step: str) -> str:
         return f"{self.root}/_checkpoints/{self.feed.name}/{step}"
@@ -102,14 +129,18 @@ class FeedTables:
         return read_table(spark, path, schema=schema, table_format=self.table_format, **kw)
 
     def read_bronze(self, spark: SparkSession, **kw) -> DataFrame:
-        return self._read(spark, self.bronze, self.feed.schema, **kw)
+        rows = self._read(spark, self.bronze, self.bronze_schema, **kw)
+        return rows.filter(READABLE).select(*[F.col(f"`{n}`") for n in self.feed.schema.names]) if self.feed.faults else rows
 
     def read_silver(self, spark: SparkSession, **kw) -> DataFrame:
         return self._read(spark, self.silver, self.feed.silver_schema(spark), **kw)
 
     def read_unreadable(self, spark: SparkSession, **kw) -> DataFrame:
         """What the runs so far could not read: source, member, text, error."""
-        return self._read(spark, self.unreadable, UNREADABLE_SCHEMA, **kw)
+        if not self.feed.faults:
+            return spark.createDataFrame([], UNREADABLE_SCHEMA)
+        rows = self._read(spark, self.bronze, self.bronze_schema, **kw)
+        return rows.filter(~F.col(READABLE)).select(f"{UNREADABLE}.*")
 
     def read_quarantine(self, spark: SparkSession, **kw) -> DataFrame:
         """Rejected rows with ``failed_rules``; raw columns if the gate came first."""
@@ -124,9 +155,10 @@ class RunOptions:
     both), so that a backlog is worked off in pieces and a failure repeats one piece only.
     ``partition_silver_by`` lays silver out for pruning, for example by the event date.
     ``quarantine`` stores rejected rows, at the price of a second scan of bronze.
-    ``observe`` reports failure counts in the query progress; it separates cleaning and
-    gate, so the gate no longer reaches the scan. The counts can also be had afterwards
-    from bronze, which reads the judged columns only (``rule_counts``).
+    ``observe`` reports failure counts in the query progress and keeps them by micro-batch
+    (``FeedTables.read_metrics``); it separates cleaning and gate, so the gate no longer
+    reaches the scan. The counts can also be had afterwards from bronze, which reads the
+    judged columns only (``rule_counts``).
     ``gate_before_cleaning`` judges raw values, when missing text is not yet ``Unknown``.
     """
 
@@ -161,22 +193,17 @@ def start_append(
 
 
 def _bronze(spark: SparkSession, raw_dir: str, tables: FeedTables, o: RunOptions) -> list[StreamingQuery]:
-    """Bronze, and beside it what bronze has to leave out, from a scan of its own."""
-    running = []
-    for step, read, path in (
-        ("bronze", tables.feed.read, tables.bronze),
-        ("unreadable", tables.feed.unreadable, tables.unreadable),
-    ):
-        if read is not None:
-            raw = read(spark, raw_dir, stream=True, options=dict(o.source))
-            running.append(start_append(raw, path, tables.checkpoint(step), o.table_format))
-    return running
+    """Bronze, in one pass over what arrived."""
+    raw, by = tables.feed.read(spark, raw_dir, stream=True, options=dict(o.source)), ()
+    if tables.feed.faults:
+        raw, by = raw.withColumn(READABLE, F.col(UNREADABLE).isNull()), (READABLE,)
+    return [start_append(raw, tables.bronze, tables.checkpoint("bronze"), o.table_format, by)]
 
 
 def judged(raw: DataFrame, feed: Feed, before_cleaning: bool, observe: bool = False):
     """The rows of ``raw`` that reach silver, and those set aside."""
     shown = raw if before_cleaning else feed.clean(raw)
-    watched = observed(shown, feed.rules, feed.name) if observe else shown
+    watched = observed(shown, {**feed.rules, **({} if before_cleaning else feed.warnings)}, feed.name) if observe else shown
     kept = gate(watched, feed.rules)
     return (feed.clean(kept) if before_cleaning else kept), reject(shown, feed.rules)
 
@@ -201,11 +228,12 @@ def _silver(spark: SparkSession, tables: FeedTables, o: RunOptions):
 _POLL_SECONDS = 0.1
 
 
-def _run(chains: Sequence[Sequence[Callable[[], list[StreamingQuery]]]]) -> None:
+def _run(chains: Sequence[Sequence[Callable[[], list[StreamingQuery]]]], metrics: BatchMetrics | None = None) -> None:
     """The steps of each chain one after the other, the chains side by side.
 
     If a query fails, all others are stopped; what they committed stays committed.
     """
+    started: list[StreamingQuery] = []
     waiting = [list(steps) for steps in chains]
     running: list[list[StreamingQuery]] = [[] for _ in chains]
     try:
@@ -217,11 +245,15 @@ def _run(chains: Sequence[Sequence[Callable[[], list[StreamingQuery]]]]) -> None
                 running[i] = [q for q in queries if q.isActive]
                 if not running[i] and waiting[i]:
                     running[i] = waiting[i].pop(0)()
+                    started += running[i]
             for query in [q for queries in running for q in queries][:1]:
                 query.awaitTermination(_POLL_SECONDS)
     finally:
         for query in (q for queries in running for q in queries):
             query.stop()
+        if metrics is not None:
+            for query in started:
+                metrics.settle(query)
 
 
 def run_feeds(
@@ -238,15 +270,19 @@ def run_feeds(
     if len(set(names)) < len(names):
         raise ValueError(f"feeds of one name in one run: {sorted(n for n in set(names) if names.count(n) > 1)}")
     tables = {feed.name: FeedTables(out_dir, feed, options.table_format) for feed, _ in inputs}
-    _run(
-        [
-            [
-                partial(_bronze, spark, raw, tables[feed.name], options),
-                partial(_silver, spark, tables[feed.name], options),
-            ]
-            for feed, raw in inputs
-        ]
-    )
+    chains = [
+        [partial(_bronze, spark, raw, tables[feed.name], options), partial(_silver, spark, tables[feed.name], options)]
+        for feed, raw in inputs
+    ]
+    if not options.observe:
+        _run(chains)
+        return tables
+    metrics = BatchMetrics(spark, f"{out_dir}/metrics")
+    spark.streams.addListener(metrics)
+    try:
+        _run(chains, metrics)
+    finally:
+        spark.streams.removeListener(metrics)
     return tables
 
 
@@ -263,7 +299,7 @@ def publish(spark: SparkSession, tables: FeedTables, database: str = "default")
     """
     feed, names = tables.feed, {}
     for layer, path, schema, comment in (
-        ("bronze", tables.bronze, feed.schema, feed.bronze_comment),
+        ("bronze", tables.bronze, tables.bronze_schema, feed.bronze_comment),
         ("silver", tables.silver, feed.silver_schema(spark), feed.silver_comment),
     ):
         name = f"{database}.{feed.name}_{layer}"

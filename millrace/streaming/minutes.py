@@ -1,13 +1,15 @@
-"""Edits per minute, kept up by a stream.
-
-Each micro-batch adds its counts to those of the batch before and writes the sum as a version
-of its own, laid out by day. Counts add up in any order, so an edit may come as late as it
-likes: there is no watermark that would drop it and no state to restore. A micro-batch that
-is repeated after a failure starts from the same older version and overwrites its own. Only
-the last two versions are kept, so the number of folders depends on days and not on batches;
-a version has one row per minute that had an edit, far less than the edits themselves.
-
-Counts and checkpoint belong together: versions are numbered by micro-batch.
+"""Edits per minute, kept up by a stateful stream.
+
+The totals live in the state store of the query, one entry a minute, without a watermark: an
+edit may come as late as it likes. A micro-batch hands on the minutes it changed, with their
+new totals, and these are written to a folder of that batch. Totals only ever grow, so the
+count of a minute is the largest that was written for it, and merging is idempotent: a batch
+that is repeated writes the same totals again, a folder may be read half-written, twice or
+beside its own summary, and no marker file tells what is complete. Every ``FOLDERS`` batches
+the folders are merged into one.
+
+Counts belong to the checkpoint that holds their state: they lie below the id of its query. A
+query with another checkpoint would count from nothing again, and is refused.
 """
 
 from __future__ import annotations
@@ -19,12 +21,13 @@ from pyspark.sql.streaming.query import StreamingQuery
 from millrace.functions.times import epoch_to_timestamp, minute_of
 from millrace.operators.cleaning import keep_value
 
-COUNT_SCHEMA = "minute_ts timestamp, cnt bigint, day date"
-_VERSION = "version="
+COUNT_SCHEMA = "minute_ts timestamp, cnt bigint"
+FOLDERS = 32
+_SUMMARY = "-all"
 
 
-def partial_counts(edits: DataFrame) -> DataFrame:
-    """minute_ts, cnt of a batch; an edit without a time counts under NULL."""
+def minute_counts(edits: DataFrame) -> DataFrame:
+    """minute_ts, cnt; an edit without a time counts under NULL."""
     minute = minute_of(epoch_to_timestamp(F.col("timestamp")))
     return edits.groupBy(minute.alias("minute_ts")).agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -34,25 +37,25 @@ def _store(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the complete versions, in order."""
+def _names(spark: SparkSession, path: str) -> list[str]:
     store, folder = _store(spark, path)
     if not store.exists(folder):
         return []
     names = [s.getPath().getName() for s in store.listStatus(folder)]
-    found = [int(n.removeprefix(_VERSION)) for n in names if n.startswith(_VERSION)]
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(v for v in found if store.exists(done(f"{path}/{_VERSION}{v}/_SUCCESS")))
+    return sorted(n for n in names if n[0] not in "._")
 
 
-def _read(spark: SparkSession, path: str, version: int | None) -> DataFrame:
-    if version is None:
-        return spark.createDataFrame([], COUNT_SCHEMA)
-    return spark.read.schema(COUNT_SCHEMA).parquet(f"{path}/{_VERSION}{version}")
+def _merged(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.schema(COUNT_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+    return rows.groupBy("minute_ts").agg(F.max("cnt").alias("cnt"))
 
 
-def _total(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("minute_ts").agg(F.sum("cnt").alias("cnt"))
+def _own_folder(spark: SparkSession, path: str, checkpoint: str) -> str:
+    """The folder of the checkpoint's query; counts of another one are not added to."""
+    query = spark.read.json(f"{checkpoint}/metadata").first()["id"]
+    if others := [n for n in _names(spark, path) if n != query]:
+        raise ValueError(f"{path} holds counts of another checkpoint ({others[0]}); go on with that one or clear the counts")
+    return f"{path}/{query}"
 
 
 def start_minute_counts(
@@ -60,21 +63,21 @@ def start_minute_counts(
 ) -> StreamingQuery:
     """Count what is available now of a stream of edits (raw or silver), then stop."""
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        older = [v for v in _versions(spark, path) if v < batch_id]
-        before = _read(spark, path, older[-1] if older else None).select("minute_ts", "cnt")
-        total = _total(before.unionByName(partial_counts(batch)))
-        day = F.col("minute_ts").cast("date").alias("day")
-        total.select("*", day).write.mode("overwrite").partitionBy("day").parquet(f"{path}/{_VERSION}{batch_id}")
-        store, _ = _store(spark, path)
-        for version in older[:-1]:
-            store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSION}{version}"), True)
+    def put(changed: DataFrame, batch_id: int) -> None:
+        spark = changed.sparkSession
+        own, name = _own_folder(spark, path, checkpoint), f"{batch_id:020d}"
+        changed.write.mode("overwrite").parquet(f"{own}/{name}")
+        older = [n for n in _names(spark, own) if n < name + _SUMMARY]
+        if len(older) > FOLDERS:
+            _merged(spark, own).write.mode("overwrite").parquet(f"{own}/{name}{_SUMMARY}")
+            store, _ = _store(spark, own)
+            for n in older:
+                store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{own}/{n}"), True)
 
     return (
-        keep_value(edits, "wiki", wiki)
-        .select("timestamp")
-        .writeStream.foreachBatch(add)
+        minute_counts(keep_value(edits, "wiki", wiki).select("timestamp"))
+        .writeStream.foreachBatch(put)
+        .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -83,6 +86,6 @@ def start_minute_counts(
 
 def read_minute_counts(spark: SparkSession, path: str) -> DataFrame:
     """Counts per minute over all micro-batches so far: minute_ts, cnt."""
-    versions = _versions(spark, path)
-    counts = _read(spark, path, versions[-1] if versions else None)
-    return counts.select("minute_ts", "cnt").orderBy("minute_ts")
+    if not _names(spark, path):
+        return spark.createDataFrame([], COUNT_SCHEMA)
+    return _merged(spark, path).orderBy("minute_ts")

@@ -238,6 +238,59 @@ def test_unzip(spark, archive_dir):
     assert set(bad) == {"bad.zip", "damaged.zip"} and "BadZipFile" in bad["bad.zip"]
 
 
+def packed(method, names, damage=()):
+    """An archive of members of 2,000 lines each, with the content of some overwritten."""
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", method) as z:
+        for k, name in enumerate(names):
+            z.writestr(name, "".join(tsv(Global_Event_ID=str(10_000 * k + i), Source_URL=f"u{i * 7919 % 9973}") + "\n" for i in range(2000)))
+        starts = {i.filename: i.header_offset + 30 + len(i.filename) for i in z.infolist()}
+        sizes = {i.filename: i.compress_size for i in z.infolist()}
+    data = bytearray(buffer.getvalue())
+    for name in damage:
+        middle = starts[name] + sizes[name] // 2
+        data[middle : middle + 40] = bytes(b ^ 0x5A for b in data[middle : middle + 40])
+    return bytes(data)
+
+
+METHODS = {"stored": zipfile.ZIP_STORED, "deflate": zipfile.ZIP_DEFLATED, "bzip2": zipfile.ZIP_BZIP2, "lzma": zipfile.ZIP_LZMA}
+
+
+@pytest.mark.parametrize("held", [0, 1 << 30])
+def test_a_damaged_member_costs_only_itself(spark, tmp_path, monkeypatch, held):
+    monkeypatch.setattr(archives, "HELD_BYTES", held)
+    for name, method in METHODS.items():
+        (tmp_path / f"{name}.zip").write_bytes(packed(method, ["a.CSV", "b.CSV", "c.CSV"], ["b.CSV"]))
+    lines = unzip(read_archives(spark, str(tmp_path)))
+    got = lines.groupBy(F.element_at(F.split("archive", "/"), -1).alias("a"), "member").agg(F.count("value"), F.count("error")).collect()
+    want = {(f"{n}.zip", f"{m}.CSV", 0 if m == "b" else 2000, 1 if m == "b" else 0) for n in METHODS for m in "abc"}
+    assert set(map(tuple, got)) == want
+
+
+def test_members_of_one_archive_are_unpacked_by_several_tasks(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.zip").write_bytes(packed(zipfile.ZIP_DEFLATED, ["a.CSV", "x.txt", "b.CSV", "c.CSV"]))
+    found = read_archives(spark, str(tmp_path))
+
+    def tasks():
+        lines = members(unzip(found)).select("member", F.spark_partition_id().alias("task"))
+        return sorted(tuple(r) for r in lines.distinct().collect())
+
+    assert len({t for _, t in tasks()}) == 1  # small members share a task
+    monkeypatch.setattr(archives, "RUN_BYTES", 1)
+    split = tasks()
+    assert [m for m, _ in split] == ["a.CSV", "b.CSV", "c.CSV"] and len({t for _, t in split}) == 3
+
+
+def test_sound_members_are_inflated_once(tmp_path, monkeypatch):
+    path = tmp_path / "a.zip"
+    path.write_bytes(packed(zipfile.ZIP_DEFLATED, ["a.CSV", "b.CSV"], ["b.CSV"]))
+    opened = []
+    open_member = zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, info, *a, **k: opened.append(info.filename) or open_member(self, info, *a, **k))
+    out = list(archives._lines_of(f"file:{path}", 0, 1, ".CSV", None))
+    assert opened == ["a.CSV", "b.CSV"] and sum(b.num_rows for b in out) == 2001
+
+
 def test_unzip_as_stream(spark, archive_dir, tmp_path):
     options = {"pathGlobFilter": "*.zip"}
     rows = member_events(unzip(read_archives(spark, archive_dir, stream=True, options=options)))
@@ -288,7 +341,7 @@ def test_a_fault_while_reading_is_not_taken_for_a_bad_archive(archive_dir):
             return Faulty()
 
     with pytest.raises(OSError, match="connection reset"):
-        list(archives._lines_of("file:/x.zip", ".CSV", Store()))
+        list(archives._runs_of("file:/x.zip", ".CSV", Store()))
 
 
 def test_unknown_stores_are_refused_at_once(spark):

@@ -1,9 +1,11 @@
+import zipfile
 from dataclasses import replace
 
 import pytest
-from helpers import edits, events
+from helpers import edits, events, plan
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from test_sources import packed
 
 from millrace.operators import EVENT_RULES, clean_edits, clean_events, gate, quarantine_metrics, reject
 from millrace.plans import edits_per_minute
@@ -16,6 +18,7 @@ from millrace.streaming import (
     EVENTS_WITH_CORRUPT,
     TRANSCRIBED_EDITS,
     RunOptions,
+    minutes,
     publish,
     read_minute_counts,
     rule_counts,
@@ -153,6 +156,21 @@ def test_every_payload_is_in_bronze_or_unreadable(spark, tmp_path):
     assert all(r.source.endswith(".txt") and r.error for r in bad)
 
 
+def test_archives_as_a_feed_are_read_once(spark, tmp_path):
+    """Rows and faults of landed archives come from one stream; a second run adds nothing."""
+    raw, out = tmp_path / "raw", str(tmp_path / "out")
+    raw.mkdir()
+    (raw / "a.zip").write_bytes(packed(zipfile.ZIP_DEFLATED, ["a.CSV", "b.CSV", "c.CSV"], ["b.CSV"]))
+    (raw / "bad.zip").write_bytes(b"no archive")
+    for _ in range(2):
+        tables = run_feeds(spark, [(ARCHIVED_EVENTS, str(raw))], out)["events"]
+    assert [p.name for p in (tmp_path / "out" / "_checkpoints" / "events").iterdir() if p.name not in ("bronze", "silver")] == []
+    assert tables.read_bronze(spark).count() == 4000 and tables.read_bronze(spark).schema == EVENTS.schema
+    bad = {(r.source.split("/")[-1], r.member) for r in tables.read_unreadable(spark).collect()}
+    assert bad == {("a.zip", "b.CSV"), ("bad.zip", None)}
+    assert "readable" in plan(tables.read_bronze(spark)).split("PartitionFilters")[1].splitlines()[0]
+
+
 def test_feeds_of_one_name_are_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="events"):
         run_feeds(spark, [(EVENTS, "a"), (ARCHIVED_EVENTS, "b")], str(tmp_path / "out"))
@@ -238,8 +256,57 @@ def test_minute_counts_keep_late_edits(spark, tmp_path, per_trigger):
     want = edits_per_minute(clean_edits(read_edits(spark, raw)))
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
     assert got.agg(F.sum("cnt")).first()[0] == 303
-    versions = [p.name for p in (tmp_path / "o").iterdir() if p.name.startswith("version=")]
-    assert len(versions) <= 2
+
+
+def count_late_edits(spark, tmp_path, drops):
+    """Ten edits a drop, the last drop long before the others; a run after each."""
+    raw, out, cp = str(tmp_path / "raw"), str(tmp_path / "o"), str(tmp_path / "cp")
+    for k in range(drops):
+        first = 1_400_000_000 if k == drops - 1 else 1_720_000_000 + 40 * k
+        rows = [{"id": 10 * k + i, "timestamp": first + 13 * i} for i in range(10)]
+        edits(spark, rows).coalesce(1).write.mode("append").json(raw)
+        start_minute_counts(read_edits(spark, raw, stream=True), out, cp).awaitTermination()
+    got = [tuple(r) for r in read_minute_counts(spark, out).collect()]
+    assert got == [tuple(r) for r in edits_per_minute(read_edits(spark, raw)).collect()]
+    return sum(n for _, n in got)
+
+
+def test_minute_counts_need_no_marker_file(spark, tmp_path, conf):
+    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        assert count_late_edits(spark, tmp_path, 3) == 30
+        assert not list((tmp_path / "o").rglob("_SUCCESS"))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_minute_counts_are_merged_now_and_then(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(minutes, "FOLDERS", 2)
+    assert count_late_edits(spark, tmp_path, 6) == 60
+    (own,) = (tmp_path / "o").iterdir()
+    assert len(list(own.iterdir())) <= 3 and any(p.name.endswith("-all") for p in own.iterdir())
+
+
+def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path):
+    raw, out, cp = str(tmp_path / "raw"), str(tmp_path / "o"), str(tmp_path / "cp")
+    edits(spark, [{"id": i, "timestamp": 60 * (i % 4)} for i in range(20)]).write.json(raw)
+    stream = read_edits(spark, raw, stream=True, options={"maxFilesPerTrigger": 1})
+    start_minute_counts(stream, out, cp).awaitTermination()
+    want = read_minute_counts(spark, out).collect()
+    last = max(int(p.name) for p in (tmp_path / "cp" / "commits").iterdir() if p.name.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        (tmp_path / "cp" / "commits" / name).unlink(missing_ok=True)
+    start_minute_counts(stream, out, cp).awaitTermination()
+    assert read_minute_counts(spark, out).collect() == want
+
+
+def test_counts_of_another_checkpoint_are_not_added_to(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "o")
+    edits(spark, [{"id": 1, "timestamp": 60}]).write.json(raw)
+    stream = read_edits(spark, raw, stream=True)
+    start_minute_counts(stream, out, str(tmp_path / "cp")).awaitTermination()
+    with pytest.raises(Exception, match="another checkpoint"):
+        start_minute_counts(stream, out, str(tmp_path / "lost")).awaitTermination()
 
 
 def test_minute_counts_of_silver_with_missing_times(spark, tmp_path):
