@@ -7,26 +7,32 @@ of a capture are its host, every parent domain of the host (``domain:``), and ev
 prefix that ends at a slash (``path:``), so each is matched by equality and no pattern runs
 against every entry.
 
-The join is an equality of keys with a range condition. The length of a URL bounds the
-number of its keys; those that no entry mentions find no partner, and a host with very many captures is
-only ever on the side of the join that Spark splits.
+A key is looked up by its 128-bit digest. All prefixes of a URL are digested in one run over
+it, so a URL of any length costs as much as it is long, and its text is not copied along with
+its keys. The join is an equality of digests with a range condition; a host with very many
+captures is only ever on the side of the join that Spark splits.
 
 Defined results: a URL that is NULL or has no host matches nothing and is allowed; a capture
 without a fetch time is evaluated against no interval; an entry with a NULL key, action or
-day is ignored; of several entries for one key on one day, a release goes before a listing,
-so that the listing holds; repeated captures are evaluated alike, each on its own row;
-an empty list allows everything. Domains may have any number of labels; a path deeper than
-``FOLDERS`` is refused.
+day is ignored, and one of another form matches nothing; of several entries for one key on
+one day, a release goes before a listing, so that the listing holds; repeated captures are
+evaluated alike, each on its own row; an empty list allows everything. Domains may have any
+number of labels and paths any number of folders. Columns other than those named are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Folders an entry may have. Deeper entries are refused, so that looking up the paths of a URL
-# up to this depth finds every entry.
-FOLDERS = 20
+from millrace.llm.rows import slices
+
+# Keys that a task hands on at a time.
+_KEYS = 50_000
 
 BLOCK, RELEASE = "block", "release"
 
@@ -42,29 +48,55 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
 
 
-def keys_of(host: Column, path: Column) -> Column:
-    """All keys under which a listed entry may mention the URL."""
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    domains = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda k: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, n - k + 1, k), ".")),
-    )
-    folders = F.split(path, "/")
-    depth = F.size(folders) - 1  # slashes in the path
-    prefixes = F.when(depth > 0, F.transform(
-        F.sequence(F.lit(1), F.least(depth, F.lit(FOLDERS))),
-        lambda k: F.concat(F.lit("path:"), host, F.array_join(F.slice(folders, F.lit(1), k), "/"), F.lit("/")),
-    )).otherwise(F.array().cast("array<string>"))
-    return F.when(host.isNotNull(), F.concat(domains, prefixes, F.array(F.concat(F.lit("host:"), host))))
+def digests_of(host: str, path: str) -> list[bytes]:
+    """Digests of all keys under which an entry may mention the URL.
+
+    Domains are read from their end, so that each is a prefix of the next.
+    """
+    own = hashlib.md5(b"host:" + host.encode())
+    domain, path_run = hashlib.md5(b"domain:"), hashlib.md5(b"path:" + host.encode())
+    out = [own.digest()]
+    for n, label in enumerate(host[::-1].split(".")):
+        domain.update(("." if n else "").encode() + label.encode())
+        out.append(domain.digest())
+    for folder in path.split("/")[:-1]:
+        path_run.update(folder.encode() + b"/")
+        out.append(path_run.digest())
+    return out
+
+
+def digest_of(key: Column) -> Column:
+    """The digest by which an entry's key is looked up."""
+    value = F.reverse(F.substr(key, F.lit(len("domain:") + 1)))
+    return F.unhex(F.md5(F.when(F.startswith(key, F.lit("domain:")), F.concat(F.lit("domain:"), value)).otherwise(key)))
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(page, fetched_on, key) for every key of rows (page, fetched_on, host, path)."""
+    kinds = [("page", pa.binary()), ("fetched_on", pa.date32()), ("key", pa.binary())]
+
+    def batch(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, (_, t) in enumerate(kinds)], names=[n for n, _ in kinds])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for part in slices(batches, "path"):
+            for page, day, host, path in zip(*(part.column(n).to_pylist() for n in ("page", "fetched_on", "host", "path"))):
+                for key in digests_of(host, path or ""):
+                    out.append((page, day, key))
+                    if len(out) == _KEYS:
+                        yield batch(out)
+                        out = []
+        yield batch(out)
+
+    found = rows.filter("host IS NOT NULL AND fetched_on IS NOT NULL").select("page", "fetched_on", "host", "path")
+    return found.mapInArrow(run, "page binary, fetched_on date, key binary")
 
 
 def intervals(entries: DataFrame) -> DataFrame:
     """(key, action, valid_from, valid_to) of entries (key, action, day); open ends are NULL."""
     known = entries.filter("key IS NOT NULL AND action IS NOT NULL AND day IS NOT NULL")
-    folders = F.length("key") - F.length(F.replace(F.col("key"), F.lit("/")))
-    key = F.when(folders > FOLDERS, F.raise_error(F.concat(F.lit("too deep an entry: "), "key"))).otherwise(F.col("key"))
-    known = known.select(key.alias("key"), "action", F.col("day").cast("date").alias("valid_from"))
+    known = known.select("key", "action", F.col("day").cast("date").alias("valid_from"))
     # "block" sorts before "release".
     known = known.groupBy("key", "valid_from").agg(F.min("action").alias("action"))
     following = Window.partitionBy("key").orderBy("valid_from")
@@ -80,33 +112,24 @@ def evaluate(captures: DataFrame, entries: DataFrame, *, capture: str = "page_id
     """
     rows = captures.select(capture, "url", F.col("fetched_on").cast("date").alias("fetched_on"))
     rows = rows.groupBy(capture, "url", "fetched_on").agg(F.count(F.lit(1)).alias("times"))
-    rows = rows.withColumn("host", host_of(F.col("url")))
-    keyed = rows.select(capture, "url", "fetched_on", F.explode(keys_of(F.col("host"), path_of(F.col("url")))).alias("key"))
+    told = F.struct(F.col(capture).cast("string"), F.col("url"), F.col("fetched_on").cast("string"))
+    rows = rows.withColumns({"host": host_of(F.col("url")), "page": F.unhex(F.md5(F.to_json(told)))})
+    keyed = _keyed(rows.withColumn("path", path_of(F.col("url"))))
     # Equal keys of one day are looked up once, whatever the number of captures.
     asked = keyed.select("key", "fetched_on").distinct()
-    valid = intervals(entries).withColumnRenamed("key", "listed")
+    valid = intervals(entries).withColumnRenamed("key", "listed").withColumn("digest", digest_of(F.col("listed")))
     hits = asked.join(
         valid,
-        (F.col("key") == F.col("listed"))
+        (F.col("key") == F.col("digest"))
         & (F.col("valid_from") <= F.col("fetched_on"))
         & (F.col("valid_to").isNull() | (F.col("fetched_on") < F.col("valid_to"))),
-    ).select("key", "fetched_on", "action")
-    found = (
-        keyed.join(hits, ["key", "fetched_on"])
-        .groupBy(capture, "url", "fetched_on")
-        .agg(
-            F.count(F.lit(1)).alias("n_entries"),
-            F.min(
-                F.when(F.col("action") == BLOCK, F.struct((-F.length("key")).alias("l"), F.col("key").alias("k")))
-            ).alias("rule"),
-        )
+    ).select("key", "fetched_on", "action", "listed")
+    blocking = F.when(F.col("action") == BLOCK, F.struct((-F.length("listed")).alias("l"), F.col("listed").alias("k")))
+    found = keyed.join(hits, ["key", "fetched_on"]).groupBy(F.col("page").alias("f_page")).agg(
+        F.count(F.lit(1)).alias("n_entries"), F.min(blocking).alias("rule")
     )
-    names = [capture, "url", "fetched_on"]
-    found = found.select(*[F.col(c).alias(f"f_{c}") for c in names], "n_entries", F.col("rule.k").alias("rule"))
-    match = F.lit(True)
-    for c in names:
-        match = match & F.col(c).eqNullSafe(F.col(f"f_{c}"))
-    out = rows.join(found, match, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    found = found.select("f_page", "n_entries", F.col("rule.k").alias("rule"))
+    out = rows.join(found, F.col("page") == F.col("f_page"), "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
     return out.select(
         capture,
         "host",

@@ -5,7 +5,6 @@ import itertools
 import random
 
 import numpy as np
-import pytest
 from llm_helpers import given
 from pyspark.sql import functions as F
 
@@ -24,14 +23,19 @@ def test_hosts_and_keys(spark):
         (None,),
         ("http:///only/a/path",),
     ]
-    df = spark.createDataFrame(rows, "url string").withColumn("host", urls.host_of(F.col("url")))
-    out = df.select("host", urls.keys_of(F.col("host"), urls.path_of(F.col("url"))).alias("keys")).collect()
+    df = spark.createDataFrame(rows, "url string").select(urls.host_of(F.col("url")).alias("host"), urls.path_of(F.col("url")).alias("path"))
+    out = df.collect()
     assert [r.host for r in out] == ["blog.example.com", "example.com", None, None, None]
-    assert sorted(out[0]["keys"]) == [
+    keys = [
         "domain:blog.example.com", "domain:com", "domain:example.com", "host:blog.example.com",
         "path:blog.example.com/", "path:blog.example.com/a/", "path:blog.example.com/a/b/",
     ]
-    assert out[2]["keys"] is None
+    want = spark.createDataFrame([(k,) for k in keys], "key string").select(urls.digest_of(F.col("key"))).collect()
+    assert sorted(urls.digests_of(out[0].host, out[0].path)) == sorted(bytes(r[0]) for r in want)
+    odd = ["domain:", "domain:.", "domain:.b", "domain:a..b.", "domain:.b.", "domain:b.", "path:a..b.//", "path:a..b./"]
+    got = set(urls.digests_of("a..b.", "//x"))
+    found = {r[0]: bytes(r[1]) in got for r in spark.createDataFrame([(k,) for k in odd], "key string").select("key", urls.digest_of(F.col("key"))).collect()}
+    assert found == {"domain:": True, "domain:.": False, "domain:.b": False, "domain:a..b.": True, "domain:.b.": True, "domain:b.": True, "path:a..b.//": True, "path:a..b./": True}
 
 
 def evaluated(captures, entries):
@@ -75,11 +79,25 @@ def test_against_row_by_row(spark):
     assert urls.evaluate(c.filter("false"), e).count() == 0
 
 
-def test_too_deep_an_entry_is_refused(spark):
-    c = spark.createDataFrame([(1, "http://a.com/", DAY)], "page_id long, url string, fetched_on date")
-    e = spark.createDataFrame([("path:a.com/" + "x/" * 30, "block", DAY)], "key string, action string, day date")
-    with pytest.raises(Exception, match="too deep"):
-        urls.evaluate(c, e).collect()
+def test_deep_entries_and_paths(spark):
+    """Entries of any number of folders are looked up."""
+    rows = [(1, "http://a.com/" + "x/" * 30 + "page", DAY), (2, "http://a.com/" + "x/" * 24 + "y", DAY)]
+    c = spark.createDataFrame(rows, "page_id long, url string, fetched_on date")
+    entries = [("path:a.com/" + "x/" * n, "block", DAY) for n in (0, 24, 25, 30, 31)]
+    e = spark.createDataFrame(entries, "key string, action string, day date")
+    got = {r.page_id: (r.n_entries, r.rule) for r in urls.evaluate(c, e).collect()}
+    assert got == {1: (4, "path:a.com/" + "x/" * 30), 2: (2, "path:a.com/" + "x/" * 24)}
+
+
+def test_a_very_long_url_costs_its_length(spark):
+    labels, folders = "l." * 60_000 + "com", "f/" * 60_000
+    rows = [(1, f"http://{labels}/{folders}", DAY), (2, f"http://{labels}/", DAY), (None, f"http://{labels}/", DAY)]
+    c = spark.createDataFrame(rows, "page_id long, url string, fetched_on date")
+    entries = [(f"domain:{labels[2:]}", "block", DAY), (f"path:{labels}/{folders}", "block", DAY), ("domain:com", "release", DAY)]
+    e = spark.createDataFrame(entries, "key string, action string, day date")
+    got = {r.page_id: (r.n_entries, r.rule) for r in urls.evaluate(c, e).collect()}
+    assert got == {1: (3, entries[1][0]), 2: (2, entries[0][0]), None: (2, entries[0][0])}
+    assert len(urls.digests_of(labels, "/" + folders)) == 1 + 60_001 + 60_001
 
 
 def test_hosts_of_many_labels(spark):
