@@ -23,6 +23,7 @@ empty table gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,14 +108,18 @@ def signature(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
 
 
 def _features(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n_shingles, class, signature) of every row; class NULL for an empty set."""
+    """(doc_id, n_shingles, class, signature, digest) of every row; class NULL for an empty set.
+
+    The digest of the text tells rows of one id apart, also where there is none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _functions(settings)
         for batch in slices(batches, "text"):
-            sizes, classes, signatures = [], [], []
-            for text in batch.column("text"):
-                values = shingle_set(text.as_py(), settings.shingle)
+            sizes, classes, signatures, digests = [], [], [], []
+            for text in batch.column("text").to_pylist():
+                values = shingle_set(text, settings.shingle)
+                digests.append(hashlib.md5((text or "").encode()).digest())
                 sizes.append(len(values))
                 classes.append(_class_of(values) if len(values) else None)
                 signatures.append(signature(values, factors).tobytes() if len(values) else None)
@@ -124,13 +129,14 @@ def _features(docs: DataFrame, settings: Settings) -> DataFrame:
                     pa.array(sizes, pa.int64()),
                     pa.array(classes, pa.int64()),
                     pa.array(signatures, pa.binary()),
+                    pa.array(digests, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "class", "signature"],
+                names=["doc_id", "n_shingles", "class", "signature", "digest"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, class long, signature binary"
+        run, f"doc_id {kind}, n_shingles long, class long, signature binary, digest binary"
     )
 
 
@@ -228,9 +234,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
 
 
 def _representatives(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """(class, text, sketch) of one document of each class; ``classes`` has class and rep.
-
-    A repeated id may stand for several texts, so the text is checked to be of the class.
+    """(class, text, sketch) of one document of each class; ``classes`` has class and place,
+    the id and the digest of that document. An id alone may be missing or stand for many texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +249,9 @@ def _representatives(docs: DataFrame, classes: DataFrame, settings: Settings) ->
             rows = with_columns(batch, sketch=pa.array(sketches, pa.binary()))
             yield rows.filter(pa.array(same, pa.bool_()))
 
-    rows = docs.select("doc_id", "text").join(classes, F.col("doc_id").eqNullSafe(F.col("rep")))
+    rows = docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("digest"))
+    here = F.col("doc_id").eqNullSafe(F.col("place.doc_id")) & (F.col("digest") == F.col("place.digest"))
+    rows = rows.join(classes, here)
     found = rows.select("class", "text").mapInArrow(run, "class long, text string, sketch binary")
     return found.dropDuplicates(["class"])
 
@@ -369,11 +376,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     classes = (
         features.filter("class IS NOT NULL")
         .groupBy("class")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+        .agg(F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "digest")).alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
         .transform(durable)
     )
     regions = _regions(_orders(classes, settings), settings).transform(durable)
-    near = regions.select("class").distinct().join(classes.select("class", "rep"), "class")
+    near = regions.select("class").distinct().join(classes.select("class", "place"), "class")
     texts = _representatives(docs, near, settings).transform(durable)
 
     first = _confirmed(_closest(regions, settings), texts, settings).transform(durable)

@@ -233,3 +233,28 @@ def test_traversal_is_in_order_of_cost():
     cells = multi_index.traversal(one, two, 35)
     costs = [one[c // 5] + two[c % 5] for c in cells]
     assert sorted(cells) == list(range(35)) and costs == sorted(costs)
+
+
+def test_small_labels_have_a_grid_too(spark):
+    rows = [(i, v.tolist(), i % 3) for i, v in enumerate(pairs_beside_a_group(20, 30))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    classes = df.selectExpr("vec_id AS node", "embedding AS vector")
+    index = multi_index.build(classes, len(rows), 24, 64, multi_index.Settings())
+    assert all(len(np.unique(own)) > 1 for own in index.groups)
+    links, roots = brute_vectors(rows, 0.93)
+    got = {r.vec_id: r for r in multi_index.near_duplicates(df).collect()}
+    assert sum(links) > 0 and all((got[i].n_links, got[i].component_id) == (links[i], roots[i]) for i in range(len(rows)))
+
+
+def test_very_many_rows_without_an_id(spark):
+    """Rows without an id, or with one id for all, are not joined with one another."""
+    text = "concat('word', id, ' and more of number ', id * 7, ' in text ', id % 13)"
+    for name in ("CAST(NULL AS LONG)", "CAST(5 AS LONG)"):
+        docs = spark.range(20_000).selectExpr(f"{name} AS doc_id", f"{text} AS text")
+        docs = docs.unionByName(docs.limit(50))
+        settings = minhash.Settings()
+        features = minhash._features(docs, settings)
+        classes = features.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("place"))
+        assert minhash._representatives(docs, classes, settings).count() == 20_000
+        out = minhash.near_duplicates(docs, settings)
+        assert out.count() == 20_050 and out.filter("kept").count() == 20_050
