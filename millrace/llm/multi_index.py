@@ -42,13 +42,13 @@ BLOCK_VISITORS = 2048
 class Settings:
     """``fit_rows`` classes (about) train the codebooks. Codebooks have a codeword pair for about
     ``grid_rows`` classes, up to ``most_codewords`` in each half. A cell holds about
-    ``cell_rows`` classes of the largest label, with up to ``most_groups`` groups in each half."""
+    ``cell_rows`` classes of the largest label, with two to ``most_groups`` groups in each half."""
 
     threshold: float = 0.93
     fit_rows: int = 10_000
     grid_rows: int = 256
     most_codewords: int = 256
-    cell_rows: int = 2048
+    cell_rows: int = 512
     most_groups: int = 16
     iterations: int = 10
     seed: int = 3
@@ -153,7 +153,7 @@ def build(classes: DataFrame, n: int, largest: int, width: int, settings: Settin
     if not found:  # the draw came out empty
         found = _in_one(classes.limit(100)).applyInPandas(fit, "half int, size int, book binary").collect()
     books = [np.frombuffer(r.book).reshape(r.size, -1) for r in sorted(found, key=lambda r: r.half)]
-    g = min(settings.most_groups, max(1, round(math.sqrt(largest / settings.cell_rows))))
+    g = min(settings.most_groups, max(2, round(math.sqrt(largest / settings.cell_rows))))
     # Groups are numbered without gaps.
     near = [_squared(book, _kmeans(book, g, settings)).argmin(1) for book in books]
     return Index(books, [np.unique(own, return_inverse=True)[1] for own in near])

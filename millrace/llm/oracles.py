@@ -94,6 +94,28 @@ FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 5
 """
 
+MULTI_INDEX = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS one, b.vec_id AS two FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reach AS (
+    SELECT vec_id AS one, vec_id AS two FROM embeddings
+    UNION
+    SELECT r.one, l.two FROM reach r JOIN links l ON r.two = l.one
+),
+least AS (SELECT one, min(two) AS component_id FROM reach GROUP BY one),
+counts AS (SELECT one, count(*) AS n_links FROM links GROUP BY one)
+SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.one = e.vec_id LEFT JOIN counts c ON c.one = e.vec_id
+"""
+
 
 def mixing(mix, domains: dict[str, list[str]], other: str) -> str:
     """The whole mix over documents: budgets level by level, then one window per leaf."""

@@ -234,6 +234,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_mixing": oracles.mixing(MIX, DOMAINS, OTHER_DOMAIN),
     "op4_url_filters": oracles.URL_FILTERS,
+    "op10_multi_index": oracles.MULTI_INDEX,
     "op11_warc": oracles.WARC,
     "op12_hard_negatives": oracles.HARD_NEGATIVES,
 }
