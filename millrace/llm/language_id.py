@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.rows import durable
+from millrace.llm.rows import durable, slices
 
 UNKNOWN = "und"
 
@@ -120,18 +120,24 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def _sample(train: DataFrame, settings: Settings) -> DataFrame:
-    sizes = {r.lang: r.n for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(settings.max_languages + 1).collect()}
-    if len(sizes) > settings.max_languages:
-        raise ValueError(f"more than {settings.max_languages} languages")
-    draw = F.pmod(F.xxhash64(F.lit(settings.seed), F.col("id")), F.lit(1_000_000_000))
+    """About ``fit_rows`` different texts of each of the ``max_languages`` most frequent languages.
+
+    Texts are drawn by their content, so ids need not tell rows apart, and a repeated text is
+    drawn once.
+    """
+    content = F.xxhash64(F.lit(settings.seed), "text")
+    sizes = train.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(content).alias("texts"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(settings.max_languages).collect()
     rate = F.lit(0)
-    for lang, n in sizes.items():
-        rate = F.when(F.col("lang") == lang, F.lit(math.ceil(1e9 * min(1.0, settings.fit_rows / n)))).otherwise(rate)
-    return train.filter(draw < rate)
+    for row in sizes:
+        share = min(1.0, settings.fit_rows / max(1, row.texts))
+        rate = F.when(F.col("lang") == row.lang, F.lit(math.ceil(1e9 * share))).otherwise(rate)
+    drawn = train.filter(F.pmod(content, F.lit(1_000_000_000)) < rate)
+    return drawn.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("times")).select("lang", "text")
 
 
 def _vectorise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches, "text"):
         langs, where, values = [], [], []
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
             counts = gram_counts(text.as_py())
