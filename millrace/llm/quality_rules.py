@@ -169,9 +169,12 @@ def labelled(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     share = min(1.0, settings.fit_rows / max(1, known.count()))
-    draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000))
-    known = known.filter(draw < int(share * 1_000_000))
+    draw = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000_000))
+    known = known.filter(draw < math.ceil(share * 1_000_000_000))
     picked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # Of the texts of a repeated id one counts, so the labels bound the sample.
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    picked = picked.groupBy("doc_id").agg(one, F.min("quality").alias("quality"))
     third = F.pmod(F.xxhash64(F.lit("prune"), "doc_id"), F.lit(3)) == 0
     rows = picked.select(
         (F.col("quality") == 0).alias("bad"), third.alias("prune"), statistics(F.col("text")).alias("s")

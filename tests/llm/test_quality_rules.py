@@ -71,3 +71,12 @@ def test_main_path_is_native(spark):
     docs, labels = given(spark, "documents"), given(spark, "labels")
     plan = qr.judge(docs, labels)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_the_sample_is_bounded_and_never_empty(spark):
+    """Of a repeated id one text counts, and a small share of very many labels is not rounded to none."""
+    docs = spark.range(4000).selectExpr("IF(id < 2000, 1, id) AS doc_id", "concat('some words of text ', id) AS text")
+    labels = spark.range(4000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    assert qr.labelled(docs, labels, qr.Settings(fit_rows=10**6)).count() == 2001
+    few = qr.labelled(docs, labels, qr.Settings(fit_rows=400)).count()
+    assert 100 < few < 400
