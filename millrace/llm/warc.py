@@ -558,6 +558,7 @@ class _Reader(DataSourceReader):
         if self.mode not in ("none", "verify", "bytes"):
             raise ValueError(f"payload is none, verify or bytes, not {self.mode}")
         self.size, self.filters = int(options.get("partitionbytes", PARTITION_BYTES)), []
+        self.tasks = int(options.get("tasks", 1))
 
     def pushFilters(self, filters: list[Filter]):
         for f in filters:
@@ -579,12 +580,16 @@ class _Reader(DataSourceReader):
             if re.fullmatch(r"_files-[0-9a-f]{32}\.json", f.base_name):
                 with store.open_input_stream(f.path, compression=None) as file:
                     listed.update(json.loads(file.read()))
-        out, held = [], 0
-        for f in sorted(found, key=lambda f: f.path):
+        def wanted(f: fs.FileInfo) -> bool:
             own = re.fullmatch(r"part-[0-9a-f]{32}-[0-9a-f]{32}\.warc\.gz", f.base_name)
-            if not re.search(r"\.warc(\.gz)?$", f.base_name) or f.base_name[0] in "_." or (own and f.base_name not in listed):
-                continue
-            if not out or held + f.size > self.size:
+            return bool(re.search(r"\.warc(\.gz)?$", f.base_name)) and f.base_name[0] not in "_." and (not own or f.base_name in listed)
+
+        found = sorted(filter(wanted, found), key=lambda f: f.path)
+        # Few bytes are spread over the tasks that can run at once.
+        most = min(self.size, -(-sum(f.size for f in found) // self.tasks))
+        out, held = [], 0
+        for f in found:
+            if not out or held + f.size > most:
                 out.append(_Part([]))
                 held = 0
             out[-1].files.append(f.path)
@@ -607,7 +612,7 @@ class _Reader(DataSourceReader):
 
 
 class WarcSource(DataSource):
-    """``spark.read.format("warc")`` with the options path, payload and partitionBytes, and
+    """``spark.read.format("warc")`` with the options path, payload, partitionBytes and tasks, and
     ``df.write.format("warc").mode("append")`` with path, level, fileBytes and date."""
 
     @classmethod
@@ -648,6 +653,7 @@ def read_records(spark: SparkSession, path: str, payload: str = "none", **option
     """The records of an archive or of all archives below a folder."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
+    options = {"tasks": spark.sparkContext.defaultParallelism} | options
     return spark.read.format("warc").options(payload=payload, **{k: str(v) for k, v in options.items()}).load(_qualified(spark, path))
 
 

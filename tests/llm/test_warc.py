@@ -182,8 +182,9 @@ def test_partitions_hold_about_equal_bytes(spark, tmp_path):
     os.makedirs(tmp_path / "w")
     for i in range(9):
         (tmp_path / "w" / f"{i}.warc").write_bytes(plain(f"urn:{i}", b"x" * 1000))
-    df = warc.read_records(spark, str(tmp_path / "w"), partitionBytes=2500)
+    df = warc.read_records(spark, str(tmp_path / "w"), partitionBytes=2500, tasks=1)
     assert df.rdd.getNumPartitions() == 5 and df.count() == 9
+    assert warc.read_records(spark, str(tmp_path / "w"), tasks=3).rdd.getNumPartitions() == 3
     os.makedirs(tmp_path / "none")
     assert warc.read_records(spark, str(tmp_path / "none")).count() == 0
 
