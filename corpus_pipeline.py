@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import byte_bpe, language_id, minhash, mixing, quality_rules
 from millrace.llm.queries import MIX, RANKS, WORD_COUNT, with_domain
+from millrace.storage import new_dir
 
 # Every document is used once at most, so that mixing repeats none.
 PIPELINE_MIX = mixing.Mix(MIX.levels, MIX.weights, budget_percent=80, max_epochs=1, seed=MIX.seed)
@@ -61,8 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over the documents table.
+
+    What a stage keeps is written below the shared folder and read again by the next one, so
+    no stage runs twice, whatever reads its rows or is lost after it.
+    """
+    docs, out = spark.read.parquet(f"{sf_dir}/documents.parquet"), new_dir(spark, "pipeline")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{out}/{name}")
+        docs = spark.read.parquet(f"{out}/{name}")
     return docs
