@@ -19,6 +19,8 @@ from catalogue.queries import (
     EMPTY_LAST,
     EVENT_VALUE_COLUMNS,
     FIRST_DAY,
+    HOLE_FIRST,
+    HOLE_LAST,
     LAST_DAY,
     PLACE,
     WORD,
@@ -433,3 +435,16 @@ ORACLES: dict[str, str] = {
 }
 ORACLES["q09_named_chain"] = ORACLES["q09_published_tables"]
 ORACLES["q14_stream_metrics"] = ORACLES["q14_rule_metrics"]
+ORACLES["q05_gap_ranges"] = (
+    _with(_CALENDAR)
+    + f""", missing AS (
+        SELECT slot FROM calendar WHERE slot NOT IN (
+            SELECT {_SLOT} FROM events WHERE CAST(ts AS DATE) NOT BETWEEN DATE '{HOLE_FIRST}' AND DATE '{HOLE_LAST}')),
+    runs AS (SELECT slot, slot - row_number() OVER (ORDER BY slot) * INTERVAL '15 minutes' AS run FROM missing)
+    SELECT min(slot) AS first, max(slot) AS last, count(*) AS n FROM runs GROUP BY run"""
+)
+ORACLES["q24_mentions_all_places"] = _with(_ACTIVITY, _FEED, _SILVER_EVENTS, _EDITS, _SILVER_EDITS) + f"""
+    SELECT p.country, CAST(e.event_timestamp AS DATE) AS date, count(*) AS edit_count
+    FROM ({_PLACE_LIST}) p JOIN silver_edits e ON e.title LIKE '%' || p.country || '%'
+    WHERE p.country IS NOT NULL AND CAST(e.event_timestamp AS DATE) BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'
+    GROUP BY 1, 2"""

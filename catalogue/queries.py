@@ -12,7 +12,7 @@ from catalogue import adapters as A
 from millrace.functions.table_functions import register_table_functions
 from millrace.functions.times import epoch_to_timestamp, yyyymmdd_to_date
 from millrace.operators import cleaning, masking, quality
-from millrace.plans import marts, sql
+from millrace.plans import marts, mentions, sql
 from millrace.schemas import (
     CORRUPT,
     EDIT_FILLED,
@@ -22,7 +22,7 @@ from millrace.schemas import (
     EVENT_FILLED,
     RESCUED,
 )
-from millrace.sources import archives, intervals, readers, replay, sinks, sse
+from millrace.sources import archives, gap_ranges, intervals, readers, replay, sinks, sse
 from millrace.storage import new_dir
 from millrace.streaming import medallion, minutes, named
 
@@ -172,6 +172,20 @@ def q05_landing_gaps_files(spark, sf_dir):
     return intervals.gaps(_calendar(spark, sf_dir), landed).select("stamp")
 
 
+# Days of which no delivery counts as landed, so that there is a long hole too.
+HOLE_FIRST, HOLE_LAST = "2024-01-08", "2024-01-11"
+
+
+@query
+def q05_gap_ranges(spark, sf_dir):
+    """Missing deliveries as ranges, with a hole of days among single slots."""
+    slot = intervals.slot_of(F.col("ts"))
+    events = A.table(spark, sf_dir, "events")
+    bounds = events.agg(F.min(slot).alias("start"), F.max(slot).alias("end"))
+    hole = F.to_date("ts").between(F.lit(HOLE_FIRST).cast("date"), F.lit(HOLE_LAST).cast("date"))
+    return gap_ranges.gap_ranges(bounds, events.filter(~hole).select(slot.alias("slot")))
+
+
 def _unpacked(spark, sf_dir, label) -> DataFrame:
     folder = A.land_archives(A.events_feed(spark, sf_dir), new_dir(spark, label))
     return archives.unzip(archives.read_archives(spark, folder))
@@ -533,6 +547,12 @@ def q24_daily_mentions_sql(spark, sf_dir):
     return sql.sql_daily_mentions(spark, "q24_edits", WORD, FIRST_DAY, LAST_DAY)
 
 
+@query
+def q24_mentions_all_places(spark, sf_dir):
+    places = marts.place_list(_silver_events(spark, sf_dir))
+    return mentions.mentions_by_place(_silver_edits(spark, sf_dir), places, FIRST_DAY, LAST_DAY)
+
+
 @query
 def q25_totals(spark, sf_dir):
     events, edits = _silver_events(spark, sf_dir), _silver_edits(spark, sf_dir)
