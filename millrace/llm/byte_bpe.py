@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.rows import slices, with_columns
+from millrace.llm.rows import slices, unused, with_columns
 
 # Longest text handed to the library's pattern engine at once.
 SEGMENT_CHARS = 50_000
@@ -88,23 +88,23 @@ def encode(
     df: DataFrame, rank_file: str, pattern: str, *, text: str = "text", ids: str = "ids"
 ) -> DataFrame:
     """Replace the text column by ``ids``, the array of its token ids."""
+    hidden = unused("_text", df.columns)
 
     def run(batches):
-        for batch in slices(batches, "_text"):
+        for batch in slices(batches, hidden):
             arrays = [
-                encode_text(t or "", rank_file, pattern) for t in batch.column("_text").to_pylist()
+                encode_text(t or "", rank_file, pattern) for t in batch.column(hidden).to_pylist()
             ]
             ends = np.cumsum([0] + [len(a) for a in arrays], dtype=np.int32)
             flat = np.concatenate(arrays).astype(np.int32)
             column = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            rest = batch.drop_columns(["_text"])
+            rest = batch.drop_columns([hidden])
             yield with_columns(rest, **{ids: column})
 
-    source = df.withColumnRenamed(text, "_text")
-    kept, schema = _fields(source, T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))]))
-    schema = T.StructType([f for f in schema if f.name != "_text"])
-    kept = [F.col(f"`{c}`") for c in kept if c != "_text"]
-    return source.select(*kept, "_text").mapInArrow(run, schema)
+    others = df.drop(F.col(f"`{text}`"))
+    kept, schema = _fields(others, T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    columns = [F.col(f"`{c}`") for c in kept]
+    return df.select(*columns, F.col(f"`{text}`").alias(hidden)).mapInArrow(run, schema)
 
 
 def decode(
@@ -134,8 +134,9 @@ def decode(
 def digests(df: DataFrame, *, ids: str = "ids", decoded: str = "decoded", keep_ids: bool = False) -> DataFrame:
     """Replace ids (unless kept) and bytes by their number and their SHA-256 in lower-case hex."""
     words = F.array_join(F.col(ids).cast("array<string>"), " ")
+    gone = {decoded.lower(), "n_tokens", "ids_sha256", "decoded_sha256"} | (set() if keep_ids else {ids.lower()})
     return df.select(
-        *[F.col(f"`{c}`") for c in df.columns if c != decoded and (keep_ids or c != ids)],
+        *[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone],
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(words.cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col(decoded), 256).alias("decoded_sha256"),

@@ -16,7 +16,10 @@ second ``continues``.
 Defined results: NULL text is one empty line; NULL conversation ids form a conversation;
 lines equal in every order column keep any order, being alike to the model or equal; of
 equally likely paths the one through lower states is taken; an empty table gives an empty
-table; unlabelled rows, and roles beside ``ROLES``, teach nothing.
+table; unlabelled rows, and roles beside ``ROLES``, teach nothing; repeated rows teach once,
+and of several rows of one turn the least role counts as the one before the next turn. Other
+columns, whatever their names, have no effect and are not in the result of ``recover``; a
+column named like a feature is replaced by ``with_features``.
 """
 
 from __future__ import annotations
@@ -74,7 +77,7 @@ def with_features(lines: DataFrame) -> DataFrame:
     size = F.length(text)
     length = sum(((size > limit).cast("int") for limit in (0, 60, 160, 400)), F.lit(0))
     return lines.select(
-        "*",
+        *[F.col(f"`{c}`") for c in lines.columns if c.lower() not in _FEATURES],
         marker.alias("marker"),
         F.endswith(F.rtrim(text), F.lit("?")).cast("int").alias("asks"),
         length.alias("length"),
@@ -101,8 +104,9 @@ def learn(turns: DataFrame, settings: Settings = Settings()) -> Model:
     """Count a sample of labelled transcript turns (conv_id, turn, role, text with markers)."""
     known = turns.filter(F.col("role").isin(*ROLES) & F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
     rate = min(1.0, settings.fit_rows / max(1, known.count()))
-    draw = F.pmod(F.xxhash64(F.lit("fit"), "conv_id", "turn"), F.lit(1_000_000_000)) < math.ceil(1e9 * rate)
-    sample = known.filter(draw).select("conv_id", "turn", "role", "text").transform(durable)  # bounded
+    row = ["conv_id", "turn", "role", "text"]
+    draw = F.pmod(F.xxhash64(F.lit("fit"), *row), F.lit(1_000_000_000)) < math.ceil(1e9 * rate)
+    sample = known.filter(draw).select(*row).distinct().transform(durable)  # bounded
     lines = with_features(split_lines(sample))
     role = sum((F.when(F.col("role") == r, F.lit(2 * i)).otherwise(0) for i, r in enumerate(ROLES)), F.lit(0))
     state = role + (F.col("line") > 0).cast("int")
@@ -121,7 +125,10 @@ def learn(turns: DataFrame, settings: Settings = Settings()) -> Model:
         step[s, s + 1] += r.two
         step[s + 1, s + 1] += r["all"] - r.n - r.two
     # Between turns: a sampled turn and the one before it.
-    before = known.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("last"), (sizes > 1).alias("long"))
+    # One before each, also where a turn was given several times.
+    before = known.select("conv_id", (F.col("turn") + 1).alias("turn"), F.struct(F.col("role").alias("last"), (sizes > 1).alias("long")).alias("p"))
+    before = before.join(sample.select("conv_id", "turn").distinct(), ["conv_id", "turn"])
+    before = before.groupBy("conv_id", "turn").agg(F.min("p").alias("p")).select("conv_id", "turn", "p.*")
     pairs = sample.select("conv_id", "turn", "role").join(before, ["conv_id", "turn"], "left")
     for r in pairs.groupBy("last", "long", "role").count().collect():
         s = 2 * ROLES.index(r.role)
@@ -253,7 +260,7 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
     One row per turn and chunk: conv_id, chunk, n, role, continues, text, n_lines, and
     n_right, the lines whose ``truth`` is the recovered role.
     """
-    rows = with_features(lines).withColumn("chunk", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK_TURNS).cast("long"))
+    rows = with_features(lines.select("conv_id", "turn", "line", "text", "truth")).withColumn("chunk", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK_TURNS).cast("long"))
     kind = lines.schema["conv_id"].dataType.simpleString()
     conv_kind = to_arrow_type(lines.schema["conv_id"].dataType)
     features = list(_FEATURES)

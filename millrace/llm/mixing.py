@@ -16,12 +16,13 @@ ordered.
 Defined results: a NULL level value is a node of its own; NULL token counts count 0 and
 negative ones are refused; rows with equal ids share their place in the order and are
 taken or left together; an empty table and a budget of 0 give no rows; columns beside the
-named ones are kept.
+named ones are kept, whatever their names, but for ``copies``, which is replaced; levels of
+``mix`` may have any names.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -195,13 +196,16 @@ def mix(docs: DataFrame, spec: Mix) -> DataFrame:
     A document that is not taken is left out; one taken in full passes and in the prefix
     has ``copies`` above 1.
     """
+    # Levels under names of our own: theirs may be those of amounts.
+    named = {f"{_OWN}level{i}": F.col(f"`{c}`") for i, c in enumerate(spec.levels)}
+    spec = replace(spec, levels=tuple(named))
     sizes = docs.select(
         "doc_id",
-        *spec.levels,
+        *[column.alias(c) for c, column in named.items()],
         F.expr("IF(n_tokens < 0, raise_error('negative token count'), COALESCE(n_tokens, 0))").cast("long").alias("n_tokens"),
     ).transform(durable)
     plans, few = _cuts(sizes, spec)
-    placed = _placed(docs, plans, spec, few)
+    placed = _placed(docs.withColumns(named), plans, spec, few)
     own = {c: F.col(f"{_OWN}{c}") for c in ("slice", "end_slice", "key", "last_key", "last_id", "passes")}
     at_end = own["slice"] == own["end_slice"]
     # NULL ids come first in an ascending order.
@@ -215,5 +219,5 @@ def mix(docs: DataFrame, spec: Mix) -> DataFrame:
         .otherwise(at_end & F.coalesce(upto_last, F.lit(False)))
     )
     copies = (own["passes"] + inside.cast("long")).cast("long")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "copies"]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "copies"]
     return placed.select(*kept, copies.alias("copies")).filter(F.col("copies") > 0)

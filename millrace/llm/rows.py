@@ -37,6 +37,14 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     )
 
 
+def unused(name: str, columns: Iterable[str]) -> str:
+    """``name``, with underscores before it as long as a column has that name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder at once, so that lost executors cost no history.
 

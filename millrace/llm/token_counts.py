@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from millrace.llm.rows import slices, with_columns
+from millrace.llm.rows import slices, unused, with_columns
 
 # Chunks whose counts a worker remembers; the memory is emptied when it is full.
 REMEMBERED = 400_000
@@ -213,14 +213,15 @@ def count_texts(vocab: Vocabulary, texts: list[str | None], known: dict[bytes, i
 
 def count_tokens(df: DataFrame, path: str, *, text: str = "text", limit: int = 2048) -> DataFrame:
     """Replace the text column by n_bytes, n_tokens and over_limit (n_tokens > limit)."""
+    hidden = unused("_text", df.columns)
 
     def run(batches):
         vocab, known = vocabulary(path), {}
-        for batch in slices(batches, "_text"):
-            texts = batch.column("_text").to_pylist()
+        for batch in slices(batches, hidden):
+            texts = batch.column(hidden).to_pylist()
             counts = np.array(count_texts(vocab, texts, known), np.int64)
             yield with_columns(
-                batch.drop_columns(["_text"]),
+                batch.drop_columns([hidden]),
                 n_bytes=pa.array([len((t or "").encode()) for t in texts], pa.int64()),
                 n_tokens=pa.array(counts),
                 over_limit=pa.array(counts > limit),
@@ -230,5 +231,5 @@ def count_tokens(df: DataFrame, path: str, *, text: str = "text", limit: int = 2
     taken = {text.lower()} | {n for n, _ in new}
     kept = [f for f in df.schema if f.name.lower() not in taken]
     schema = T.StructType(kept + [T.StructField(n, t) for n, t in new])
-    columns = [F.col(f"`{f.name}`") for f in kept] + [F.col(text).alias("_text")]
+    columns = [F.col(f"`{f.name}`") for f in kept] + [F.col(f"`{text}`").alias(hidden)]
     return df.select(*columns).mapInArrow(run, schema)
