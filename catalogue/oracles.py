@@ -22,6 +22,7 @@ from catalogue.queries import (
     HOLE_FIRST,
     HOLE_LAST,
     LAST_DAY,
+    NOT_RENEWED,
     PLACE,
     WORD,
 )
@@ -448,3 +449,46 @@ ORACLES["q24_mentions_all_places"] = _with(_ACTIVITY, _FEED, _SILVER_EVENTS, _ED
     FROM ({_PLACE_LIST}) p JOIN silver_edits e ON e.title LIKE '%' || p.country || '%'
     WHERE p.country IS NOT NULL AND CAST(e.event_timestamp AS DATE) BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'
     GROUP BY 1, 2"""
+
+
+ORACLES["q06_replaced_member"] = _WITH_FEED.replace("FROM activity)", ", event_id FROM activity)") + f"""
+    SELECT CASE WHEN old THEN 0 ELSE Global_Event_ID END AS Global_Event_ID,
+           CASE WHEN NOT old THEN Event_Code END AS Event_Code,
+           CASE WHEN NOT old THEN Action_Geo_FullName END AS Action_Geo_FullName
+    FROM (SELECT *, substr({_ARCHIVE}, 11, 2) = '{NOT_RENEWED}' AS old FROM feed)"""
+
+
+def _spikes(daily: str, threshold: int) -> str:
+    """CTEs that end in ``<daily>_rose`` for a CTE (place, d, n)."""
+    return f"""{daily}_before AS (
+        SELECT a.place, a.d, coalesce(p.n, 0) AS v
+        FROM {daily} a CROSS JOIN generate_series(1, 14) k(k)
+        LEFT JOIN {daily} p ON p.place = a.place AND p.d = a.d - CAST(k.k AS INTEGER)
+        WHERE a.d - CAST(k.k AS INTEGER) >= (SELECT min(d) FROM {daily})),
+    {daily}_middle AS (
+        SELECT place, d, median(v) AS m FROM {daily}_before GROUP BY ALL HAVING count(*) >= 5),
+    {daily}_apart AS (
+        SELECT x.place, x.d, x.m, median(abs(y.v - x.m)) AS apart
+        FROM {daily}_middle x JOIN {daily}_before y ON x.place = y.place AND x.d = y.d GROUP BY ALL),
+    {daily}_rose AS (
+        SELECT s.*, r.m, r.apart, coalesce(s.n - r.m >= {threshold} * greatest(r.apart, 1), FALSE) AS rose
+        FROM {daily} s LEFT JOIN {daily}_apart r ON s.place = r.place AND s.d = r.d)"""
+
+
+_BOTH_SILVER = _with(_ACTIVITY, _FEED, _SILVER_EVENTS, _EDITS, _SILVER_EDITS)
+ORACLES["q30_spike_lags"] = f"""{_BOTH_SILVER},
+    news AS (SELECT 0 AS place, CAST(event_timestamp AS DATE) AS d, count(*) AS n
+             FROM silver WHERE event_timestamp IS NOT NULL GROUP BY ALL),
+    wiki AS (SELECT 0 AS place, CAST(event_timestamp AS DATE) AS d, count(*) AS n
+             FROM silver_edits WHERE event_timestamp IS NOT NULL GROUP BY ALL),
+    {_spikes("news", 1)}, {_spikes("wiki", 1)}
+    SELECT CAST(k.k AS INTEGER) AS lag, round(corr(a.n, b.n), 6) AS r, count(*) AS n_days,
+           count(*) FILTER (a.rose) AS event_spikes, count(*) FILTER (a.rose AND b.rose) AS answered
+    FROM generate_series(-3, 3) k(k) CROSS JOIN news_rose a
+    JOIN wiki_rose b ON b.d = a.d + CAST(k.k AS INTEGER) GROUP BY 1"""
+ORACLES["q30_place_spikes"] = f"""{_WITH_SILVER},
+    news AS (SELECT Action_Geo_FullName AS place, CAST(event_timestamp AS DATE) AS d, count(*) AS n
+             FROM silver WHERE event_timestamp IS NOT NULL GROUP BY ALL),
+    {_spikes("news", 3)}
+    SELECT place AS country, d AS date, n AS event_count, m AS median, apart AS deviation, rose AS is_spike
+    FROM news_rose"""

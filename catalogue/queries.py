@@ -12,7 +12,7 @@ from catalogue import adapters as A
 from millrace.functions.table_functions import register_table_functions
 from millrace.functions.times import epoch_to_timestamp, yyyymmdd_to_date
 from millrace.operators import cleaning, masking, quality
-from millrace.plans import marts, mentions, sql
+from millrace.plans import marts, mentions, spikes, sql
 from millrace.schemas import (
     CORRUPT,
     EDIT_FILLED,
@@ -20,11 +20,12 @@ from millrace.schemas import (
     EDIT_STRUCTS,
     EVENT_DROPPED,
     EVENT_FILLED,
+    EVENT_SCHEMA,
     RESCUED,
 )
 from millrace.sources import archives, gap_ranges, intervals, readers, replay, sinks, sse
 from millrace.storage import new_dir
-from millrace.streaming import medallion, minutes, named
+from millrace.streaming import medallion, minutes, named, replaced
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,6 +65,7 @@ WORD = "NATION_1"
 FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-20"
 EMPTY_FIRST, EMPTY_LAST = "1999-01-01", "1999-01-31"
 AUDITORS = "compliance_auditors"
+NOT_RENEWED = "15"  # minute of the members that come once
 
 
 def query(fn: Query) -> Query:
@@ -209,6 +211,19 @@ def q06_member_store(spark, sf_dir):
     )
 
 
+@query
+def q06_replaced_member(spark, sf_dir):
+    """Bronze behind a member store, of which all but some members are delivered anew."""
+    lines = archives.members(_unpacked(spark, sf_dir, "q06m-raw"))
+    store, out = new_dir(spark, "q06m-members"), new_dir(spark, "q06m")
+    bronze = replaced.ReplaceableTable(out, readers.read_events, EVENT_SCHEMA, mirror=True)
+    sinks.write_members(lines.withColumn("value", F.lit("0\tsuperseded")), store)
+    bronze.take_up(spark, store)
+    sinks.write_members(lines.filter(F.substring("member", 11, 2) != NOT_RENEWED), store)
+    bronze.take_up(spark, store)
+    return bronze.current(spark).select("Global_Event_ID", "Event_Code", "Action_Geo_FullName")
+
+
 @query
 def q06_unreadable_archives(spark, sf_dir):
     bad = archives.unreadable_archives(_unpacked(spark, sf_dir, "q06u-raw"))
@@ -598,6 +613,16 @@ def q30_daily_correlation(spark, sf_dir):
     return marts.daily_correlation(_silver_events(spark, sf_dir), _silver_edits(spark, sf_dir))
 
 
+@query
+def q30_spike_lags(spark, sf_dir):
+    return spikes.spike_lags(_silver_events(spark, sf_dir), _silver_edits(spark, sf_dir), threshold=1)
+
+
+@query
+def q30_place_spikes(spark, sf_dir):
+    return spikes.place_spikes(_silver_events(spark, sf_dir))
+
+
 # --- table functions, streaming counts, odd rows --------------------------------------
 
 
