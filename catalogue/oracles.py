@@ -492,3 +492,12 @@ ORACLES["q30_place_spikes"] = f"""{_WITH_SILVER},
     {_spikes("news", 3)}
     SELECT place AS country, d AS date, n AS event_count, m AS median, apart AS deviation, rose AS is_spike
     FROM news_rose"""
+ORACLES["q33_schema_growth"] = _WITH_EDITS + """
+    SELECT id,
+           CASE WHEN id % 3 = 2 AND id % 2 = 0 THEN id END AS extra,
+           CASE WHEN id % 3 = 2 THEN concat('n', CAST(id AS VARCHAR)) END AS note,
+           CASE WHEN id % 3 = 2 THEN id % 5 = 0 END AS zzz,
+           CASE WHEN id % 3 = 1 AND id % 2 = 0 THEN CAST(id AS VARCHAR) END AS rescued_extra,
+           CASE WHEN id % 3 = 1 THEN concat('n', CAST(id AS VARCHAR)) END AS rescued_note,
+           CASE WHEN id % 3 = 1 THEN CASE WHEN id % 5 = 0 THEN 'true' ELSE 'false' END END AS rescued_zzz
+    FROM edits"""

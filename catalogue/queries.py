@@ -15,6 +15,7 @@ from millrace.operators import cleaning, masking, quality
 from millrace.plans import marts, mentions, spikes, sql
 from millrace.schemas import (
     CORRUPT,
+    EDIT_SCHEMA,
     EDIT_FILLED,
     EDIT_FLATTENED,
     EDIT_STRUCTS,
@@ -25,7 +26,7 @@ from millrace.schemas import (
 )
 from millrace.sources import archives, gap_ranges, intervals, readers, replay, sinks, sse
 from millrace.storage import new_dir
-from millrace.streaming import medallion, minutes, named, replaced
+from millrace.streaming import medallion, minutes, named, replaced, schema_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -677,6 +678,33 @@ def q33_rescued_fields(spark, sf_dir):
     return bronze.select("id", "title", F.col("meta.dt").alias("meta_dt"), F.col(RESCUED).alias("rescued"))
 
 
+@query
+def q33_schema_growth(spark, sf_dir):
+    """Fields that appear in the second drop of three are columns in the third."""
+    edits, i = A.edits_feed(spark, sf_dir), F.col("id")
+    raw, lake = new_dir(spark, "q33g-raw"), new_dir(spark, "q33g")
+    log = schema_log.SchemaLog(f"{lake}/_schemas/edits", EDIT_SCHEMA)
+    for drop in range(3):
+        rows = edits.filter(i % 3 == drop)
+        if drop:
+            rows = rows.withColumn("extra", F.when(i % 2 == 0, i)).withColumn("note", F.concat(F.lit("n"), i))
+            rows = rows.withColumn("meta", F.col("meta").withField("zzz", i % 5 == 0))
+        rows.write.mode("append").json(raw)
+        tables = medallion.run_feeds(spark, [(schema_log.grown_edits(spark, log), raw)], lake)
+        log.grow(spark, tables["edits"].read_bronze(spark))
+    bronze = tables["edits"].read_bronze(spark)
+    left = F.from_json(F.col(RESCUED), "extra string, note string, meta string")
+    return bronze.select(
+        "id",
+        "extra",
+        "note",
+        F.col("meta.zzz").alias("zzz"),
+        left["extra"].alias("rescued_extra"),
+        left["note"].alias("rescued_note"),
+        F.get_json_object(left["meta"], "$.zzz").alias("rescued_zzz"),
+    )
+
+
 def _malformed(spark, sf_dir, label) -> DataFrame:
     """Export lines of which some are short, long or hold a letter in a number."""
     events = A.events_feed(spark, sf_dir)
