@@ -15,6 +15,7 @@ from catalogue.adapters import (
     TRAILING_TEXT_EVERY,
 )
 from catalogue.queries import (
+    DAY_PLACES,
     EMPTY_FIRST,
     EMPTY_LAST,
     EVENT_VALUE_COLUMNS,
@@ -24,6 +25,7 @@ from catalogue.queries import (
     LAST_DAY,
     NOT_RENEWED,
     PLACE,
+    WEEK_PLACES,
     WORD,
 )
 from millrace.schemas import EVENT_SCHEMA
@@ -501,3 +503,36 @@ ORACLES["q33_schema_growth"] = _WITH_EDITS + """
            CASE WHEN id % 3 = 1 THEN concat('n', CAST(id AS VARCHAR)) END AS rescued_note,
            CASE WHEN id % 3 = 1 THEN CASE WHEN id % 5 = 0 THEN 'true' ELSE 'false' END END AS rescued_zzz
     FROM edits"""
+_PLACE_DAYS = f"""{_WITH_SILVER},
+    daily AS (SELECT CAST(event_timestamp AS DATE) AS d, Action_Geo_FullName AS place, count(*) AS n
+              FROM silver WHERE Action_Geo_FullName <> 'Unknown' GROUP BY ALL),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY n DESC, place) AS r FROM daily),
+    listed AS (SELECT * FROM placed WHERE r <= {DAY_PLACES}),
+    rests AS (SELECT d, coalesce(max(n) FILTER (r > {DAY_PLACES}), 0) AS rest FROM placed GROUP BY d)"""
+ORACLES["q18_top_places_sketch"] = f"""{_PLACE_DAYS},
+    chosen AS (SELECT * FROM rests WHERE d BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'),
+    bounds AS (
+        SELECT p.place, sum(coalesce(l.n, 0)) AS least, sum(coalesce(l.n, c.rest)) AS most
+        FROM (SELECT DISTINCT place FROM listed JOIN chosen USING (d)) p CROSS JOIN chosen c
+        LEFT JOIN listed l ON l.d = c.d AND l.place = p.place GROUP BY 1),
+    ordered AS (SELECT *, row_number() OVER (ORDER BY least DESC, place) AS r FROM bounds),
+    parted AS (
+        SELECT o.r, (o.least > t.unseen OR t.unseen = 0) AND NOT EXISTS (
+            SELECT 1 FROM ordered b WHERE b.r > o.r AND (b.most > o.least OR b.most = o.least AND b.place < o.place)) AS ok
+        FROM ordered o CROSS JOIN (SELECT sum(rest) AS unseen FROM chosen) t)
+    SELECT place AS country, CAST(least AS BIGINT) AS event_count, CAST(most AS BIGINT) AS most,
+           p.ok AND coalesce(q.ok, TRUE) AS settled
+    FROM ordered o JOIN parted p ON p.r = o.r LEFT JOIN parted q ON q.r = o.r - 1 WHERE o.r <= 10"""
+ORACLES["q18_weekly_sketch"] = f"""{_PLACE_DAYS},
+    weeks AS (SELECT *, CAST(date_trunc('week', d) AS DATE) AS w FROM rests),
+    bounds AS (
+        SELECT c.w, p.place, sum(coalesce(l.n, 0)) AS least, sum(coalesce(l.n, c.rest)) AS most, sum(c.rest) AS unseen
+        FROM (SELECT DISTINCT w, place FROM listed JOIN weeks USING (d)) p
+        JOIN weeks c ON c.w IS NOT DISTINCT FROM p.w
+        LEFT JOIN listed l ON l.d IS NOT DISTINCT FROM c.d AND l.place = p.place GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY most DESC, place) AS r FROM bounds),
+    left_out AS (
+        SELECT *, greatest(unseen, coalesce(max(most) FILTER (r > {WEEK_PLACES}) OVER (PARTITION BY w), 0)) AS rest
+        FROM ranked)
+    SELECT w AS week, place AS country, CAST(least AS BIGINT) AS least, CAST(most AS BIGINT) AS most,
+           CAST(rest AS BIGINT) AS rest FROM left_out WHERE r <= {WEEK_PLACES}"""

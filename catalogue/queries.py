@@ -12,7 +12,7 @@ from catalogue import adapters as A
 from millrace.functions.table_functions import register_table_functions
 from millrace.functions.times import epoch_to_timestamp, yyyymmdd_to_date
 from millrace.operators import cleaning, masking, quality
-from millrace.plans import marts, mentions, spikes, sql
+from millrace.plans import leaders, marts, mentions, spikes, sql
 from millrace.schemas import (
     CORRUPT,
     EDIT_SCHEMA,
@@ -65,6 +65,7 @@ PLACE = "NATION_3"
 WORD = "NATION_1"
 FIRST_DAY, LAST_DAY = "2024-01-05", "2024-01-20"
 EMPTY_FIRST, EMPTY_LAST = "1999-01-01", "1999-01-31"
+DAY_PLACES, WEEK_PLACES = 20, 12  # places that a summary lists
 AUDITORS = "compliance_auditors"
 NOT_RENEWED = "15"  # minute of the members that come once
 
@@ -474,6 +475,20 @@ def q18_top_places_sql(spark, sf_dir):
     return sql.sql_top_places(spark, "q18_events")
 
 
+@query
+def q18_top_places_sketch(spark, sf_dir):
+    kept = new_dir(spark, "q18-days")
+    leaders.place_summary(_silver_events(spark, sf_dir), DAY_PLACES).write.parquet(kept)
+    return leaders.top_places_of(spark.read.parquet(kept), 10, FIRST_DAY, LAST_DAY)
+
+
+@query
+def q18_weekly_sketch(spark, sf_dir):
+    days = leaders.place_summary(_silver_events(spark, sf_dir), DAY_PLACES)
+    weeks = leaders.merge(days, F.trunc("period", "week"), WEEK_PLACES)
+    return weeks.select(F.col("period").alias("week"), F.col("value").alias("country"), "least", "most", "rest")
+
+
 @query
 def q19_top_country_codes(spark, sf_dir):
     return marts.top_country_codes(_silver_events(spark, sf_dir))
