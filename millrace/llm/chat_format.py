@@ -8,13 +8,16 @@ its predecessor. Viterbi decoding then gives the likeliest states, markers are s
 turns are rendered.
 
 Decoding is exact on transcripts of any length without holding one in a task: a transcript
-is cut into chunks of turns, a chunk becomes the matrix of best log-probabilities from any
-entry state to any exit state, chunks are chained by these matrices, and each is decoded
-between its two known ends. A turn that a chunk boundary cuts gives two rows, of which the
-second ``continues``.
-
-Defined results: NULL text is one empty line; NULL conversation ids form a conversation;
-lines equal in every order column keep any order, being alike to the model or equal; of
+is cut into chunks of turns, and these into pieces of at most ``PIECE_LINES`` lines, however
+many a turn or the rows without a turn number have. A piece becomes the matrix of best
+log-probabilities from any entry state to any exit state, pieces are chained by these
+matrices, and each is decoded between its two known ends. A turn that such a boundary cuts
+gives two rows, of which the second ``continues``. The pieces of a chunk are told by one range
+sort of all lines, which no key, however frequent, brings into one task: only lines that are
+alike in every column are neighbours for certain.
+
+Defined results: NULL text is one empty line; a NULL turn or line number counts as 0; NULL conversation ids form a conversation;
+lines of one turn and number are ordered by features and text, so only equal ones keep any order; of
 equally likely paths the one through lower states is taken; an empty table gives an empty
 table; unlabelled rows, and roles beside ``ROLES``, teach nothing; repeated rows teach once,
 and of several rows of one turn the least role counts as the one before the next turn. Other
@@ -30,11 +33,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from millrace.llm.rows import durable
+from millrace.llm.rows import durable, with_columns
 
 ROLES = ("system", "user", "assistant")
 STATES = 2 * len(ROLES)  # 2 * role: first line; 2 * role + 1: further line
@@ -46,6 +51,7 @@ SPEAKERS = {
     "assistant": "assistant|ai|bot|answer|response|model|a",
 }
 CHUNK_TURNS = 256
+PIECE_LINES = 1024
 _FEATURES = {"marker": len(ROLES) + 1, "asks": 2, "length": 5, "opens": 2}
 _SMOOTHING = 0.5
 
@@ -81,7 +87,7 @@ def with_features(lines: DataFrame) -> DataFrame:
         marker.alias("marker"),
         F.endswith(F.rtrim(text), F.lit("?")).cast("int").alias("asks"),
         length.alias("length"),
-        ((F.coalesce("turn", F.lit(0)) == 0) & (F.col("line") == 0)).cast("int").alias("opens"),
+        ((F.coalesce("turn", F.lit(0)) == 0) & (F.coalesce("line", F.lit(0)) == 0)).cast("int").alias("opens"),
     )
 
 
@@ -148,10 +154,14 @@ def _scores(model: Model, features: dict[str, np.ndarray]) -> np.ndarray:
     return sum(model.emit[f].T[features[f]] for f in _FEATURES)
 
 
-def transfer(model: Model, scores: np.ndarray) -> np.ndarray:
-    """Best log-probability from a state before the lines to the state of the last line."""
-    best = np.full((STATES, STATES), -np.inf)
-    np.fill_diagonal(best, 0.0)
+def transfer(model: Model, scores: np.ndarray, best: np.ndarray | None = None) -> np.ndarray:
+    """Best log-probability from a state before the lines to the state of the last line.
+
+    ``best`` holds rows of what came before, by the state they end in.
+    """
+    if best is None:
+        best = np.full((STATES, STATES), -np.inf)
+        np.fill_diagonal(best, 0.0)
     for line in scores:
         best = (best[:, :, None] + model.step[None]).max(1) + line
     return best
@@ -180,20 +190,20 @@ def _rows(rows: list[tuple], kinds: dict[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=list(kinds))
 
 
-_ORDER = ["conv_id", "chunk", "turn", "line"]
+_KEY = ["conv_id", "chunk", "piece"]
 
 
 def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, dict[str, list]]]:
-    """Runs of rows with equal (conv_id, chunk) in sorted batches."""
+    """Runs of rows with an equal ``_KEY`` in sorted batches."""
     held_key, held = None, None
     for batch in batches:
-        columns = {c: batch.column(c).to_pylist() for c in names}
-        keys = list(zip(columns["conv_id"], columns["chunk"]))
+        columns = {c: batch.column(c).to_pylist() for c in [*_KEY, *names]}
+        keys = list(zip(*(columns[c] for c in _KEY)))
         start = 0
         for i in range(1, len(keys) + 1):
             if i < len(keys) and keys[i] == keys[start]:
                 continue
-            part = {c: v[start:i] for c, v in columns.items()}
+            part = {c: columns[c][start:i] for c in names}
             if held is not None and held_key == keys[start]:
                 for c in names:
                     held[c] += part[c]
@@ -206,35 +216,65 @@ def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tup
         yield held_key, held
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Add ``pos``, the place of a line in its chunk, and ``piece``; the rows are written."""
+    order = ["conv_id", "chunk", "turn", "line", *_FEATURES, "text", "truth"]
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, pos = TaskContext.get().partitionId(), None, -1
+        for batch in batches:
+            places = []
+            for key in zip(batch.column("conv_id").to_pylist(), batch.column("chunk").to_pylist()):
+                pos = pos + 1 if key == last else 0
+                last = key
+                places.append(pos)
+            yield with_columns(batch, part=pa.array([part] * len(places), pa.int32()), at=pa.array(places, pa.int64()))
+
+    ordered = rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = T.StructType([*ordered.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("at", T.LongType())])
+    placed = ordered.mapInArrow(number, schema).transform(durable)
+    # A chunk that begins in an earlier part: one a part at most, the first there. These few
+    # rows, no more than there are parts, go to all tasks.
+    sizes = placed.groupBy("part", "conv_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("conv_id", "chunk").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.sum("n").over(earlier)).filter("before > 0")
+    cut = sizes.select(F.col("part").alias("in"), F.struct("conv_id", "chunk").alias("of"), "before")
+    here = F.struct("conv_id", "chunk").eqNullSafe(F.col("of")) & (F.col("part") == F.col("in"))
+    placed = placed.join(F.broadcast(cut), here, "left")
+    placed = placed.withColumn("pos", F.col("at") + F.coalesce("before", F.lit(0)))
+    piece = F.floor(F.col("pos") / PIECE_LINES).cast("long").alias("piece")
+    return placed.select(*_KEY[:2], piece, "pos", *_FEATURES, "text", "truth")
+
+
 def _features_of(rows: dict[str, list]) -> dict[str, np.ndarray]:
     return {f: np.array(rows[f], np.int64) for f in _FEATURES}
 
 
-def _ends(chunks: DataFrame, model: Model) -> DataFrame:
-    """(conv_id, chunk, entry, leave): the best states around each chunk.
+def _ends(pieces: DataFrame, model: Model) -> DataFrame:
+    """(conv_id, chunk, piece, entry, leave): the best states around each piece.
 
-    A conversation is here one small row per chunk.
+    A conversation is here one small row per piece.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = {"conv_id": conv_kind, "chunk": pa.int64(), "entry": pa.int32(), "leave": pa.int32()}
+        kinds = {"conv_id": conv_kind, "chunk": pa.int64(), "piece": pa.int64(), "entry": pa.int32(), "leave": pa.int32()}
         out, conv, order, matrices = [], None, [], []
 
         def finish():
-            """Chain the chunks of one conversation and go back over the best way."""
-            arrive, back = matrices[0][0], []  # the first matrix is the same from any state
+            """Chain the pieces of one conversation and go back over the best way."""
+            arrive, back = matrices[0][0], []  # as if the transcript began with the piece
             for m in matrices[1:]:
-                ways = arrive[:, None] + m
+                ways = arrive[:, None] + m[1:]
                 back.append(ways.argmax(0))
                 arrive = ways.max(0)
             leave = [int(arrive.argmax())]
             for b in reversed(back):
                 leave.append(int(b[leave[-1]]))
             leave.reverse()
-            out.extend(zip([conv] * len(order), order, [None, *leave[:-1]], leave))
+            out.extend((conv, *o, e, x) for o, e, x in zip(order, [None, *leave[:-1]], leave))
 
         for batch in batches:
-            for c, k, m in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "chunk", "best"))):
+            for c, *o, m in zip(*(batch.column(n).to_pylist() for n in [*_KEY, "best"])):
                 if order and c != conv:
                     finish()
                     order, matrices = [], []
@@ -242,32 +282,34 @@ def _ends(chunks: DataFrame, model: Model) -> DataFrame:
                         yield _rows(out, kinds)
                         out = []
                 conv = c
-                order.append(k)
-                matrices.append(np.array(m).reshape(STATES, STATES))
+                order.append(o)
+                matrices.append(np.array(m).reshape(1 + STATES, STATES))
         if order:
             finish()
         yield _rows(out, kinds)
 
-    kind = chunks.schema["conv_id"].dataType
+    kind = pieces.schema["conv_id"].dataType
     conv_kind = to_arrow_type(kind)
-    ordered = chunks.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
-    return ordered.mapInArrow(run, f"conv_id {kind.simpleString()}, chunk long, entry int, leave int")
+    ordered = pieces.repartition("conv_id").sortWithinPartitions(*_KEY)
+    return ordered.mapInArrow(run, f"conv_id {kind.simpleString()}, chunk long, piece long, entry int, leave int")
 
 
 def recover(lines: DataFrame, model: Model) -> DataFrame:
     """Recovered turns of transcript lines (conv_id, turn, line, text, and truth or NULL).
 
-    One row per turn and chunk: conv_id, chunk, n, role, continues, text, n_lines, and
-    n_right, the lines whose ``truth`` is the recovered role.
+    One row per turn, chunk and piece: conv_id, chunk, piece, n, role, continues, text, n_lines,
+    and n_right, the lines whose ``truth`` is the recovered role.
     """
-    rows = with_features(lines.select("conv_id", "turn", "line", "text", "truth")).withColumn("chunk", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK_TURNS).cast("long"))
+    rows = with_features(lines.select("conv_id", "turn", "line", "text", "truth"))
+    rows = rows.withColumn("chunk", F.floor(F.coalesce("turn", F.lit(0)) / CHUNK_TURNS).cast("long"))
+    rows = rows.withColumn("text", stripped(F.coalesce("text", F.lit("")), F.col("marker")))
     kind = lines.schema["conv_id"].dataType.simpleString()
     conv_kind = to_arrow_type(lines.schema["conv_id"].dataType)
     features = list(_FEATURES)
-    matrix_kinds = {"conv_id": conv_kind, "chunk": pa.int64(), "best": pa.list_(pa.float64())}
+    key_kinds = {"conv_id": conv_kind, "chunk": pa.int64(), "piece": pa.int64()}
+    matrix_kinds = {**key_kinds, "best": pa.list_(pa.float64())}
     turn_kinds = {
-        "conv_id": conv_kind,
-        "chunk": pa.int64(),
+        **key_kinds,
         "n": pa.int64(),
         "role": pa.string(),
         "continues": pa.bool_(),
@@ -278,51 +320,46 @@ def recover(lines: DataFrame, model: Model) -> DataFrame:
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
-        for (conv, chunk), group in _groups(batches, ["conv_id", "chunk", "first", *features]):
+        for key, group in _groups(batches, features):
             scores = _scores(model, _features_of(group))
-            if group["first"][0]:
-                arrive = model.start + scores[0]
-                if len(scores) > 1:
-                    arrive = (arrive[:, None] + transfer(model, scores[1:])).max(0)
-                best = np.repeat(arrive[None], STATES, 0)
-            else:
-                best = transfer(model, scores)
-            out.append((conv, chunk, best.ravel().tolist()))
+            # As the first piece of its conversation, and after each state.
+            first = np.vstack([model.start, model.step]) + scores[0]
+            out.append((*key, transfer(model, scores[1:], first).ravel().tolist()))
             if len(out) == _ROWS:
                 yield _rows(out, matrix_kinds)
                 out = []
         yield _rows(out, matrix_kinds)
 
-    firsts = rows.groupBy("conv_id").agg(F.min("chunk").alias("first_chunk"))
-    firsts = firsts.withColumnRenamed("conv_id", "of")
-    rows = rows.join(firsts, F.col("conv_id").eqNullSafe(F.col("of"))).withColumn("first", F.col("chunk") == F.col("first_chunk"))
-    rows = rows.select(*_ORDER, "first", *features, stripped(F.coalesce("text", F.lit("")), F.col("marker")).alias("text"), "truth").transform(durable)
-    narrow = rows.select(*_ORDER, "first", *features).repartition("conv_id", "chunk").sortWithinPartitions(*_ORDER, *features)
-    ends = _ends(narrow.mapInArrow(matrices, f"conv_id {kind}, chunk long, best array<double>"), model)
-    ends = ends.select(F.col("conv_id").alias("e_conv"), F.col("chunk").alias("e_chunk"), "entry", "leave")
+    rows = _numbered(rows)
+    narrow = rows.select(*_KEY, "pos", *features).repartition(*_KEY).sortWithinPartitions(*_KEY, "pos")
+    ends = _ends(narrow.mapInArrow(matrices, f"conv_id {kind}, chunk long, piece long, best array<double>"), model)
+    ends = ends.select(*[F.col(c).alias(f"e_{c}") for c in _KEY], "entry", "leave")
 
     def turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["conv_id", "chunk", "entry", "leave", *features, "text", "truth"]
+        names = ["entry", "leave", *features, "text", "truth"]
         out, held = [], 0
-        for (conv, chunk), g in _groups(batches, names):
+        for key, g in _groups(batches, names):
             states = decode(model, _scores(model, _features_of(g)), g["entry"][0], g["leave"][0])
             begins = [i for i, s in enumerate(states.tolist()) if i == 0 or s % 2 == 0 or s // 2 != states[i - 1] // 2]
             for n, (a, b) in enumerate(zip(begins, [*begins[1:], len(states)])):
                 role, text = ROLES[states[a] // 2], "\n".join(g["text"][a:b])
-                continues = bool(n == 0 and states[a] % 2 and g["entry"][0] is not None)
-                out.append((conv, chunk, n, role, continues, text, b - a, sum(t == role for t in g["truth"][a:b])))
+                entry = g["entry"][0]
+                continues = bool(n == 0 and states[a] % 2 and entry is not None and entry // 2 == states[a] // 2)
+                out.append((*key, n, role, continues, text, b - a, sum(t == role for t in g["truth"][a:b])))
                 held += len(text)
             if held > 4 << 20 or len(out) > _ROWS:
                 yield _rows(out, turn_kinds)
                 out, held = [], 0
         yield _rows(out, turn_kinds)
 
-    joined = rows.join(ends, F.col("conv_id").eqNullSafe(F.col("e_conv")) & (F.col("chunk") == F.col("e_chunk")))
-    joined = joined.select(*_ORDER, "entry", "leave", *features, "text", "truth")
-    ordered = joined.repartition("conv_id", "chunk").sortWithinPartitions(*_ORDER, *features, "text")
+    same = F.col("conv_id").eqNullSafe(F.col("e_conv_id"))
+    for c in _KEY[1:]:
+        same &= F.col(c) == F.col(f"e_{c}")
+    joined = rows.join(ends, same).select(*_KEY, "pos", "entry", "leave", *features, "text", "truth")
+    ordered = joined.repartition(*_KEY).sortWithinPartitions(*_KEY, "pos")
     return ordered.mapInArrow(
         turns,
-        f"conv_id {kind}, chunk long, n long, role string, continues boolean, text string, n_lines long, n_right long",
+        f"conv_id {kind}, chunk long, piece long, n long, role string, continues boolean, text string, n_lines long, n_right long",
     )
 
 
