@@ -6,7 +6,9 @@ yet known is normalised and split, and all its pre-tokens go into one ragged arr
 symbols. In each round every sequence merges all places of its own lowest-ranked pair at
 once, until no sequence has a pair with a rank; the surviving symbols are counted. Doing
 all places of a pair at once is exact because each merge makes a symbol no other merge
-makes, so a new pair always ranks after the pair that made it (checked on loading).
+makes, so a new pair always ranks after the pair that made it (checked on loading). A long
+pre-token would be scanned once for each of its many ranks; it keeps the places of each rank
+in a queue instead and visits only those, so its cost grows with its length.
 
 Defined results: NULL and empty text count 0 tokens and 0 bytes; a special token's string
 inside a text counts as one token; repeated rows count alike; other columns are kept, and
@@ -16,6 +18,7 @@ one whose name clashes with a result column is replaced.
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 import re
 from collections.abc import Iterable
@@ -31,6 +34,10 @@ from millrace.llm.rows import slices, unused, with_columns
 
 # Chunks whose counts a worker remembers; the memory is emptied when it is full.
 REMEMBERED = 400_000
+# Longer ones are counted whenever they occur, which bounds the bytes remembered.
+REMEMBERED_BYTES = 128
+# Pre-tokens above this length wait for their ranks in a queue.
+QUEUED_BYTES = 1 << 14
 
 _NO_RANK = np.iinfo(np.int32).max
 # Chunks that need no Unicode tables: visible ASCII without apostrophes, and the two-byte
@@ -112,6 +119,15 @@ def vocabulary(path: str) -> Vocabulary:
 def merge_counts(vocab: Vocabulary, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Symbols left of each pre-token; ``text`` holds their bytes, ``starts`` where each begins."""
     counts = np.diff(np.append(starts, len(text)))
+    short = counts <= QUEUED_BYTES
+    if not short.all():
+        left = np.zeros_like(counts)
+        for i in np.flatnonzero(~short):
+            left[i] = queued_count(vocab, text[starts[i] : starts[i] + counts[i]])
+        if short.any():
+            begins = np.cumsum(counts[short]) - counts[short]
+            left[short] = merge_counts(vocab, text[np.repeat(short, counts)], begins)
+        return left
     owner = np.repeat(np.arange(len(starts), dtype=np.int32), counts)
     last = np.append(owner[1:] != owner[:-1], True)
     symbol = text.astype(np.int16) + np.where(last, 256, 0).astype(np.int16)
@@ -150,6 +166,60 @@ def merge_counts(vocab: Vocabulary, text: np.ndarray, starts: np.ndarray) -> np.
     return counts
 
 
+def queued_count(vocab: Vocabulary, text: np.ndarray) -> int:
+    """Symbols left of one pre-token: rank by rank, all places of a rank at once.
+
+    A pair never makes one of its own rank or below, so every rank is taken up once.
+    """
+    n = left = len(text)
+    symbol = text.astype(np.int64)
+    symbol[-1] += 256
+    rank = np.full(n, _NO_RANK, np.int32)  # of the pair that begins here
+    rank[:-1] = vocab.first[symbol[:-1], symbol[1:]]
+    symbol = vocab.base[symbol]
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    waiting: dict[int, list[np.ndarray]] = {}
+    queue: list[int] = []
+
+    def wait(places: np.ndarray) -> None:
+        places = places[rank[places] != _NO_RANK]
+        if not len(places):
+            return
+        places = places[np.argsort(rank[places], kind="stable")]
+        ranks = rank[places]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        for r, part in zip(ranks[np.append(0, cuts)].tolist(), np.split(places, cuts)):
+            if r not in waiting:
+                waiting[r] = []
+                heapq.heappush(queue, r)
+            waiting[r].append(part)
+
+    wait(np.arange(n))
+    while queue:
+        r = heapq.heappop(queue)
+        hit = np.unique(np.concatenate(waiting.pop(r)))
+        hit = hit[rank[hit] == r]  # not those that other merges took since
+        if not len(hit):
+            continue
+        # Overlapping places merge from the left.
+        nth = np.arange(len(hit))
+        fresh = np.append(True, after[hit[:-1]] != hit[1:])
+        hit = hit[(nth - np.maximum.accumulate(np.where(fresh, nth, 0))) % 2 == 0]
+        gone = after[hit]
+        follows = after[gone]
+        symbol[hit], after[hit], rank[gone] = vocab.merged[r], follows, _NO_RANK
+        inside = follows < n
+        before[follows[inside]] = hit[inside]
+        left -= len(hit)
+        changed = np.unique(np.concatenate([hit, before[hit]]))
+        changed = changed[changed >= 0]
+        rank[changed] = _NO_RANK
+        changed = changed[after[changed] < n]
+        rank[changed] = vocab.ranks(symbol[changed] << 32 | symbol[after[changed]])
+        wait(changed)
+    return left
+
+
 def _simple_pieces(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-case bytes of simple chunks, where each pre-token begins, and its chunk."""
     text = np.frombuffer(b"".join(chunks), np.uint8).copy()
@@ -208,7 +278,11 @@ def count_texts(vocab: Vocabulary, texts: list[str | None], known: dict[bytes, i
         known.clear()
         new = {w for ws in words for w in ws}
     known.update(chunk_counts(vocab, new))
-    return [n + sum(map(known.__getitem__, ws)) for n, ws in zip(extra, words)]
+    counts = [n + sum(map(known.__getitem__, ws)) for n, ws in zip(extra, words)]
+    for word in new:
+        if len(word) > REMEMBERED_BYTES:
+            del known[word]
+    return counts
 
 
 def count_tokens(df: DataFrame, path: str, *, text: str = "text", limit: int = 2048) -> DataFrame:

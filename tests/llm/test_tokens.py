@@ -1,6 +1,7 @@
 """Encoding, decoding and counting against the libraries themselves."""
 
 import hashlib
+import random
 
 import public_tokenizers as public
 import pytest
@@ -67,6 +68,38 @@ def test_counts_of_given_documents_and_a_full_memory(spark, monkeypatch):
     assert got == want
 
 
+def unbroken(n, seed):
+    """Letters without a break: random, repeated, and words run together."""
+    pick = random.Random(seed)
+    words = [r for t in ("information", "the", "ofthe", "zzz", "éé", "q") for r in [t] * 3]
+    pieces = ["".join(pick.choice("abcdeé") for _ in range(n)), "a" * n, "ab" * (n // 2)]
+    return [*pieces, "".join(pick.choice(words) for _ in range(n // 4)), "aab" * (n // 3) + "b" * (n % 7)]
+
+
+@pytest.mark.parametrize("most", [1, 3, 40])
+def test_queued_pre_tokens_count_alike(monkeypatch, most):
+    library, vocab = Tokenizer.from_file(WORDS), token_counts.vocabulary(WORDS)
+    texts = [t or "" for t in TEXTS] + [t for n in (2, 5, 30, 500) for t in unbroken(n, n)]
+    texts += [" ".join(unbroken(60, 9))]
+    monkeypatch.setattr(token_counts, "QUEUED_BYTES", most)
+    known = {}
+    assert token_counts.count_texts(vocab, texts, known) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert max(map(len, known)) <= token_counts.REMEMBERED_BYTES
+
+
+def test_long_pre_tokens_cost_their_length():
+    library, vocab = Tokenizer.from_file(WORDS), token_counts.vocabulary(WORDS)
+    for text in unbroken(50_000, 1):
+        assert token_counts.count_texts(vocab, [text], {}) == [len(library.encode(text, add_special_tokens=False).ids)]
+    ranks, asked = type(vocab).ranks, []
+    try:
+        type(vocab).ranks = lambda self, pairs: asked.append(len(pairs)) or ranks(self, pairs)
+        token_counts.count_texts(vocab, [unbroken(200_000, 2)[0]], {})
+    finally:
+        type(vocab).ranks = ranks
+    assert sum(asked) <= 4 * 200_000
+
+
 def test_empty_tables_and_clashing_names(spark):
     docs = documents(spark, ["a b"]).selectExpr("doc_id", "text", "'x' AS n_tokens", "'y' AS ids", "'z' AS extra")
     assert byte_bpe.encode(docs, RANKS, public.PATTERN).first().asDict()["extra"] == "z"
