@@ -53,8 +53,8 @@ _SPACE = np.uint32(0x20)
 
 @dataclass(frozen=True)
 class Settings:
-    """``fit_rows`` texts per language (about) are sampled; more languages than
-    ``max_languages`` are refused, since the model is held by every task."""
+    """``fit_rows`` texts per language (about) are sampled, of the ``max_languages`` most
+    frequent languages, since the model is held by every task."""
 
     fit_rows: int = 800
     centroids: int = 3
