@@ -23,6 +23,9 @@ from millrace.operators.cleaning import keep_value
 
 COUNT_SCHEMA = "minute_ts timestamp, cnt bigint"
 FOLDERS = 32
+# Partitions of the state, at most: each is written anew by every micro-batch, and a minute is
+# one short entry. What a checkpoint began with stays.
+STATE_PARTITIONS = 16
 _SUMMARY = "-all"
 
 
@@ -63,9 +66,12 @@ def start_minute_counts(
 ) -> StreamingQuery:
     """Count what is available now of a stream of edits (raw or silver), then stop."""
 
+    own = None
+
     def put(changed: DataFrame, batch_id: int) -> None:
-        spark = changed.sparkSession
-        own, name = _own_folder(spark, path, checkpoint), f"{batch_id:020d}"
+        nonlocal own
+        spark, name = changed.sparkSession, f"{batch_id:020d}"
+        own = own or _own_folder(spark, path, checkpoint)
         changed.write.mode("overwrite").parquet(f"{own}/{name}")
         older = [n for n in _names(spark, own) if n < name + _SUMMARY]
         if len(older) > FOLDERS:
@@ -74,14 +80,21 @@ def start_minute_counts(
             for n in older:
                 store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{own}/{n}"), True)
 
-    return (
+    writer = (
         minute_counts(keep_value(edits, "wiki", wiki).select("timestamp"))
         .writeStream.foreachBatch(put)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start()
     )
+    # A query takes its settings from the session when it starts.
+    conf, key = edits.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(min(int(before), STATE_PARTITIONS)))
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
 
 
 def read_minute_counts(spark: SparkSession, path: str) -> DataFrame:

@@ -317,3 +317,14 @@ def test_minute_counts_of_silver_with_missing_times(spark, tmp_path):
     want = edits_per_minute(df)
     got = read_minute_counts(spark, str(tmp_path / "o"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_the_state_of_minute_counts_has_few_partitions(spark, tmp_path, conf):
+    conf("spark.sql.shuffle.partitions", "40")
+    raw, out, cp = str(tmp_path / "raw"), str(tmp_path / "o"), tmp_path / "cp"
+    edits(spark, [{"id": i, "timestamp": 60 * i} for i in range(100)]).write.json(raw)
+    for _ in range(2):
+        start_minute_counts(read_edits(spark, raw, stream=True), out, str(cp)).awaitTermination()
+    assert len([p for p in (cp / "state" / "0").iterdir() if p.name.isdigit()]) == minutes.STATE_PARTITIONS
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    assert sorted(r.cnt for r in read_minute_counts(spark, out).collect()) == [1] * 100
