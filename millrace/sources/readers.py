@@ -6,6 +6,8 @@ files it has not seen (its checkpoint remembers them).
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,20 +197,29 @@ def rescued_fields(text: Column, parsed: Column, schema: T.StructType) -> Column
 
     def lost(fields: Column, struct: Column, kinds: T.StructType) -> Column:
         missing = F.array_compact(F.array(*[F.when(struct.getField(n).isNull(), F.lit(n)) for n in kinds.names]))
-        return F.map_filter(
-            fields,
-            lambda key, value: ~key.isin(kinds.names) | (value.isNotNull() & F.array_contains(missing, key)),
-        )
+
+        def kept(missing: Column) -> Column:
+            return F.map_filter(
+                fields,
+                lambda key, value: ~key.isin(kinds.names) | (value.isNotNull() & F.array_contains(missing, key)),
+            )
+
+        return _once(missing, kept)
 
     def all_lost(fields: Column) -> Column:
         out = lost(fields, parsed, schema)
         for f in schema:
             if isinstance(f.dataType, T.StructType):
-                nested = F.from_json(F.try_element_at(fields, F.lit(f.name)), "map<string,string>")
-                inner = F.to_json(lost(nested, parsed.getField(f.name), f.dataType))
-                shown = parsed.getField(f.name).isNotNull() & (inner != "{}")
-                out = F.map_concat(out, F.when(shown, F.create_map(F.lit(f.name), inner)).otherwise(_no_fields()))
-        return F.nullif(F.to_json(out), F.lit("{}"))
+                struct, nested = parsed.getField(f.name), F.try_element_at(fields, F.lit(f.name))
+                inner = F.when(struct.isNotNull(), _once(F.from_json(nested, "map<string,string>"), partial(lost_text, struct, f.dataType)))
+                out = F.map_concat(out, _once(inner, partial(as_field, f.name)))
+        return _once(F.to_json(out), lambda shown: F.when(shown != "{}", shown))
+
+    def lost_text(struct: Column, kinds: T.StructType, nested: Column) -> Column:
+        return F.to_json(lost(nested, struct, kinds))
+
+    def as_field(name: str, inner: Column) -> Column:
+        return F.when(inner != "{}", F.create_map(F.lit(name), inner)).otherwise(_no_fields())
 
     structs = [f for f in schema if isinstance(f.dataType, T.StructType)]
     misfit = parsed.getField(CORRUPT).isNotNull() | unknown(F.json_object_keys(text), schema.names)

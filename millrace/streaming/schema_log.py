@@ -77,13 +77,16 @@ def propose(rows: DataFrame, schema: T.StructType, most: int = FIELDS_PER_VERSIO
         names = [n for p, n in known if p == parent]
         is_known = is_known | (F.col("parent").eqNullSafe(F.lit(parent)) & F.col("name").isin(names))
     conflicts, added = [], {}
-    for r in stats.filter(is_known).collect():  # as many as the schema has fields
+    # One job: first the known fields, as many as the schema has, then the most frequent others.
+    stats = stats.withColumn("known", F.coalesce(is_known, F.lit(False))).filter(F.col("known") | (F.col("n") > 0))
+    first = stats.orderBy(F.desc("known"), F.desc("n"), "parent", "name").limit(len(known) + most).collect()
+    for r in (r for r in first if r.known):
         kind = known[r.parent, r.name]
         fits = isinstance(kind, T.StringType) or (kind.simpleString() in ("int", "smallint", "tinyint") and r.fits_bigint)
         if not fits and not (kind.simpleString() in _NARROW and r[f"fits_{kind.simpleString()}"]):
             conflicts.append((r.parent, r.name))
     taken = {(p, n.lower()) for p, n in known} | {(None, n) for n in _OWN}
-    for r in stats.filter(~is_known & (F.col("n") > 0)).orderBy(F.desc("n"), "parent", "name").limit(most).collect():
+    for r in [r for r in first if not r.known][:most]:
         if (r.parent, r.name.lower()) in taken:
             conflicts.append((r.parent, r.name))
             continue

@@ -92,3 +92,17 @@ def test_a_field_becomes_a_column_in_the_run_after(spark, tmp_path):
     assert log.version(spark) == 1
     assert log.grow(spark, tables["edits"].read_bronze(spark)).conflicts == [("extra",)]
     assert tables["edits"].read_silver(spark).count() == 4
+
+
+def test_rescued_fields_are_read_by_one_job(spark):
+    rows = rescued(spark, *[{f"f{i % 5}": str(i), "id": "x"} for i in range(40)])
+    spark.sparkContext.setJobGroup("propose", "propose")
+    try:
+        found = propose(rows, BASE, most=3)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    ran = [tracker.getJobInfo(j).stageIds for j in tracker.getJobIdsForGroup("propose")]
+    scans = [s for stages in ran for s in stages if (info := tracker.getStageInfo(s)) and info.numCompletedTasks > 1]
+    assert len(scans) == 1
+    assert [p for (p,) in found.added] == ["f0", "f1", "f2"] and found.conflicts == [("id",)]
