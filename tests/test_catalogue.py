@@ -29,3 +29,17 @@ def test_query(spark, con, name):
 def test_flagship(spark):
     rows = entry_points.entry(spark).collect()
     assert len(rows) == 10 and rows[0].event_count >= rows[-1].event_count
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path, conf):
+    conf(entry_points.LISTING_KEY, "10000")
+    spark.range(200).selectExpr("string(id) AS value", "id AS part").write.partitionBy("part").text(str(tmp_path / "t"))
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        rows = entry_points._in_utc(lambda s, d: s.read.format("binaryFile").load(f"{d}/t"))(spark, str(tmp_path))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages) <= max(32, 4 * spark.sparkContext.defaultParallelism)
+    assert rows.count() == 200
