@@ -20,6 +20,9 @@ from millrace.llm.rows import durable
 
 _MAX_ROUNDS = 60
 _BATCH_EDGES = 200_000
+# A part holds so many edges before there are more than the least number of parts: every part of
+# a shuffle costs some files, whatever few edges it has.
+_PART_EDGES, _LEAST_PARTS = 50_000, 8
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,16 +51,18 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    moved = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.coalesce(parts).distinct().coalesce(parts)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    stars = moved.union(least.select("u", F.col("m").alias("v")))
+    return stars.coalesce(parts).distinct().coalesce(parts)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -69,7 +74,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     own = edges.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     stars = own.select(high.alias("u"), low.alias("v")).mapInArrow(_forest, "u long, v long")
     stars = stars.distinct().transform(durable)
-    mark = None
+    mark, parts = None, _LEAST_PARTS
     for _ in range(_MAX_ROUNDS):
         state = stars.agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")
@@ -77,8 +82,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if (state.n, state.h) == mark or not state.n:
             break
         mark = (state.n, state.h)
-        stars = _small_star(_large_star(stars)).transform(durable)
+        parts = max(_LEAST_PARTS, -(-state.n // _PART_EDGES))
+        stars = _small_star(_large_star(stars.coalesce(parts), parts), parts).transform(durable)
     else:
         raise RuntimeError("components did not settle")
-    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct().coalesce(parts)
     return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

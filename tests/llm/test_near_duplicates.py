@@ -258,3 +258,17 @@ def test_very_many_rows_without_an_id(spark):
         assert minhash._representatives(docs, classes, settings).count() == 20_000
         out = minhash.near_duplicates(docs, settings)
         assert out.count() == 20_050 and out.filter("kept").count() == 20_050
+
+
+def test_components_of_few_edges_have_few_parts(spark):
+    keys = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        found = components(spark.range(60).selectExpr("id AS a", "id + if(id % 3 = 2, 0, 1) AS b"))
+        assert found.rdd.getNumPartitions() <= 16
+        assert {r.node: r.component for r in found.collect()} == {i: i - i % 3 for i in range(60)}
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
